@@ -53,3 +53,33 @@ def close_terms(e: str, terms) -> str:
 
 def join_lines(e: str) -> str:
     return f"replace({e}, chr(10), '')"
+
+
+def strip_ws(e: str) -> str:
+    return f"regexp_replace({e}, '^\\s+|\\s+$', '', 'g')"
+
+
+def sentences(e: str) -> str:
+    return (
+        f"list_filter(string_split(regexp_replace({e}, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), "
+        f"lambda s: s <> '')"
+    )
+
+
+def numbered_answer(e: str) -> str:
+    """Derived answer text: every sentence as ``i. <first word> - <sentence>``."""
+    return (
+        f"array_to_string(list_transform({sentences(e)}, lambda s, i: CAST(i AS VARCHAR) || '. ' || "
+        f"regexp_extract(s, '^\\s*(\\S+)', 1) || ' - ' || s), chr(10))"
+    )
+
+
+def parse_pairs_rows(src: str, answer: str) -> str:
+    """Rows ``(doc_id, line_no, term, expansion)`` of lines holding ' - ' (line_no 0-based)."""
+    return f"""
+SELECT doc_id, line_no, {strip_ws("CASE WHEN strpos(head, '.') > 0 THEN substr(head, strpos(head, '.') + 1) ELSE head END")} AS term,
+       {strip_ws("substr(line, strpos(line, ' - ') + 3)")} AS expansion
+FROM (SELECT doc_id, line_no, line, substr(line, 1, strpos(line, ' - ') - 1) AS head
+      FROM (SELECT doc_id, unnest(range(len(ls))) AS line_no, unnest(ls) AS line
+            FROM (SELECT doc_id, string_split({strip_ws(answer)}, chr(10)) AS ls FROM {src}))
+      WHERE strpos(line, ' - ') > 0)"""
