@@ -103,3 +103,14 @@ def zero_pad(c: Column | str, width: int = 10) -> Column:
     """STR-16: left-pad with zeros; longer values stay whole (``lpad`` would cut them)."""
     col = _c(c).cast("string")
     return F.when(F.length(col) >= width, col).otherwise(F.lpad(col, width, "0"))
+
+
+def term_rows_of(df, text_col: str, keep: list[str], stop_words: list[str] = STOP_WORDS):
+    """Row form of ``preprocess``: one row per word, columns ``keep + [token]``.
+
+    Uses only generators and an ``IN`` set (code-generated), no higher-order
+    functions: lower-case, split on whitespace, drop exact stop words, extract words.
+    """
+    ws = df.select(*keep, F.explode(F.split(F.lower(F.col(text_col)), r"\s+")).alias("_ws"))
+    ws = ws.where((F.col("_ws") != F.lit("")) & ~F.col("_ws").isin(list(stop_words)))
+    return ws.select(*keep, F.explode(words(F.col("_ws"))).alias("token"))

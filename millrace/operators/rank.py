@@ -25,6 +25,10 @@ def with_rank(df: DataFrame, order: list[Column | str], name: str = "rank", part
 
     The result is a checkpointed table; ranks are exact and reproducible.
     """
+    return _ranked(df, order, name, partitions)[0]
+
+
+def _ranked(df: DataFrame, order: list[Column | str], name: str, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     spark = df.sparkSession
     cols = _order_cols(order)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -40,7 +44,7 @@ def with_rank(df: DataFrame, order: list[Column | str], name: str = "rank", part
         (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
     ).fillna(0, subset=["_off"])
     ranked = placed.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_off") + F.col("_pos") + 1)
-    return ranked.drop("_pid", "_pos", "_off")
+    return ranked.drop("_pid", "_pos", "_off"), counts
 
 
 def top_k(df: DataFrame, order: list[Column | str], k: int, name: str = "rank") -> DataFrame:
@@ -54,6 +58,7 @@ def top_fraction(df: DataFrame, score: str, key: str, fraction: float = 0.8, nam
     Ties at the cut keep the later rows, as a stable ascending sort followed by
     a tail would.
     """
-    n = df.count()
+    ranked, counts = _ranked(df, [F.col(score).desc(), F.col(key).desc()], name)
+    n = counts.agg(F.sum("_n")).first()[0] or 0
     k = int(n * fraction)
-    return top_k(df, [F.col(score).desc(), F.col(key).desc()], k, name)
+    return ranked.where(F.col(name) <= F.lit(k))

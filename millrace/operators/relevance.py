@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.operators.joins import lookup_join
+from millrace.session import cut_lineage
 
 EPS = 1e-12
 
@@ -100,6 +101,36 @@ class RelevanceModel:
     n_docs: int
 
 
+def doc_token_table(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "content",
+    composite_terms: list[str] = (),
+    stop_words: list[str] = T.STOP_WORDS,
+    vocab_from: str = "raw",
+) -> DataFrame:
+    """One scan of the text -> ``(doc_id, token, tf, in_raw)``.
+
+    ``tf`` counts the token in the scored corpus text (composite terms closed
+    up, newlines removed); ``in_raw`` flags tokens of the dictionary text.  One
+    extra row per document with a null token lets the document count come from
+    the same table.  Shuffled by (doc, token) after partial aggregation.
+    """
+    merged = T.join_lines(T.close_composite_terms(F.col(text_col), list(composite_terms)))
+    vocab_text = F.col(text_col) if vocab_from == "raw" else merged
+    # two texts per document: m=0 dictionary text, m=1 scored text; plus a null sentinel
+    texts = F.array(
+        F.struct(F.lit(0).alias("m"), vocab_text.alias("t")),
+        F.struct(F.lit(1).alias("m"), merged.alias("t")),
+        F.struct(F.lit(2).alias("m"), F.lit(None).cast("string").alias("t")),
+    )
+    per_text = docs.select(F.col(id_col).alias("doc_id"), F.explode(texts).alias("v")).select("doc_id", "v.m", "v.t")
+    sentinel = per_text.where(F.col("m") == 2).select("doc_id", F.lit(None).cast("string").alias("token"), "m")
+    rows = T.term_rows_of(per_text.where(F.col("m") < 2), "t", ["doc_id", "m"], stop_words).unionByName(sentinel)
+    rows = rows.select("doc_id", "token", (F.col("m") == 1).cast("int").alias("m"), (F.col("m") == 0).cast("int").alias("r"))
+    return rows.groupBy("doc_id", "token").agg(F.sum("m").alias("tf"), F.max("r").alias("in_raw"))
+
+
 def build_model(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -112,15 +143,22 @@ def build_model(
 
     The dictionary comes from the raw text (``vocab_from='raw'``) while the
     scored corpus has composite terms closed up and newlines removed; closed-up
-    and glued words are then unknown and drop out.  ``vocab_from='merged'``
-    builds both from the merged text.
+    and glued words are then unknown and drop out (Q2, Q3).  ``vocab_from='merged'``
+    builds both from the merged text.  The per-document table and the idf
+    table are checkpointed (model tables): the text is scanned once.
     """
-    merged = T.join_lines(T.close_composite_terms(F.col(text_col), list(composite_terms)))
-    vocab_words = T.preprocess(F.col(text_col) if vocab_from == "raw" else merged, stop_words)
-    dictionary = term_rows(docs, id_col, vocab_words).select("token").distinct()
-    corpus_bow = bag_of_words(term_rows(docs, id_col, T.preprocess(merged, stop_words)))
-    n_docs = docs.count()
-    idf = idf_table(corpus_bow, n_docs, dictionary)
+    table = cut_lineage(doc_token_table(docs, id_col, text_col, composite_terms, stop_words, vocab_from))
+    n_docs = table.where(F.col("token").isNull()).count()
+    terms = table.where(F.col("token").isNotNull())
+    stats = terms.groupBy("token").agg(
+        F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"), F.max("in_raw").alias("in_raw")
+    )
+    dictionary = stats.where(F.col("in_raw") == 1).select("token")
+    idf = stats.where((F.col("in_raw") == 1) & (F.col("df") > 0)).select(
+        "token", F.log2(F.lit(float(max(n_docs, 1))) / F.col("df")).alias("idf")
+    )
+    idf = cut_lineage(idf.where(F.abs(F.col("idf")) > F.lit(EPS)))
+    corpus_bow = terms.where(F.col("tf") > 0).select("doc_id", "token", F.col("tf").cast("long").alias("tf"))
     return RelevanceModel(dictionary, idf, n_docs), corpus_bow
 
 

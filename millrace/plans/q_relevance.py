@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 from millrace.plans import params as P
 from millrace.plans import sqlkit as S
 from millrace.plans.catalog import query
+from millrace.functions import text as T
+from millrace.operators import rank as R
+from millrace.operators import relevance as REL
 from millrace.plans.corpus_filter import documents_as_rows, filter_corpus
 from millrace.session import table
 
 _KEEP_COLS = ["doc_id", "url", "source", "content", "num_tokens", "score", "rank"]
 
 
-def _sql_filter_corpus() -> str:
+def _rel_ctes() -> str:
     merged = S.join_lines(S.close_terms("content", P.COMPOSITE_TERMS))
     return f"""
 WITH kept AS (
@@ -43,11 +46,14 @@ scored AS (SELECT kept.*, CASE WHEN source = {S.lit(P.OVERRIDE_SOURCE)} THEN 0.3
                                ELSE round(coalesce(sc.score, 0.0), 6) END::DOUBLE AS score
            FROM kept LEFT JOIN sc USING (doc_id)),
 ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id DESC) AS rank FROM scored)
-SELECT {', '.join(_KEEP_COLS)} FROM ranked
-WHERE rank <= (SELECT CAST(floor(count(*) * {P.KEEP_FRACTION}) AS BIGINT) FROM scored)
 """
 
 
+def _sql_filter_corpus() -> str:
+    return _rel_ctes() + f"""SELECT {', '.join(_KEEP_COLS)} FROM ranked
+WHERE rank <= (SELECT CAST(floor(count(*) * {P.KEEP_FRACTION}) AS BIGINT) FROM scored)"""
+
+
 @query("pip_filter_corpus", _sql_filter_corpus())
 def pip_filter_corpus(spark, sf_dir):
     docs = documents_as_rows(table(spark, sf_dir, "documents"))
@@ -61,3 +67,151 @@ def pip_filter_corpus(spark, sf_dir):
         override_source=P.OVERRIDE_SOURCE,
     )
     return out.select(*_KEEP_COLS)
+
+
+# ---- parts of the relevance filter ------------------------------------------
+
+def _parts(spark, sf):
+    """Intermediate tables of PIP-1 (token-filtered documents, model, weights, query vectors)."""
+    docs = documents_as_rows(table(spark, sf, "documents")).withColumn("num_tokens", T.token_count("content"))
+    kept = docs.where(F.col("num_tokens") > P.MIN_TOKENS)
+    model, corpus_bow = REL.build_model(kept, "doc_id", "content", P.COMPOSITE_TERMS)
+    w = REL.weights(corpus_bow, model.idf)
+    qp = REL.query_vector(spark, P.POS_QUERY, model.idf, name="qp")
+    qn = REL.query_vector(spark, P.NEG_QUERY, model.idf, name="qn")
+    return {"docs": docs, "kept": kept, "model": model, "bow": corpus_bow, "w": w, "qp": qp, "qn": qn}
+
+
+def _scored(p):
+    sc = REL.posneg_scores(p["w"], p["qp"], p["qn"]).select("doc_id", "score")
+    s = p["kept"].join(sc, "doc_id", "left").withColumn("score", F.round(F.coalesce("score", F.lit(0.0)), 6))
+    return s.withColumn(
+        "score", F.when(F.col("source") == P.OVERRIDE_SOURCE, F.lit(0.3)).otherwise(F.col("score"))
+    )
+
+
+@query(
+    "agg_vocab",
+    _rel_ctes().replace("vocab AS (", "vocab_df AS (SELECT token, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, "
+                        f"unnest({S.preprocess('content')}) AS token FROM kept) GROUP BY token),\nvocab AS (", 1)
+    + "SELECT token, df FROM vocab_df",
+)
+def agg_vocab(spark, sf):
+    p = _parts(spark, sf)
+    return REL.vocabulary(REL.term_rows(p["kept"], "doc_id", T.preprocess("content")))
+
+
+@query("agg_bow", _rel_ctes() + "SELECT doc_id, token, tf FROM bow")
+def agg_bow(spark, sf):
+    return _parts(spark, sf)["bow"]
+
+
+@query("jon_vocab", _rel_ctes() + "SELECT doc_id, token, tf FROM bow WHERE token IN (SELECT token FROM vocab)")
+def jon_vocab(spark, sf):
+    p = _parts(spark, sf)
+    return p["bow"].join(p["model"].dictionary, "token", "left_semi")
+
+
+@query("agg_idf", _rel_ctes() + "SELECT token, round(idf, 6) AS idf FROM idf")
+def agg_idf(spark, sf):
+    return _parts(spark, sf)["model"].idf.select("token", F.round("idf", 6).alias("idf"))
+
+
+@query("agg_tfidf_norm", _rel_ctes() + "SELECT doc_id, round(sqrt(n2), 6) AS norm FROM agg")
+def agg_tfidf_norm(spark, sf):
+    n = REL.doc_norms(_parts(spark, sf)["w"])
+    return n.select("doc_id", F.round("norm", 6).alias("norm"))
+
+
+@query(
+    "jon_sparse_dot",
+    _rel_ctes()
+    + "SELECT doc_id, round(sum(w.w * coalesce(p.qw, 0)), 6) AS dot_pos, round(sum(w.w * coalesce(n.qw, 0)), 6) AS dot_neg "
+    "FROM w LEFT JOIN (SELECT token, qw FROM qv WHERE k = 'p') p USING (token) "
+    "LEFT JOIN (SELECT token, qw FROM qv WHERE k = 'n') n USING (token) "
+    "WHERE p.qw IS NOT NULL OR n.qw IS NOT NULL GROUP BY doc_id",
+)
+def jon_sparse_dot(spark, sf):
+    p = _parts(spark, sf)
+    qv = p["qp"].join(p["qn"], "token", "full_outer").fillna(0.0)
+    hits = p["w"].join(F.broadcast(qv), "token")
+    return hits.groupBy("doc_id").agg(
+        F.round(F.sum(F.col("w") * F.col("qp")), 6).alias("dot_pos"),
+        F.round(F.sum(F.col("w") * F.col("qn")), 6).alias("dot_neg"),
+    )
+
+
+@query(
+    "agg_posneg_score",
+    _rel_ctes()
+    + "SELECT doc_id, round(CASE WHEN n2 > 0 THEN dp / sqrt(n2) ELSE 0 END, 6) AS pos, "
+    "round(CASE WHEN n2 > 0 THEN dn / sqrt(n2) ELSE 0 END, 6) AS neg, round(score, 6) AS score FROM agg JOIN sc USING (doc_id)",
+)
+def agg_posneg_score(spark, sf):
+    p = _parts(spark, sf)
+    s = REL.posneg_scores(p["w"], p["qp"], p["qn"])
+    return s.select("doc_id", *[F.round(c, 6).alias(c) for c in ("pos", "neg", "score")])
+
+
+@query("jon_left_score", _rel_ctes() + "SELECT doc_id, source, round(sc.score, 6) AS score FROM kept LEFT JOIN sc USING (doc_id)")
+def jon_left_score(spark, sf):
+    p = _parts(spark, sf)
+    sc = REL.posneg_scores(p["w"], p["qp"], p["qn"]).select("doc_id", F.round("score", 6).alias("score"))
+    return p["kept"].select("doc_id", "source").join(sc, "doc_id", "left")
+
+
+@query("prj_score_override", _rel_ctes() + "SELECT doc_id, source, score FROM scored")
+def prj_score_override(spark, sf):
+    return _scored(_parts(spark, sf)).select("doc_id", "source", "score")
+
+
+@query(
+    "win_rank_score",
+    _rel_ctes() + "SELECT doc_id, score, row_number() OVER (ORDER BY score DESC, doc_id ASC) AS rank FROM scored",
+)
+def win_rank_score(spark, sf):
+    s = _scored(_parts(spark, sf)).select("doc_id", "score")
+    return R.with_rank(s, [F.col("score").desc(), F.col("doc_id").asc()])
+
+
+@query(
+    "srt_top_fraction",
+    _rel_ctes() + f"SELECT doc_id, score, rank FROM ranked "
+    f"WHERE rank <= (SELECT CAST(floor(count(*) * {P.KEEP_FRACTION}) AS BIGINT) FROM scored)",
+)
+def srt_top_fraction(spark, sf):
+    s = _scored(_parts(spark, sf)).select("doc_id", "score")
+    return R.top_fraction(s, "score", "doc_id", P.KEEP_FRACTION)
+
+
+@query("srt_by_score", _rel_ctes() + "SELECT doc_id, score FROM scored ORDER BY score DESC, doc_id")
+def srt_by_score(spark, sf):
+    return _scored(_parts(spark, sf)).select("doc_id", "score").orderBy(F.col("score").desc(), "doc_id")
+
+
+@query(
+    "prj_row_index",
+    f"SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS index FROM documents "
+    f"WHERE {S.token_count('text')} > {P.MIN_TOKENS}",
+)
+def prj_row_index(spark, sf):
+    d = table(spark, sf, "documents").where(T.token_count("text") > P.MIN_TOKENS).select("doc_id")
+    return R.with_rank(d, ["doc_id"], "index").withColumn("index", F.col("index") - 1)
+
+
+@query(
+    "agg_stage_counts",
+    _rel_ctes()
+    + f"""SELECT 'loaded' AS stage, count(*) AS n FROM documents
+UNION ALL SELECT 'token_filter', count(*) FROM kept
+UNION ALL SELECT 'relevance_filter', count(*) FROM ranked
+  WHERE rank <= (SELECT CAST(floor(count(*) * {P.KEEP_FRACTION}) AS BIGINT) FROM scored)""",
+)
+def agg_stage_counts(spark, sf):
+    p = _parts(spark, sf)
+    final = R.top_fraction(_scored(p).select("doc_id", "score"), "score", "doc_id", P.KEEP_FRACTION)
+
+    def cnt(df, name):
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
+
+    return cnt(p["docs"], "loaded").unionByName(cnt(p["kept"], "token_filter")).unionByName(cnt(final, "relevance_filter"))
