@@ -258,3 +258,44 @@ def seeds(spark, sf):
 @query("fil_valid_seeds", f"SELECT source, url, max_depth FROM {SEEDS_SQL} WHERE source IS NOT NULL AND url IS NOT NULL AND max_depth IS NOT NULL")
 def fil_valid_seeds(spark, sf):
     return seeds(spark, sf).dropna("any", subset=["source", "url", "max_depth"])
+
+
+# ---- link frontier ---------------------------------------------------------------
+
+def page_edges(spark, sf):
+    """Edges derived from each page's anchors: position ``i`` points at page ``3 * page_id + i`` when it exists;
+    position 5 also yields a PDF file link.  ``(src, dst, kind)``."""
+    p = table(spark, sf, "pages")
+    a = p.select("page_id", F.col("url").alias("src"), F.posexplode(H.links("html")).alias("pos", "raw"))
+    tgt = p.select(F.col("page_id").alias("tid"), F.col("url").alias("dst"))
+    to_pages = a.join(tgt, F.col("tid") == F.col("page_id") * 3 + F.col("pos")).select("src", "dst", F.lit("page").alias("kind"))
+    files = a.where(F.col("pos") == 5).select("src", F.concat(U.resolve("src", "raw"), F.lit(".pdf")).alias("dst"), F.lit("file").alias("kind"))
+    return to_pages.unionByName(files)
+
+
+EDGES_SQL = f"""(SELECT a.src, q.url AS dst, 'page' AS kind FROM
+   (SELECT page_id, url AS src, unnest(range(len(l))) AS pos, unnest(l) AS raw
+    FROM (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages)) a
+   JOIN pages q ON q.page_id = a.page_id * 3 + a.pos
+ UNION ALL
+ SELECT src, {_resolve_sql('src', 'raw')} || '.pdf', 'file' FROM
+   (SELECT page_id, url AS src, unnest(range(len(l))) AS pos, unnest(l) AS raw
+    FROM (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages)) WHERE pos = 5)"""
+
+
+@query(
+    "pip_link_frontier",
+    f"""WITH RECURSIVE seeds AS (SELECT * FROM {SEEDS_SQL} WHERE source IS NOT NULL AND url IS NOT NULL AND max_depth IS NOT NULL),
+budget AS (SELECT source, max(max_depth) AS md FROM seeds GROUP BY source),
+edges AS (SELECT * FROM {EDGES_SQL} WHERE NOT {_banned_sql(_root_sql('dst'))}),
+walk(source, url, kind, depth) AS (
+  SELECT DISTINCT source, url, 'page', 0 FROM seeds
+  UNION ALL
+  SELECT w.source, e.dst, e.kind, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.url JOIN budget b ON b.source = w.source
+  WHERE w.kind = 'page' AND w.depth < b.md)
+SELECT source, url, kind, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY source, url, kind""",
+)
+def pip_link_frontier(spark, sf):
+    from millrace.operators import frontier as FR
+
+    return FR.expand(seeds(spark, sf), page_edges(spark, sf), BANNED)
