@@ -17,11 +17,15 @@ from millrace.functions import text as T
 from millrace.operators.joins import lookup_join
 
 
-@pandas_udf("string")
-def stem_words(words: pd.Series) -> pd.Series:
+def _stem_series(words: pd.Series) -> pd.Series:
     return words.map(lambda w: None if w is None else porter.stem(w))
 
 
+def stem_words(col):
+    """Arrow-batched pandas UDF (built on first use, so importing needs no session)."""
+    return pandas_udf(_stem_series, "string")(col)
+
+
 def stem_text(docs: DataFrame, id_col: str, text_col: str, stop_words=T.STOP_WORDS) -> DataFrame:
     """``(id, stemmed)``: normalise, drop stop words, stem each whitespace word, rejoin with one space."""
     ws = docs.select(F.col(id_col).alias("id"), F.posexplode(T.ws_split(T.normalize(text_col))).alias("pos", "w"))
