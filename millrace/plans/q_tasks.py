@@ -70,7 +70,7 @@ def udf_prompt_job(spark, sf):
 
 @query(
     "agg_task_cost",
-    "SELECT task, count(*) AS n_rows, count(*) FILTER (WHERE total_tokens = 0) AS n_failed, sum(total_tokens) AS total_tokens, "
+    "SELECT task, count(*) AS n_rows, count(*) FILTER (WHERE total_tokens = 0) AS n_failed, CAST(sum(total_tokens) AS BIGINT) AS total_tokens, "
     "round(sum(costs), 9) AS costs FROM ("
     + " UNION ALL ".join(
         f"SELECT * FROM {_job_sql(f'(SELECT d.* FROM {DOCS_SQL} d JOIN {ROUTES_SQL} ON d.source = r.source WHERE r.task = {S.lit(t)})', EXTRACT_TEMPLATE, t, 'echo', MAX_CHARS)}"
