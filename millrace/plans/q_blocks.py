@@ -123,7 +123,8 @@ SELECT doc_id, block_no, n_used, CASE WHEN row_number() OVER (ORDER BY md5('42/'
 FROM keyed""",
 )
 def pip_pack_split(spark, sf):
-    blocks = B.pack_documents(table(spark, sf, "documents"))
+    # the split is decided on block keys; token arrays are not carried through its checkpoint
+    blocks = B.pack_documents(table(spark, sf, "documents"), with_tokens=False).select("doc_id", "block_no", "n_used")
     key = F.concat(F.col("doc_id").cast("string"), F.lit("/"), F.col("block_no").cast("string"))
     return B.exact_split(blocks, key, 42, 0.95, "half_even").select("doc_id", "block_no", "n_used", "split")
 
