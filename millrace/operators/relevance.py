@@ -178,7 +178,8 @@ def score_documents(
     w = weights(corpus_bow, model.idf)
     qp = query_vector(spark, pos_query, model.idf, stop_words, "qp")
     qn = query_vector(spark, neg_query, model.idf, stop_words, "qn")
-    return posneg_scores(w, qp, qn).select(F.col("doc_id").alias(id_col), "score")
+    # one row per document: checkpointed so later passes (range sampling, ranking) do not recompute it
+    return cut_lineage(posneg_scores(w, qp, qn).select(F.col("doc_id").alias(id_col), "score"))
 
 
 def score_with_model(
