@@ -15,6 +15,7 @@ from pyspark.sql.functions import pandas_udf
 from millrace.functions import porter
 from millrace.functions import text as T
 from millrace.operators.joins import lookup_join
+from millrace.session import cut_lineage
 
 
 def _stem_series(words: pd.Series) -> pd.Series:
@@ -31,7 +32,8 @@ def stem_text(docs: DataFrame, id_col: str, text_col: str, stop_words=T.STOP_WOR
     ws = docs.select(F.col(id_col).alias("id"), F.posexplode(T.ws_split(T.normalize(text_col))).alias("pos", "w"))
     ws = ws.where(~F.col("w").isin(list(stop_words)))
     vocab = ws.select("w").distinct()
-    stems = vocab.select("w", stem_words("w").alias("s"))
+    # stemmed once: the size check and the join both read the checkpoint, not the UDF
+    stems = cut_lineage(vocab.select("w", stem_words("w").alias("s")))
     joined = lookup_join(ws, stems, ["w"], "inner", spread=F.xxhash64("id", "pos"))
     g = joined.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "s"))).alias("parts"))
     out = g.select(F.col("id").alias(id_col), F.array_join(F.transform("parts", lambda x: x["s"]), " ").alias("stemmed"))
