@@ -6,12 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language, mixing, quality, simhash, toxicity
+from millrace.llm import bpe, cws, language, mixing, quality, simhash, topk, toxicity, urlfilter, warc
 from millrace.llm.common import fold
-from millrace.session import table
+from millrace.llm.next_document import NO_ID, with_edited
+from millrace.session import cut_lineage, scratch_path, table
 
 #: Place of the rank file that the encoding query uses.
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: (verdict, host, path) of the query's rules.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +30,33 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "text"), model)
 
 
+def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, follow = with_edited(table(spark, sf_dir, "documents"))
+    both = F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"))))
+    texts = rows.select("key", "copy", both.alias("v")).select("key", "copy", "v.kind", "v.text")
+    # all of a document stays in the partition of its key: no shuffle between the texts and the fingerprints
+    signed = cws.fingerprint_texts(texts, ["key", "copy", "kind"])
+    of = lambda kind, name: F.max(F.when(F.col("kind") == kind, F.col("fingerprint"))).alias(name)
+    pairs = signed.groupBy("key", "copy").agg(of(0, "fingerprint"), of(1, "edited_fingerprint"))
+    facts = rows.select("key", "copy", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
+    done = cut_lineage(facts.join(pairs, ["key", "copy"]))
+    first = done.where("copy = 1").select(F.col("key").alias("next_key"), F.col("fingerprint").alias("next_fingerprint"))
+    done = done.join(follow, "key").join(first, "next_key")
+    return done.select(
+        F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"),
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        cws.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        cws.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rules_table(spark, URL_RULES))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held = fold("doc_id", 5) == 0
@@ -28,6 +64,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "text"), model)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids=False)
@@ -37,6 +78,13 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scaled = F.transform("embedding", lambda x: F.floor(F.lit(64.0) * x.cast("double")))
+    whole = F.col("embedding").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = table(spark, sf_dir, "embeddings").where(F.col("vec_id").isNotNull() & whole).select("vec_id", scaled.alias("vector"))
+    return topk.search(rows.where("vec_id % 20 = 0"), rows, k=20)
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = fold("doc_id", 3) == 1
@@ -48,5 +96,40 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"), words=4, distance=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op4_toxicity, op6_bpe, op7_mix, op9_language, op10_simhash)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_url_filter, op4_toxicity, op5_warc, op6_bpe, op7_mix, op8_topk, op9_language, op10_simhash)}
+
+ORACLES: dict[str, str] = {
+    "op3_url_filter": r"""
+WITH p AS (
+  SELECT page_id,
+    translate(CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*') ELSE '' END,
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(regexp_replace(substr(url, strpos(url, '://') + 3), '^[^/?#]*', ''), '^[^?#]*') ELSE '' END AS path
+  FROM pages),
+r(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+j AS (
+  SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
+    row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) AS n
+  FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict FROM j WHERE n = 1
+""",
+    "op5_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+m AS (SELECT d, max(page_id) AS best FROM p WHERE n >= 1000 GROUP BY d)
+SELECT p.page_id, p.n AS payload_bytes, p.d AS payload_digest,
+  CASE WHEN p.n >= 1000 AND p.page_id <> m.best THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN p.n >= 1000 AND p.page_id <> m.best THEN m.best END AS refers_to
+FROM p LEFT JOIN m USING (d)
+""",
+    "op8_topk": """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+""",
+}
