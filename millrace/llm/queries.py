@@ -39,9 +39,9 @@ def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = lambda kind, name: F.max(F.when(F.col("kind") == kind, F.col("fingerprint"))).alias(name)
     pairs = signed.groupBy("key", "copy").agg(of(0, "fingerprint"), of(1, "edited_fingerprint"))
     facts = rows.select("key", "copy", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
-    done = cut_lineage(facts.join(pairs, ["key", "copy"]))
+    done = cut_lineage(facts.join(pairs, ["key", "copy"]).join(follow, "key"))
     first = done.where("copy = 1").select(F.col("key").alias("next_key"), F.col("fingerprint").alias("next_fingerprint"))
-    done = done.join(follow, "key").join(first, "next_key")
+    done = done.join(first, "next_key")
     return done.select(
         F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"),
         "n_chars",
