@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Vectors of a block and queries of a group, about.
-BLOCK, GROUP = 8192, 1024
+BLOCK, GROUP = 8192, 4096
 #: Points of a leaf.
-LEAF = 64
+LEAF = 256
 #: Sums of products up to this are exact in double precision.
 EXACT = float(1 << 53)
 
@@ -127,6 +127,8 @@ def block_topk(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarra
             cols = ct.order[slice(*ct.span[b])]
             score, ids = _products(q[rows], c[cols]), np.broadcast_to(c_ids[cols], (len(rows), len(cols)))
             score = np.where(ids == q_ids[rows][:, None], low, score)
+            better = (score >= worst[rows][:, None]).any(1)  # an equal score may win by its id
+            rows, score, ids = rows[better], score[better], ids[better]
             score, ids = np.concatenate([best[rows], score], 1), np.concatenate([best_ids[rows], ids], 1)
             order = np.lexsort((ids, -np.maximum(score, low + 1)), axis=1)[:, :k]
             best[rows], best_ids[rows] = np.take_along_axis(score, order, 1), np.take_along_axis(ids, order, 1)
