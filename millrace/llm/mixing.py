@@ -26,7 +26,7 @@ BLOCK = 64
 SHARD = 65_536
 ROUNDS = 12
 #: Rows one task's window may hold at least; buckets grow beyond as the square root of the rows.
-LEAST = 4096
+LEAST = 512
 
 
 def word_count(text: Column | str) -> Column:
@@ -119,6 +119,8 @@ def slots(goal: DataFrame, block: int = BLOCK, most: float = 2.0, seed: int = 11
     each = each.withColumn("first", F.coalesce(F.sum("n").over(along), F.lit(0)))
     room = F.floor(F.lit(float(most)) * F.col("n_blocks")) - F.col("first")
     each = each.withColumn("n", F.greatest(F.lit(0), F.least("n", room))).where("n > 0")
+    # few rows that become many: dealt out first
+    each = each.select("shard", "place", "n_blocks", "first", "n").repartition("place", "shard")
     out = each.select("shard", "place", "n_blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
     out = out.withColumn("pass", F.floor(F.col("slot") / F.col("n_blocks"))).withColumn("block", F.pmod("slot", "n_blocks"))
     turned = _permuted(F.col("block"), F.col("n_blocks"), [F.col("place"), F.col("pass")])
@@ -137,7 +139,7 @@ def streams(sized: DataFrame, goal: DataFrame) -> DataFrame:
     sums = sums.select(F.col("place").alias("_place"), F.col("bucket").alias("_bucket"), F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("place", "bucket").orderBy("mark", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    rows = rows.join(sums, (rows["place"] == sums["_place"]) & (rows["bucket"] == sums["_bucket"]))
+    rows = rows.join(sums.hint("merge"), (rows["place"] == sums["_place"]) & (rows["bucket"] == sums["_bucket"]))
     return rows.withColumn("first", F.col("base") + F.col("inner")).drop("bucket", "inner", "base", "_place", "_bucket")
 
 
@@ -152,7 +154,7 @@ def takes(placed: DataFrame, taken_blocks: DataFrame, block: int = BLOCK) -> Dat
     in that the mix takes. ``taken_blocks``: ``(place, block, times)``."""
     lies = placed.where("size > 0").select("place", "first", "size", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block))).alias("block"))
     words = F.least((F.col("block") + 1) * block, F.col("first") + F.col("size")) - F.greatest(F.col("block") * block, F.col("first"))
-    return lies.withColumn("words", words).join(taken_blocks, ["place", "block"])
+    return lies.withColumn("words", words).join(taken_blocks.hint("merge"), ["place", "block"])
 
 
 def _plan(docs: DataFrame, id_col: str, text: str, source: str, block: int) -> tuple[DataFrame, DataFrame]:
@@ -173,7 +175,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     placed, parts = _plan(docs, id_col, text, source, block)
     # a place and a first word tell documents with words apart
     taken = parts.groupBy("place", "first").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    filled = placed.where("size > 0").join(taken, ["place", "first"], "left")
+    filled = placed.where("size > 0").join(taken.hint("merge"), ["place", "first"], "left")
     bare = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     out = ["doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")]
     return filled.select(*out).union(bare.select(*out))
@@ -190,13 +192,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     # documents equal in id, source and text share a mark: number them alike on both sides
     nth = Window.partitionBy("mark").orderBy("place", "first")
     kept = placed.where("size > 0").select("place", "first", "mark").withColumn("nth", F.row_number().over(nth))
-    kept = kept.join(pieces, ["place", "first"]).select(F.col("mark").alias("_mark"), F.col("nth").alias("_nth"), F.col("first").alias("_first"), F.col("size").alias("_size"), "got", "once", "twice")
+    kept = kept.join(pieces.hint("merge"), ["place", "first"]).select(F.col("mark").alias("_mark"), F.col("nth").alias("_nth"), F.col("first").alias("_first"), F.col("size").alias("_size"), "got", "once", "twice")
     c = F.col(f"`{text}`")
     rows = docs.withColumn("_own", F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{source}`"), c))
     rest = [F.col(f"`{x}`") for x in docs.columns if x not in (id_col, source, text)]
     order = [F.xxhash64(*rest)] if rest else [F.lit(0)]
     rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_own").orderBy(*order)))
-    rows = rows.join(kept, (F.col("_own") == F.col("_mark")) & (F.col("_n") == F.col("_nth")))
+    rows = rows.join(kept.hint("merge"), (F.col("_own") == F.col("_mark")) & (F.col("_n") == F.col("_nth")))
     rows = rows.withColumn("_pass", F.explode(F.filter(F.array(F.lit(1), F.lit(2)), lambda p: F.when(p == 1, F.col("once")).otherwise(F.col("twice")) > 0)))
     held = F.when(F.col("_pass") == 1, F.col("once")).otherwise(F.col("twice"))
     blocks = F.transform(F.filter("got", lambda x: x["times"] >= F.col("_pass")), lambda x: x["block"])
