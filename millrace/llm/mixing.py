@@ -23,7 +23,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 BLOCK = 64
 #: Slots of an output shard, on average.
-SHARD = 65_536
+SHARD = 16_384
 ROUNDS = 12
 #: Rows one task's window may hold at least; buckets grow beyond as the square root of the rows.
 LEAST = 512
@@ -119,8 +119,9 @@ def slots(goal: DataFrame, block: int = BLOCK, most: float = 2.0, seed: int = 11
     each = each.withColumn("first", F.coalesce(F.sum("n").over(along), F.lit(0)))
     room = F.floor(F.lit(float(most)) * F.col("n_blocks")) - F.col("first")
     each = each.withColumn("n", F.greatest(F.lit(0), F.least("n", room))).where("n > 0")
-    # few rows that become many: dealt out first
-    each = each.select("shard", "place", "n_blocks", "first", "n").repartition("place", "shard")
+    # few rows that become many: dealt out first, to a given number of tasks so that they aren't put together again
+    tasks = int(goal.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = each.select("shard", "place", "n_blocks", "first", "n").repartition(tasks, "place", "shard")
     out = each.select("shard", "place", "n_blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
     out = out.withColumn("pass", F.floor(F.col("slot") / F.col("n_blocks"))).withColumn("block", F.pmod("slot", "n_blocks"))
     turned = _permuted(F.col("block"), F.col("n_blocks"), [F.col("place"), F.col("pass")])
