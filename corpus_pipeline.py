@@ -26,14 +26,14 @@ def _documents(rows: DataFrame, docs: DataFrame) -> DataFrame:
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (predicted 1)."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
-    rows = quality.score(docs.withColumn("_text", F.col("text")), model, "_text")
+    rows = quality.score(docs, model, keep=True)
     return _documents(rows.where("predicted = 1"), docs)
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a clear language: one was found, with a mean probability of ``CLEAR`` at least."""
     model = language.fit(docs, fold("doc_id", 3) != 1)
-    rows = language.predict(docs.withColumn("_text", F.col("text")), model, "_text")
+    rows = language.predict(docs, model, keep=True)
     return _documents(rows.where((F.col("lang_pred") != "und") & (F.col("score") >= CLEAR)), docs)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from millrace.llm.common import per_text
 
 #: Text bytes whose distinct pre-tokens are merged together.
-SLICE = 16 << 20
+SLICE = 8 << 20
 #: Tokens decoded at once.
 PART = 1 << 20
 #: Pre-tokens above so many bytes are merged on their own.

@@ -38,8 +38,8 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             yield batch.slice(first)
 
 
-def per_text(df: DataFrame, text: str, schema: str, fn: Callable[[list], dict[str, list]], limit: int = SLICE_BYTES) -> DataFrame:
-    """``df`` with the columns of ``schema`` in place of column ``text``.
+def per_text(df: DataFrame, text: str, schema: str, fn: Callable[[list], dict[str, list]], limit: int = SLICE_BYTES, keep: bool = False) -> DataFrame:
+    """``df`` with the columns of ``schema`` in place of column ``text``, or beside it with ``keep``.
 
     ``fn`` takes the texts of a slice (str or None) and returns each new column as a list.
     The new columns replace columns of the same name.
@@ -47,8 +47,8 @@ def per_text(df: DataFrame, text: str, schema: str, fn: Callable[[list], dict[st
     from pyspark.sql.types import StructType
 
     new = StructType.fromDDL(schema)
-    kept = [c for c in df.columns if c != text and c not in new.names]
-    frame = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`"))
+    kept = [c for c in df.columns if (keep or c != text) and c not in new.names]
+    frame = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, text])])
     out = StructType([f for f in frame.schema.fields if f.name in kept] + list(new.fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ LENGTH, RUN = 48, 12
 LEXICON = 2000
 ORDERS = (1, 2, 3, 4)
 #: Text bytes whose distinct words are scored together.
-SLICE = 16 << 20
+SLICE = 4 << 20
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -283,8 +283,9 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "tex
     return fit_model([r["part"] for r in got], [r["_lang"] for r in got], seed=seed)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (0 to 1) in place of column ``text``.
+def predict(docs: DataFrame, model: Model, text: str = "text", keep: bool = False) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` (0 to 1) in place of column ``text``, or beside
+    it with ``keep``.
 
     Whole texts are read. A text that is null or has no letter gets ``und`` and 0, and so does every text
     where nothing could be learned. Repeated rows stay; an empty table stays empty.
@@ -295,4 +296,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         langs, scores = shared.value.predict(texts)
         return {"lang_pred": langs, "score": scores}
 
-    return per_text(docs, text, "lang_pred string, score double", run, SLICE)
+    return per_text(docs, text, "lang_pred string, score double", run, SLICE, keep)

@@ -178,8 +178,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     return fit_model(x[is_pos], x[is_unl])
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 if score >= 0.5) in place of column ``text``.
+def score(docs: DataFrame, model: Model, text: str = "text", keep: bool = False) -> DataFrame:
+    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 if score >= 0.5) in place of column ``text``, or beside
+    it with ``keep``.
 
     Whole texts are read. A null text is scored as an empty one; repeated rows stay; an empty table stays
     empty; a model without positives or texts to learn from scores 0.5.
@@ -189,4 +190,4 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         got = model.scores(np.array([figures(t) for t in texts]).reshape(-1, FIGURES))
         return {"score": got.tolist(), "predicted": (got >= 0.5).astype(int).tolist()}
 
-    return per_text(docs, text, "score double, predicted int", run)
+    return per_text(docs, text, "score double, predicted int", run, keep=keep)
