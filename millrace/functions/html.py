@@ -50,8 +50,8 @@ def collapse_ws(c: Column) -> Column:
 
 
 def body_text(c: Column | str) -> Column:
-    """HTM-1: visible text of the body, tags as spaces, entities unescaped, whitespace collapsed."""
-    body = F.regexp_extract(strip_invisible(c), r"(?is)<body\b[^>]*>(.*)</body\s*>", 1)
+    """HTM-1: visible text of the body (to ``</body>``, or to the end where it is missing), tags as spaces, entities unescaped, whitespace collapsed."""
+    body = F.regexp_extract(strip_invisible(c), r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)", 1)
     return collapse_ws(unescape(drop_tags(body, " ")))
 
 

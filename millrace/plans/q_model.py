@@ -40,7 +40,7 @@ def page_scores(spark, sf, idf):
 
 def _page_score_sql() -> str:
     body = W._collapse(W._unescape(W._drop_tags(
-        f"regexp_extract({W._strip_invisible('html')}, '(?is)<body\\b[^>]*>(.*)</body\\s*>', 1)", " ")))
+        f"regexp_extract({W._strip_invisible('html')}, '(?is)<body\\b[^>]*>(.*?)(?:</body\\s*>|\\z)', 1)", " ")))
     return QR._rel_ctes() + f""",
 pbody AS (SELECT page_id, {body} AS content FROM pages),
 pw AS (SELECT page_id, token, count(*) * any_value(idf) AS w FROM

@@ -53,7 +53,7 @@ def _paragraphs_list(e: str) -> str:
 @query(
     "htm_body_text",
     "SELECT page_id, " + _collapse(_unescape(_drop_tags(
-        f"regexp_extract({_strip_invisible('html')}, '(?is)<body\\b[^>]*>(.*)</body\\s*>', 1)", " "))) + " AS text FROM pages",
+        f"regexp_extract({_strip_invisible('html')}, '(?is)<body\\b[^>]*>(.*?)(?:</body\\s*>|\\z)', 1)", " "))) + " AS text FROM pages",
 )
 def htm_body_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", H.body_text("html").alias("text"))
