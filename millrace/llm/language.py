@@ -32,6 +32,8 @@ LEXICON = 2000
 ORDERS = (1, 2, 3, 4)
 #: Text bytes whose distinct words are scored together.
 SLICE = 4 << 20
+#: Words whose features are held at once.
+PART = 1 << 14
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -84,11 +86,12 @@ class Model:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """Log potentials of each of the words."""
-        feats, owners = word_features(words)
         out = np.zeros((len(words), len(self.langs)), self.weights.dtype)
-        if len(feats):
-            first = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
-            out[owners[first]] = np.add.reduceat(self.weights[feats], first, axis=0)
+        for at in range(0, len(words), PART):
+            feats, owners = word_features(words[at : at + PART])
+            if len(feats):
+                first = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
+                out[at + owners[first]] = np.add.reduceat(self.weights[feats], first, axis=0)
         return out + self.in_lexicon(words) @ self.lexicon_weights
 
     def in_lexicon(self, words: list[str]) -> np.ndarray:
