@@ -15,12 +15,12 @@ PAD_TOKEN = "<pad>"
 IGNORE_LABEL = "-100"
 
 
-def chunk_count(n: Column, size: int, overlap: int, mode: str = "reference") -> Column:
-    """ARR-3 count: ``floor((n - overlap) / (size - overlap)) + 1``.
+def chunk_count(n: Column, size: int, overlap: int, mode: str = "whole") -> Column:
+    """ARR-3 count.  ``whole``: at least one chunk for a non-empty text and no chunk that is only overlap.
 
-    ``reference``: below ``overlap`` tokens that is 0 (the text is lost) and
-    ``n == size`` gives a second chunk of pure overlap (Q6).  ``whole``: at least
-    one chunk for a non-empty text and no chunk that is only overlap.
+    ``reference``: ``floor((n - overlap) / (size - overlap)) + 1``; below ``overlap``
+    tokens that is 0 (the text is lost) and ``n == size`` gives a second chunk of pure
+    overlap (Q6).
     """
     step = size - overlap
     ref = F.floor((n - F.lit(overlap)) / F.lit(step)).cast("int") + 1
@@ -30,9 +30,13 @@ def chunk_count(n: Column, size: int, overlap: int, mode: str = "reference") ->
     return F.when(n > 0, whole).otherwise(F.lit(0))
 
 
-def chunks(text: Column | str, size: int, overlap: int, mode: str = "reference") -> Column:
-    """ARR-3: overlapping chunks of pieces, ``array<struct<chunk_no:int, text:string>>``; the last one is clipped."""
-    toks = pieces(text)
+def chunks(toks: Column | str, size: int, overlap: int, mode: str = "whole") -> Column:
+    """ARR-3: overlapping chunks of pieces, ``array<struct<chunk_no:int, text:string>>``; the last one is clipped.
+
+    ``toks`` is a column of pieces that has been projected before, so that a text is
+    cut into pieces once and not once for each chunk.
+    """
+    toks = _c(toks)
     n = F.size(toks)
     cnt = chunk_count(n, size, overlap, mode)
     step = size - overlap

@@ -21,9 +21,9 @@ def parse_pair(line: Column) -> Column:
     """
     pos = F.instr(line, " - ")
     head = F.substring(line, F.lit(1), pos - 1)
-    tail = F.substring(line, pos + 3, F.lit(1 << 30))
+    tail = F.substr(line, pos + 3)
     dot = F.instr(head, ".")
-    term = F.when(dot > 0, F.substring(head, dot + 1, F.lit(1 << 30))).otherwise(head)
+    term = F.when(dot > 0, F.substr(head, dot + 1)).otherwise(head)
     return F.when(pos > 0, F.struct(strip_ws(term).alias("term"), strip_ws(tail).alias("expansion")))
 
 

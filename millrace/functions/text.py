@@ -89,8 +89,16 @@ def sentences(c: Column | str) -> Column:
 
 
 def valid_utf8(c: Column | str) -> Column:
-    """STR-18: drop characters that cannot be encoded (bad bytes become U+FFFD, then removed)."""
-    return F.replace(F.make_valid_utf8(_c(c).cast("binary")), F.lit("�"), F.lit(""))
+    """STR-18: drop bytes that are not UTF-8; valid text stays as it is, a genuine U+FFFD too."""
+    bad, mark = F.lit("\ufffd"), "\x01"
+    steps = [(F.lit(mark), F.lit(mark + "a")), (bad, F.lit(mark + "b"))]
+    own = _c(c)
+    for a, b in steps:  # genuine ones are written as marks before broken bytes become U+FFFD
+        own = F.replace(own, a, b)
+    own = F.replace(F.make_valid_utf8(own.cast("binary")), bad, F.lit(""))
+    for a, b in reversed(steps):
+        own = F.replace(own, b, a)
+    return F.when(F.is_valid_utf8(_c(c)), _c(c)).otherwise(own)
 
 
 def fill_placeholder(template: str | Column, placeholder: str, value: Column | str) -> Column:

@@ -1,8 +1,8 @@
 """Link-frontier expansion over stored pages (PIP-7), breadth-first.
 
 One join per depth: the frontier meets the edge table, banned hosts are
-dropped, already visited ``(source, url)`` pairs are removed by an anti-join,
-and file links are recorded but not expanded.  Each level is cut with a
+dropped, pages already visited with as many steps left are removed, and file
+links are recorded but not expanded.  Each level is cut with a
 reliable checkpoint so the plan does not grow with depth and survives lost
 executors.  The result is order-independent: every url gets its shortest
 depth per source (Q15).
@@ -14,30 +14,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import urls as U
-from millrace.operators.joins import bounded_broadcast
+from millrace.operators.joins import bounded_broadcast, salted_join
 from millrace.session import cut_lineage
 
 
-def expand(seeds: DataFrame, edges: DataFrame, banned: list[str], match: str = "contains", max_levels: int = 64) -> DataFrame:
+def expand(seeds: DataFrame, edges: DataFrame, banned: list[str], match: str = "contains") -> DataFrame:
     """``seeds(source, url, max_depth)``, ``edges(src, dst, kind)`` -> ``(source, url, kind, depth)``.
 
-    Seeds missing a field are dropped (FIL-13); a source expands to the
-    largest ``max_depth`` of its seeds.
+    Seeds missing a field are dropped (FIL-13). Every seed has its own depth: a page
+    carries the steps it has left, and is expanded again where it is reached with
+    more. File links count on every page visited, also on those with no step left.
+    The walk ends when nothing new is found.
     """
     valid = seeds.dropna("any", subset=["source", "url", "max_depth"])
-    budget = valid.groupBy("source").agg(F.max("max_depth").alias("max_depth"))
-    e = edges.where(~U.is_banned(U.root_domain(F.col("dst")), banned, match))
-    frontier = cut_lineage(valid.select("source", "url", F.lit("page").alias("kind"), F.lit(0).alias("depth")).distinct())
-    visited = frontier
-    for level in range(1, max_levels + 1):
-        live = frontier.where(F.col("kind") == "page").join(F.broadcast(budget), "source").where(F.col("depth") < F.col("max_depth"))
-        small = bounded_broadcast(live.select("source", "url"))
-        side = small if small is not None else live.select("source", "url")
-        nxt = side.join(e, side["url"] == e["src"]).select("source", F.col("dst").alias("url"), "kind")
-        nxt = nxt.distinct().join(visited.select("source", "url"), ["source", "url"], "left_anti")
-        nxt = cut_lineage(nxt.withColumn("depth", F.lit(level)))
-        if nxt.limit(1).count() == 0:
-            break
-        visited = cut_lineage(visited.unionByName(nxt))
-        frontier = nxt
-    return visited
+    e = edges.where(~U.is_banned(U.root_domain(F.col("dst")), banned, match)).select(F.col("src").alias("url"), "dst", "kind")
+    keys = ["source", "url", "kind"]
+    start = valid.groupBy("source", "url").agg(F.max("max_depth").alias("rest"))
+    frontier = cut_lineage(start.select("source", "url", F.lit("page").alias("kind"), F.lit(0).alias("depth"), "rest"))
+    visited, level = frontier, 0
+    while True:
+        level += 1
+        live = frontier.where("kind = 'page' and rest >= 0").select("source", "url", "rest")
+        small = bounded_broadcast(live)
+        met = small.join(e, "url") if small is not None else salted_join(e, live, ["url"])
+        met = met.where("rest > 0 or kind = 'file'").select("source", F.col("dst").alias("url"), "kind", "rest")
+        rest = F.max(F.when(F.col("kind") == "page", F.col("rest") - 1).otherwise(-1))
+        best = visited.groupBy(*keys).agg(F.max("rest").alias("best"))
+        found = met.groupBy(*keys).agg(rest.alias("rest")).join(best, keys, "left").where("best is null or rest > best")
+        frontier = cut_lineage(found.select(*keys, F.lit(level).alias("depth"), "rest"))
+        if frontier.isEmpty():
+            return visited.groupBy(*keys).agg(F.min("depth").alias("depth"))
+        visited = visited.unionByName(frontier)

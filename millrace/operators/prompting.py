@@ -35,15 +35,15 @@ class EchoClient:
 
     ``verdict``: 'yes' when the prompt holds an even number of '.', else 'no'.
     ``echo``: the text after the last ``Passage:\\n`` (the passage itself).
-    Prompts longer than ``max_chars`` raise, as an over-long request would.
+    With ``max_chars``, longer prompts raise, as an over-long request would.
     Tokens are whitespace-separated words.
     """
 
-    def __init__(self, mode: str = "verdict", max_chars: int = 60000):
+    def __init__(self, mode: str = "verdict", max_chars: int | None = None):
         self.mode, self.max_chars = mode, max_chars
 
     def complete(self, prompt: str, system: str | None = None) -> tuple[str, int, int]:
-        if len(prompt) > self.max_chars:
+        if self.max_chars is not None and len(prompt) > self.max_chars:
             raise ValueError("prompt too long")
         if self.mode == "verdict":
             text = "yes" if prompt.count(".") % 2 == 0 else "no"
@@ -53,7 +53,7 @@ class EchoClient:
 
 
 class EchoFactory:
-    def __init__(self, mode: str = "verdict", max_chars: int = 60000):
+    def __init__(self, mode: str = "verdict", max_chars: int | None = None):
         self.mode, self.max_chars = mode, max_chars
 
     def __call__(self) -> EchoClient:

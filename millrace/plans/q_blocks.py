@@ -23,12 +23,13 @@ SEP = "\u0001"
     "arr_chunks",
     f"""SELECT doc_id, CAST(i AS INTEGER) AS chunk_no,
        array_to_string(list_slice(p, i * {CHUNK_SIZE - CHUNK_OVERLAP} + 1, i * {CHUNK_SIZE - CHUNK_OVERLAP} + {CHUNK_SIZE}), '') AS text
-FROM (SELECT doc_id, p, unnest(range(greatest(CAST(floor((len(p) - {CHUNK_OVERLAP}) / {float(CHUNK_SIZE - CHUNK_OVERLAP)}) AS BIGINT) + 1, 0))) AS i
+FROM (SELECT doc_id, p, unnest(range(CASE WHEN len(p) = 0 THEN 0 WHEN len(p) <= {CHUNK_SIZE} THEN 1
+        ELSE CAST(ceil((len(p) - {CHUNK_OVERLAP}) / {float(CHUNK_SIZE - CHUNK_OVERLAP)}) AS BIGINT) END)) AS i
       FROM (SELECT doc_id, {S.pieces('text')} AS p FROM documents))""",
 )
 def arr_chunks(spark, sf):
-    d = table(spark, sf, "documents")
-    c = d.select("doc_id", F.explode(A.chunks("text", CHUNK_SIZE, CHUNK_OVERLAP)).alias("c"))
+    d = table(spark, sf, "documents").select("doc_id", T.pieces("text").alias("p"))
+    c = d.select("doc_id", F.explode(A.chunks("p", CHUNK_SIZE, CHUNK_OVERLAP)).alias("c"))
     return c.select("doc_id", "c.chunk_no", "c.text")
 
 

@@ -23,7 +23,6 @@ ROUTES = [
     ("abbrev", "src5"), ("abbrev", "src10"),
     ("links", "src1"), ("links", "src11"),
 ]
-MAX_CHARS = 20000
 BATCH_SIZE = 25
 
 DOCS_SQL = "(SELECT doc_id, 'doc/' || CAST(doc_id AS VARCHAR) AS url, source, text AS content FROM documents)"
@@ -49,23 +48,22 @@ def _words_sql(e: str) -> str:
     return f"CAST(len(list_filter(regexp_split_to_array({e}, '[\\t\\n\\f\\r ]+'), lambda w: w <> '')) AS BIGINT)"
 
 
-def _job_sql(src: str, template: str, task: str, mode: str, max_chars: int) -> str:
+def _job_sql(src: str, template: str, task: str, mode: str) -> str:
     """Rows of a prompt job with the echo client: ``url, source, content, task, total_tokens, generated_text, costs``."""
     p = f"replace({S.lit(template)}, '{{context}}', content)"
     text = ("CASE WHEN (length(p) - length(replace(p, '.', ''))) % 2 = 0 THEN 'yes' ELSE 'no' END" if mode == "verdict"
             else "split_part(p, 'Passage:' || chr(10), -1)")
     return f"""(SELECT url, source, content, {S.lit(task)} AS task,
-    CASE WHEN failed THEN 0 ELSE pin + {_words_sql('gen')} END AS total_tokens,
-    CASE WHEN failed THEN '' ELSE gen END AS generated_text,
-    CASE WHEN failed THEN 0.0 ELSE pin * 0.15e-6 + {_words_sql('gen')} * 0.6e-6 END AS costs
-  FROM (SELECT *, {text} AS gen, {_words_sql('p')} AS pin, length(p) > {max_chars} AS failed
+    pin + {_words_sql('gen')} AS total_tokens, gen AS generated_text,
+    pin * 0.15e-6 + {_words_sql('gen')} * 0.6e-6 AS costs
+  FROM (SELECT *, {text} AS gen, {_words_sql('p')} AS pin
         FROM (SELECT *, {p} AS p FROM {src})))"""
 
 
-@query("udf_prompt_job", "SELECT * FROM " + _job_sql(DOCS_SQL, COHERENCE_TEMPLATE, "coherence", "verdict", MAX_CHARS))
+@query("udf_prompt_job", "SELECT * FROM " + _job_sql(DOCS_SQL, COHERENCE_TEMPLATE, "coherence", "verdict"))
 def udf_prompt_job(spark, sf):
     d = documents_as_rows(table(spark, sf, "documents"))
-    return PR.run_prompts(d, COHERENCE_TEMPLATE, "coherence", PR.EchoFactory("verdict", MAX_CHARS))
+    return PR.run_prompts(d, COHERENCE_TEMPLATE, "coherence", PR.EchoFactory("verdict"))
 
 
 @query(
@@ -73,7 +71,7 @@ def udf_prompt_job(spark, sf):
     "SELECT task, count(*) AS n_rows, count(*) FILTER (WHERE total_tokens = 0) AS n_failed, CAST(sum(total_tokens) AS BIGINT) AS total_tokens, "
     "round(sum(costs), 9) AS costs FROM ("
     + " UNION ALL ".join(
-        f"SELECT * FROM {_job_sql(f'(SELECT d.* FROM {DOCS_SQL} d JOIN {ROUTES_SQL} ON d.source = r.source WHERE r.task = {S.lit(t)})', EXTRACT_TEMPLATE, t, 'echo', MAX_CHARS)}"
+        f"SELECT * FROM {_job_sql(f'(SELECT d.* FROM {DOCS_SQL} d JOIN {ROUTES_SQL} ON d.source = r.source WHERE r.task = {S.lit(t)})', EXTRACT_TEMPLATE, t, 'echo')}"
         for t in sorted({t for t, _ in ROUTES})
     )
     + ") GROUP BY task",
@@ -82,7 +80,7 @@ def agg_task_cost(spark, sf):
     r = routed(spark, sf)
     out = None
     for t in sorted({t for t, _ in ROUTES}):
-        job = PR.run_prompts(r.where(F.col("task") == t), EXTRACT_TEMPLATE, t, PR.EchoFactory("echo", MAX_CHARS))
+        job = PR.run_prompts(r.where(F.col("task") == t), EXTRACT_TEMPLATE, t, PR.EchoFactory("echo"))
         out = job if out is None else out.unionByName(job)
     return PR.task_costs(out)
 
@@ -125,9 +123,9 @@ def srt_head_source(spark, sf):
 def _coherent_sql() -> str:
     kept = (f"(SELECT * FROM {DOCS_SQL} WHERE {S.token_count('content')} > {P.MIN_TOKENS} "
             f"AND {S.token_count('content')} < {P.MAX_TOKENS})")
-    checked = _job_sql(kept, COHERENCE_TEMPLATE, "coherence", "verdict", MAX_CHARS)
+    checked = _job_sql(kept, COHERENCE_TEMPLATE, "coherence", "verdict")
     yes = f"(SELECT url, source, content FROM {checked} WHERE generated_text IN ('Yes', 'yes'))"
-    cleaned = _job_sql(yes, CLEANING_TEMPLATE, "cleaning", "echo", MAX_CHARS)
+    cleaned = _job_sql(yes, CLEANING_TEMPLATE, "cleaning", "echo")
     return (f"SELECT * FROM {cleaned} WHERE url IS NOT NULL AND source IS NOT NULL AND content IS NOT NULL "
             "AND task IS NOT NULL AND total_tokens IS NOT NULL AND generated_text IS NOT NULL AND costs IS NOT NULL")
 
@@ -137,9 +135,9 @@ def pip_coherence_clean(spark, sf):
     """PIP-2: token-range filter, coherence job, keep 'yes'/'Yes', cleaning job, drop rows with nulls."""
     d = documents_as_rows(table(spark, sf, "documents")).withColumn("n", T.token_count("content"))
     d = d.where((F.col("n") > P.MIN_TOKENS) & (F.col("n") < P.MAX_TOKENS))
-    checked = PR.run_prompts(d, COHERENCE_TEMPLATE, "coherence", PR.EchoFactory("verdict", MAX_CHARS))
+    checked = PR.run_prompts(d, COHERENCE_TEMPLATE, "coherence", PR.EchoFactory("verdict"))
     yes = checked.where(F.col("generated_text").isin("Yes", "yes")).select("url", "source", "content")
-    cleaned = PR.run_prompts(yes, CLEANING_TEMPLATE, "cleaning", PR.EchoFactory("echo", MAX_CHARS))
+    cleaned = PR.run_prompts(yes, CLEANING_TEMPLATE, "cleaning", PR.EchoFactory("echo"))
     return cleaned.dropna("any")
 
 
@@ -159,17 +157,17 @@ def task_job(spark, rows, results_dir: str, task: str, template: str, factory) -
 @query(
     "pip_task_job",
     "SELECT url, source, content, task, total_tokens, nullif(generated_text, '') AS generated_text, costs FROM " + _job_sql(f"(SELECT d.* FROM {DOCS_SQL} d JOIN {ROUTES_SQL} ON d.source = r.source WHERE r.task = 'definitions')",
-                                EXTRACT_TEMPLATE, "definitions", "echo", MAX_CHARS),
+                                EXTRACT_TEMPLATE, "definitions", "echo"),
 )
 def pip_task_job(spark, sf):
     """Extraction job for the sources routed to 'definitions', run twice: an interrupted first run
     (English rows only) and a resumed second run over everything; the second adds only missing rows.
-    Read back from CSV, an empty answer (failed call) is an empty cell, i.e. null."""
+    Read back from CSV, an empty answer is an empty cell, i.e. null."""
     path = scratch_path(spark, "task-results")
     rows = routed(spark, sf).where(F.col("task") == "definitions").select("doc_id", "url", "source", "content")
     lang = table(spark, sf, "documents").select("doc_id", "lang")
     first = rows.join(lang.where(F.col("lang") == "en"), "doc_id", "left_semi")
-    factory = PR.EchoFactory("echo", MAX_CHARS)
+    factory = PR.EchoFactory("echo")
     task_job(spark, first.drop("doc_id"), path, "definitions", EXTRACT_TEMPLATE, factory)
     task_job(spark, rows.drop("doc_id"), path, "definitions", EXTRACT_TEMPLATE, factory)
     return IO.read_csv(spark, path, RESULT_SCHEMA)

@@ -203,7 +203,7 @@ def str_sentences(spark, sf):
     return d.withColumn("pos", F.col("pos").cast("long"))
 
 
-@query("str_valid_utf8")
+@query("str_valid_utf8", "SELECT doc_id, text FROM documents")
 def str_valid_utf8(spark, sf):
     """Rows-only check: valid text passes unchanged (unit test covers broken bytes)."""
     return table(spark, sf, "documents").select("doc_id", T.valid_utf8("text").alias("text"))

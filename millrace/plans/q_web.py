@@ -127,7 +127,7 @@ def htm_section_digest(spark, sf):
 def derived_links(spark, sf):
     """Links of every kind, derived from each page's anchors by position: ``(page_id, pos, base, href)``."""
     x = table(spark, sf, "pages").select("page_id", F.col("url").alias("base"), F.posexplode(H.links("html")).alias("pos", "raw"))
-    word = F.substring(F.col("raw"), 2, 1 << 20)
+    word = F.substr(F.col("raw"), F.lit(2))
     href = (
         F.when(F.col("pos") == 0, F.col("raw"))
         .when(F.col("pos") == 1, F.concat(F.lit("https://docs.example.com"), F.col("raw")))
@@ -286,13 +286,12 @@ EDGES_SQL = f"""(SELECT a.src, q.url AS dst, 'page' AS kind FROM
 @query(
     "pip_link_frontier",
     f"""WITH RECURSIVE seeds AS (SELECT * FROM {SEEDS_SQL} WHERE source IS NOT NULL AND url IS NOT NULL AND max_depth IS NOT NULL),
-budget AS (SELECT source, max(max_depth) AS md FROM seeds GROUP BY source),
 edges AS (SELECT * FROM {EDGES_SQL} WHERE NOT {_banned_sql(_root_sql('dst'))}),
-walk(source, url, kind, depth) AS (
-  SELECT DISTINCT source, url, 'page', 0 FROM seeds
-  UNION ALL
-  SELECT w.source, e.dst, e.kind, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.url JOIN budget b ON b.source = w.source
-  WHERE w.kind = 'page' AND w.depth < b.md)
+walk(source, url, kind, depth, rest) AS (
+  SELECT DISTINCT source, url, 'page', 0, max_depth FROM seeds
+  UNION
+  SELECT w.source, e.dst, e.kind, w.depth + 1, w.rest - 1 FROM walk w JOIN edges e ON e.src = w.url
+  WHERE w.kind = 'page' AND (w.rest > 0 OR w.rest = 0 AND e.kind = 'file'))
 SELECT source, url, kind, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY source, url, kind""",
 )
 def pip_link_frontier(spark, sf):

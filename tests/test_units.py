@@ -8,6 +8,7 @@ from millrace.functions import records as RC
 from millrace.functions import text as T
 from millrace.functions import urls as U
 from millrace.operators import blocks as B
+from millrace.operators import frontier as FR
 from millrace.operators import prompting as PR
 from millrace.operators import rank as R
 from millrace.operators import records as REC
@@ -31,13 +32,48 @@ def test_stop_words_keep_punctuated(spark):
 def test_chunk_counts_reference_mode(spark):
     size, overlap = 10, 3
     df = spark.createDataFrame([(n,) for n in [0, overlap - 1, overlap, size, size + 1]], "n int")
-    got = [r[0] for r in df.select(A.chunk_count(F.col("n"), size, overlap)).collect()]
+    got = [r[0] for r in df.select(A.chunk_count(F.col("n"), size, overlap, "reference")).collect()]
     assert got == [0, 0, 1, 2, 2]  # n = size gives a chunk of pure overlap (Q6)
 
 
 def test_chunks_whole_mode_keeps_short_text(spark):
-    df = spark.createDataFrame([("a b",)], "v string")
-    assert df.select(F.size(A.chunks("v", 10, 3, "whole"))).first()[0] == 1
+    df = spark.createDataFrame([("a b",)], "v string").select(T.pieces("v").alias("p"))
+    assert df.select(F.size(A.chunks("p", 10, 3))).first()[0] == 1
+
+
+def test_valid_utf8_drops_broken_bytes_only(spark):
+    df = spark.createDataFrame([(bytearray(b"a\xef\xbf\xbdb"),), (bytearray(b"a\xffb\xef\xbf\xbd\x01bc"),), (None,)], "v binary")
+    got = [r[0] for r in df.select(T.valid_utf8(F.col("v").cast("string"))).collect()]
+    assert got == ["a\ufffdb", "ab\ufffd\x01bc", None]
+
+
+def _walk(spark, seeds, edges):
+    s = spark.createDataFrame(seeds, "source string, url string, max_depth int")
+    e = spark.createDataFrame(edges, "src string, dst string, kind string")
+    rows = FR.expand(s, e, ["banned.com"]).collect()
+    assert len(rows) == len({(r["source"], r["url"], r["kind"]) for r in rows})
+    return {(r["source"], r["url"].removeprefix("http://a.com/"), r["depth"]) for r in rows}
+
+
+def _edges(*pairs):
+    return [(f"http://a.com/{a}", f"http://a.com/{b}", "file" if b.endswith(".pdf") else "page") for a, b in pairs]
+
+
+def test_frontier_cycle_and_file_at_last_depth(spark):
+    edges = _edges(("s", "x"), ("x", "s"), ("x", "y"), ("x", "f.pdf"), ("y", "g.pdf"))
+    assert _walk(spark, [("a", "http://a.com/s", 1), ("a", "http://a.com/s", None)], edges) == {("a", "s", 0), ("a", "x", 1), ("a", "f.pdf", 2)}
+
+
+def test_frontier_each_seed_has_its_own_depth(spark):
+    edges = _edges(("s", "x"), ("x", "y"), ("y", "z"), ("t", "u"), ("u", "v"), ("u", "x"))
+    seeds = [("a", "http://a.com/s", 1), ("a", "http://a.com/t", 3)]
+    # x is found at depth 1 with nothing left and again at depth 2 with one step left
+    assert _walk(spark, seeds, edges) == {("a", "s", 0), ("a", "t", 0), ("a", "x", 1), ("a", "u", 1), ("a", "v", 2), ("a", "y", 3)}
+
+
+def test_frontier_has_no_level_cap(spark):
+    edges = _edges(*[(f"p{i}", f"p{i + 1}") for i in range(6)])
+    assert len(_walk(spark, [("a", "http://a.com/p0", 5)], edges)) == 6
 
 
 def test_parse_pairs(spark):
