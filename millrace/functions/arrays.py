@@ -56,6 +56,22 @@ def truncate_tokens(text: Column | str, max_tokens: int = 128000, target_tokens:
     return F.when(F.size(toks) > F.lit(max_tokens), F.array_join(F.slice(toks, 1, target_tokens), "")).otherwise(_c(text))
 
 
+def run_ends(values: Column) -> Column:
+    """Places (from 1) at which a run of equal neighbours ends."""
+    n = F.size(values)
+    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return F.filter(places, lambda i: (i == n) | (F.get(values, i - 1) != F.get(values, i)))
+
+
+def run_lengths(values: Column, ends: Column, value: str = "value", count: str = "n") -> Column:
+    """``array<struct<value, count>>`` of the runs that end at ``ends``; of a sorted array, its distinct values.
+
+    ``values`` and ``ends`` are columns that have been projected before.
+    """
+    run = lambda e, i: F.struct(F.get(values, e - 1).alias(value), (e - F.coalesce(F.get(ends, i - 1), F.lit(0))).alias(count))
+    return F.transform(ends, run)
+
+
 def pad_and_mask(tokens: Column, length: int = 128) -> Column:
     """ARR-5: ``struct(input_ids, attention_mask, labels)`` truncated and padded to ``length``.
 

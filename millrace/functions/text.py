@@ -17,6 +17,12 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"[\p{L}\p{N}_]+"
 PIECE_PATTERN = r"\s*\S+|\s+$"
 
+# White space of any kind, Unicode's included (Java's \s is ASCII only).
+SPACES = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+WS = SPACES + "+"
+# Those of ``SPACES`` that Java's \s leaves out.
+WIDE_SPACES = "\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(i) for i in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+
 # A short English stop list of our own (function words only).
 STOP_WORDS = (
     "a an the and or but nor of to in on at by for with from into onto over under about "
@@ -33,7 +39,7 @@ def _c(c: Column | str) -> Column:
 
 def strip_ws(c: Column | str) -> Column:
     """Remove leading and trailing whitespace of any kind (``trim`` only removes spaces)."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(_c(c), rf"^{WS}|{WS}\z", "")
 
 
 def normalize(c: Column | str) -> Column:
@@ -43,7 +49,7 @@ def normalize(c: Column | str) -> Column:
 
 def ws_split(c: Column | str) -> Column:
     """Whitespace split that, like Python ``str.split()``, yields no empty strings."""
-    return F.filter(F.split(_c(c), r"\s+"), lambda w: w != F.lit(""))
+    return F.filter(F.split(_c(c), WS), lambda w: w != F.lit(""))
 
 
 def remove_stop_words(c: Column | str, stop_words: list[str] = STOP_WORDS) -> Column:
@@ -113,12 +119,8 @@ def zero_pad(c: Column | str, width: int = 10) -> Column:
     return F.when(F.length(col) >= width, col).otherwise(F.lpad(col, width, "0"))
 
 
-def term_rows_of(df, text_col: str, keep: list[str], stop_words: list[str] = STOP_WORDS):
-    """Row form of ``preprocess``: one row per word, columns ``keep + [token]``.
-
-    Uses only generators and an ``IN`` set (code-generated), no higher-order
-    functions: lower-case, split on whitespace, drop exact stop words, extract words.
-    """
-    ws = df.select(*keep, F.explode(F.split(F.lower(F.col(text_col)), r"\s+")).alias("_ws"))
-    ws = ws.where((F.col("_ws") != F.lit("")) & ~F.col("_ws").isin(list(stop_words)))
-    return ws.select(*keep, F.explode(words(F.col("_ws"))).alias("token"))
+def kept_words(c: Column | str, stop_words: list[str] = STOP_WORDS) -> Column:
+    """The words of ``preprocess`` for long texts: the stop words are a hash set, looked up once a word."""
+    plain = F.translate(F.lower(_c(c)), WIDE_SPACES, " " * len(WIDE_SPACES))
+    spaced = F.filter(F.split(plain, r"\s+"), lambda w: ~w.isin(list(stop_words)))
+    return words(F.array_join(spaced, " "))

@@ -47,11 +47,6 @@ def _ranked(df: DataFrame, order: list[Column | str], name: str, partitions: int
     return ranked.drop("_pid", "_pos", "_off"), counts
 
 
-def top_k(df: DataFrame, order: list[Column | str], k: int, name: str = "rank") -> DataFrame:
-    """Rows with rank <= k in ``order`` (k = 0 keeps none)."""
-    return with_rank(df, order, name).where(F.col(name) <= F.lit(k))
-
-
 def top_fraction(df: DataFrame, score: str, key: str, fraction: float = 0.8, name: str = "rank") -> DataFrame:
     """Keep the best ``int(n * fraction)`` rows by ``score``.
 

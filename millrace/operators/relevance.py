@@ -18,11 +18,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions import arrays as A
 from millrace.functions import text as T
 from millrace.operators.joins import lookup_join
-from millrace.session import cut_lineage
+from millrace.session import cut_lineage, scratch_path
 
 EPS = 1e-12
+# Row groups of the bags are small, as each row becomes many: several tasks may share a file.
+BAG_GROUP_BYTES = 4 << 20
 
 
 def term_rows(docs: DataFrame, id_col: str, words_col: Column) -> DataFrame:
@@ -35,22 +38,9 @@ def bag_of_words(terms: DataFrame) -> DataFrame:
     return terms.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(terms: DataFrame) -> DataFrame:
-    """AGG-1: ``(token, df)`` = number of documents holding the token (partial aggregation first)."""
-    return terms.select("doc_id", "token").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-
-
-def idf_table(corpus_bow: DataFrame, n_docs: int, dictionary: DataFrame | None = None) -> DataFrame:
-    """AGG-3: ``(token, idf)`` with ``idf = log2(N / df)``; zero weights dropped.
-
-    ``df`` counts the scored corpus; with a ``dictionary`` (one row per token)
-    only its tokens are kept -- unknown tokens vanish (JON-4).
-    """
-    df = corpus_bow.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    if dictionary is not None:
-        df = df.join(dictionary.select("token"), "token", "left_semi")
-    idf = df.select("token", F.log2(F.lit(float(n_docs)) / F.col("df")).alias("idf"))
-    return idf.where(F.abs(F.col("idf")) > F.lit(EPS))
+def vocabulary(words: DataFrame) -> DataFrame:
+    """AGG-1: ``(token, df)`` of ``(doc_id, token)`` rows that are distinct already (one row per document and word)."""
+    return words.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
 
 
 def weights(bow: DataFrame, idf: DataFrame) -> DataFrame:
@@ -101,34 +91,31 @@ class RelevanceModel:
     n_docs: int
 
 
-def doc_token_table(
+def document_bags(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "content",
     composite_terms: list[str] = (),
     stop_words: list[str] = T.STOP_WORDS,
     vocab_from: str = "raw",
+    keep: list[str] = (),
 ) -> DataFrame:
-    """One scan of the text -> ``(doc_id, token, tf, in_raw)``.
+    """``(doc_id, *keep, bag, raw)``: one row per document, made where its text is read, without a shuffle.
 
-    ``tf`` counts the token in the scored corpus text (composite terms closed
-    up, newlines removed); ``in_raw`` flags tokens of the dictionary text.  One
-    extra row per document with a null token lets the document count come from
-    the same table.  Shuffled by (doc, token) after partial aggregation.
+    ``bag`` counts the words of the scored text (composite terms closed up, newlines
+    removed). ``raw`` holds the distinct words of the dictionary text where that is
+    another text, else null: the words of ``bag`` are then the dictionary's too.
     """
-    merged = T.join_lines(T.close_composite_terms(F.col(text_col), list(composite_terms)))
-    vocab_text = F.col(text_col) if vocab_from == "raw" else merged
-    # two texts per document: m=0 dictionary text, m=1 scored text; plus a null sentinel
-    texts = F.array(
-        F.struct(F.lit(0).alias("m"), vocab_text.alias("t")),
-        F.struct(F.lit(1).alias("m"), merged.alias("t")),
-        F.struct(F.lit(2).alias("m"), F.lit(None).cast("string").alias("t")),
-    )
-    per_text = docs.select(F.col(id_col).alias("doc_id"), F.explode(texts).alias("v")).select("doc_id", "v.m", "v.t")
-    sentinel = per_text.where(F.col("m") == 2).select("doc_id", F.lit(None).cast("string").alias("token"), "m")
-    rows = T.term_rows_of(per_text.where(F.col("m") < 2), "t", ["doc_id", "m"], stop_words).unionByName(sentinel)
-    rows = rows.select("doc_id", "token", (F.col("m") == 1).cast("int").alias("m"), (F.col("m") == 0).cast("int").alias("r"))
-    return rows.groupBy("doc_id", "token").agg(F.sum("m").alias("tf"), F.max("r").alias("in_raw"))
+    whole = F.coalesce(F.col(text_col), F.lit(""))
+    merged = T.join_lines(T.close_composite_terms(whole, list(composite_terms)))
+    raw = F.lit(None).cast("array<string>")
+    if vocab_from == "raw":
+        raw = F.when(whole != merged, F.array_distinct(T.kept_words(whole, stop_words)))
+    rows = docs.select(F.col(id_col).alias("doc_id"), *keep, T.kept_words(merged, stop_words).alias("bag"), raw.alias("raw"))
+    # each step is a column of its own, so that the next one's lambdas do not work it out again
+    rows = rows.withColumn("bag", F.sort_array("bag"))
+    rows = rows.withColumn("ends", A.run_ends(F.col("bag")))
+    return rows.withColumn("bag", A.run_lengths(F.col("bag"), F.col("ends"), "token", "tf")).drop("ends")
 
 
 def build_model(
@@ -138,28 +125,34 @@ def build_model(
     composite_terms: list[str] = (),
     stop_words: list[str] = T.STOP_WORDS,
     vocab_from: str = "raw",
+    keep: list[str] = (),
 ) -> tuple[RelevanceModel, DataFrame]:
-    """Build the dictionary, the scored-corpus bag of words and the idf table.
+    """Build the dictionary, the scored corpus' bags of words and the idf table.
 
     The dictionary comes from the raw text (``vocab_from='raw'``) while the
     scored corpus has composite terms closed up and newlines removed; closed-up
     and glued words are then unknown and drop out (Q2, Q3).  ``vocab_from='merged'``
-    builds both from the merged text.  The per-document table and the idf
-    table are checkpointed (model tables): the text is scanned once.
+    builds both from the merged text.  The bags are written once as Parquet with one
+    row per document, so the text is scanned once and a pass over words, over ids or
+    over ``keep`` reads only its own columns. Words are shuffled after partial
+    aggregation only.
     """
-    table = cut_lineage(doc_token_table(docs, id_col, text_col, composite_terms, stop_words, vocab_from))
-    n_docs = table.where(F.col("token").isNull()).count()
-    terms = table.where(F.col("token").isNotNull())
-    stats = terms.groupBy("token").agg(
-        F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"), F.max("in_raw").alias("in_raw")
-    )
-    dictionary = stats.where(F.col("in_raw") == 1).select("token")
-    idf = stats.where((F.col("in_raw") == 1) & (F.col("df") > 0)).select(
-        "token", F.log2(F.lit(float(max(n_docs, 1))) / F.col("df")).alias("idf")
-    )
+    spark = docs.sparkSession
+    path = scratch_path(spark, "bags")
+    document_bags(docs, id_col, text_col, composite_terms, stop_words, vocab_from, keep).write.option("parquet.block.size", BAG_GROUP_BYTES).parquet(path)
+    bags = spark.read.parquet(path)
+    n_docs = bags.count()
+    own = bags.select(F.explode("bag.token").alias("token"), F.col("raw").isNull().alias("known")).withColumn("df", F.lit(1))
+    raw = bags.where("raw is not null").select(F.explode("raw").alias("token"), F.lit(True).alias("known"), F.lit(0).alias("df"))
+    stats = own.unionByName(raw).groupBy("token").agg(F.sum("df").alias("df"), F.max("known").alias("known")).where("known")
+    idf = stats.where("df > 0").select("token", F.log2(F.lit(float(max(n_docs, 1))) / F.col("df")).alias("idf"))
     idf = cut_lineage(idf.where(F.abs(F.col("idf")) > F.lit(EPS)))
-    corpus_bow = terms.where(F.col("tf") > 0).select("doc_id", "token", F.col("tf").cast("long").alias("tf"))
-    return RelevanceModel(dictionary, idf, n_docs), corpus_bow
+    return RelevanceModel(stats.select("token"), idf, n_docs), bags
+
+
+def corpus_bow(bags: DataFrame) -> DataFrame:
+    """``(doc_id, token, tf)`` rows of the written bags."""
+    return bags.select("doc_id", F.explode("bag").alias("b")).select("doc_id", "b.token", F.col("b.tf").cast("long").alias("tf"))
 
 
 def score_documents(
@@ -171,15 +164,22 @@ def score_documents(
     composite_terms: list[str] = (),
     stop_words: list[str] = T.STOP_WORDS,
     vocab_from: str = "raw",
+    keep: list[str] = (),
 ) -> DataFrame:
-    """``(doc_id, score)`` for every document; a document without known tokens scores 0."""
+    """``(doc_id, *keep, score)`` for every document; a document without known tokens scores 0.
+
+    ``keep`` names columns of ``docs`` that go along, so that what follows the score
+    needs no second pass over the texts.
+    """
     spark = docs.sparkSession
-    model, corpus_bow = build_model(docs, id_col, text_col, composite_terms, stop_words, vocab_from)
-    w = weights(corpus_bow, model.idf)
+    model, bags = build_model(docs, id_col, text_col, composite_terms, stop_words, vocab_from, keep)
+    w = weights(corpus_bow(bags), model.idf)
     qp = query_vector(spark, pos_query, model.idf, stop_words, "qp")
     qn = query_vector(spark, neg_query, model.idf, stop_words, "qn")
-    # one row per document: checkpointed so later passes (range sampling, ranking) do not recompute it
-    return cut_lineage(posneg_scores(w, qp, qn).select(F.col("doc_id").alias(id_col), "score"))
+    scores = posneg_scores(w, qp, qn).select("doc_id", "score")
+    out = bags.select("doc_id", *keep).join(scores, "doc_id", "left").fillna(0.0, subset=["score"])
+    # one narrow row per document, written so that later passes (range sampling, ranking) do not work it out again
+    return cut_lineage(out.withColumnRenamed("doc_id", id_col))
 
 
 def score_with_model(

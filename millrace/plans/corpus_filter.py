@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text as T
 from millrace.operators import rank as R
 from millrace.operators import relevance as REL
+from millrace.operators.joins import bounded_broadcast
 
 
 def documents_as_rows(documents: DataFrame) -> DataFrame:
@@ -41,19 +42,18 @@ def filter_corpus(
     counted = docs.withColumn("num_tokens", T.token_count("content"))
     kept = counted.where(F.col("num_tokens") > F.lit(min_tokens))
     if stage_counts is not None:
-        stage_counts["before_token_filter"] = counted.count()
-    scores = REL.score_documents(
-        kept, pos_query, neg_query, "doc_id", "content", composite_terms, stop_words, vocab_from
-    )
-    scored = kept.join(scores, "doc_id", "left").withColumn(
-        "score", F.round(F.coalesce(F.col("score"), F.lit(0.0)), 6)
-    )
+        stage_counts["before_token_filter"] = docs.count()
+    scored = REL.score_documents(
+        kept, pos_query, neg_query, "doc_id", "content", composite_terms, stop_words, vocab_from, ["source", "num_tokens"]
+    ).withColumn("score", F.round("score", 6))
     if override_source is not None:
         scored = scored.withColumn(
             "score", F.when(F.col("source") == F.lit(override_source), F.lit(override_score)).otherwise(F.col("score"))
         )
-    out = R.top_fraction(scored, "score", "doc_id", keep_fraction)
+    best = R.top_fraction(scored.drop("source"), "score", "doc_id", keep_fraction)
     if stage_counts is not None:
         stage_counts["after_token_filter"] = scored.count()
-        stage_counts["after_relevance_filter"] = out.count()
-    return out
+        stage_counts["after_relevance_filter"] = best.count()
+    # the texts are met once, by the kept ids; ids are unique, so no key is hot
+    small = bounded_broadcast(best)
+    return docs.join(small if small is not None else best.hint("shuffle_hash"), "doc_id")

@@ -10,6 +10,7 @@ from millrace.plans.catalog import query
 from millrace.functions import text as T
 from millrace.operators import rank as R
 from millrace.operators import relevance as REL
+from millrace.operators.joins import lookup_join
 from millrace.plans.corpus_filter import documents_as_rows, filter_corpus
 from millrace.session import table
 
@@ -75,11 +76,12 @@ def _parts(spark, sf):
     """Intermediate tables of PIP-1 (token-filtered documents, model, weights, query vectors)."""
     docs = documents_as_rows(table(spark, sf, "documents")).withColumn("num_tokens", T.token_count("content"))
     kept = docs.where(F.col("num_tokens") > P.MIN_TOKENS)
-    model, corpus_bow = REL.build_model(kept, "doc_id", "content", P.COMPOSITE_TERMS)
-    w = REL.weights(corpus_bow, model.idf)
+    model, bags = REL.build_model(kept, "doc_id", "content", P.COMPOSITE_TERMS, keep=["source"])
+    bow = REL.corpus_bow(bags)
+    w = REL.weights(bow, model.idf)
     qp = REL.query_vector(spark, P.POS_QUERY, model.idf, name="qp")
     qn = REL.query_vector(spark, P.NEG_QUERY, model.idf, name="qn")
-    return {"docs": docs, "kept": kept, "model": model, "bow": corpus_bow, "w": w, "qp": qp, "qn": qn}
+    return {"docs": docs, "kept": bags.select("doc_id", "source"), "model": model, "bow": bow, "w": w, "qp": qp, "qn": qn}
 
 
 def _scored(p):
@@ -97,8 +99,8 @@ def _scored(p):
     + "SELECT token, df FROM vocab_df",
 )
 def agg_vocab(spark, sf):
-    p = _parts(spark, sf)
-    return REL.vocabulary(REL.term_rows(p["kept"], "doc_id", T.preprocess("content")))
+    docs = table(spark, sf, "documents").where(T.token_count("text") > P.MIN_TOKENS)
+    return REL.vocabulary(docs.select("doc_id", F.explode(F.array_distinct(T.kept_words("text"))).alias("token")))
 
 
 @query("agg_bow", _rel_ctes() + "SELECT doc_id, token, tf FROM bow")
@@ -109,7 +111,7 @@ def agg_bow(spark, sf):
 @query("jon_vocab", _rel_ctes() + "SELECT doc_id, token, tf FROM bow WHERE token IN (SELECT token FROM vocab)")
 def jon_vocab(spark, sf):
     p = _parts(spark, sf)
-    return p["bow"].join(p["model"].dictionary, "token", "left_semi")
+    return lookup_join(p["bow"], p["model"].dictionary, ["token"], "left_semi", spread=F.xxhash64("doc_id"))
 
 
 @query("agg_idf", _rel_ctes() + "SELECT token, round(idf, 6) AS idf FROM idf")
@@ -129,16 +131,17 @@ def agg_tfidf_norm(spark, sf):
     + "SELECT doc_id, round(sum(w.w * coalesce(p.qw, 0)), 6) AS dot_pos, round(sum(w.w * coalesce(n.qw, 0)), 6) AS dot_neg "
     "FROM w LEFT JOIN (SELECT token, qw FROM qv WHERE k = 'p') p USING (token) "
     "LEFT JOIN (SELECT token, qw FROM qv WHERE k = 'n') n USING (token) "
-    "WHERE p.qw IS NOT NULL OR n.qw IS NOT NULL GROUP BY doc_id",
+    "GROUP BY doc_id UNION ALL SELECT doc_id, 0, 0 FROM kept WHERE doc_id NOT IN (SELECT doc_id FROM w)",
 )
 def jon_sparse_dot(spark, sf):
     p = _parts(spark, sf)
     qv = p["qp"].join(p["qn"], "token", "full_outer").fillna(0.0)
-    hits = p["w"].join(F.broadcast(qv), "token")
-    return hits.groupBy("doc_id").agg(
+    hits = p["w"].join(F.broadcast(qv), "token")  # bounded by the query texts
+    dots = hits.groupBy("doc_id").agg(
         F.round(F.sum(F.col("w") * F.col("qp")), 6).alias("dot_pos"),
         F.round(F.sum(F.col("w") * F.col("qn")), 6).alias("dot_neg"),
     )
+    return p["kept"].select("doc_id").join(dots, "doc_id", "left").fillna(0.0)  # no shared word: 0
 
 
 @query(

@@ -151,9 +151,11 @@ def fil_short_sentences(spark, sf):
 
 # ---- string functions -------------------------------------------------------
 
-@query("str_normalize", f"SELECT doc_id, {S.normalize('text')} AS norm FROM documents")
+# the texts between spaces that are not ASCII
+@query("str_normalize", "SELECT doc_id, " + S.normalize("(chr(160) || chr(12288) || text || chr(8195))") + " AS norm FROM documents")
 def str_normalize(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.normalize("text").alias("norm"))
+    spaced = F.concat(F.lit("\u00a0\u3000"), F.col("text"), F.lit("\u2003"))
+    return table(spark, sf, "documents").select("doc_id", T.normalize(spaced).alias("norm"))
 
 
 @query("str_stopwords", f"SELECT doc_id, {S.remove_stop_words(S.normalize('text'))} AS kept FROM documents")

@@ -14,17 +14,18 @@ def str_list(items) -> str:
 
 
 STOP = str_list(T.STOP_WORDS)
+WS = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 WORD_RE = r"'[\pL\pN_]+'"
 PIECE_RE = r"'\s*\S+|\s+$'"
 
 
 def normalize(e: str) -> str:
-    return f"lower(regexp_replace({e}, '^\\s+|\\s+$', '', 'g'))"
+    return f"lower({strip_ws(e)})"
 
 
 def remove_stop_words(e: str, stop: str = STOP) -> str:
     return (
-        f"array_to_string(list_filter(regexp_split_to_array({e}, '\\s+'), "
+        f"array_to_string(list_filter(regexp_split_to_array({e}, '{WS}'), "
         f"lambda w: w <> '' AND NOT list_contains({stop}, w)), ' ')"
     )
 
@@ -56,7 +57,7 @@ def join_lines(e: str) -> str:
 
 
 def strip_ws(e: str) -> str:
-    return f"regexp_replace({e}, '^\\s+|\\s+$', '', 'g')"
+    return f"regexp_replace({e}, '^{WS}|{WS}$', '', 'g')"
 
 
 def sentences(e: str) -> str:
