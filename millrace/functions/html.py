@@ -72,8 +72,11 @@ def paragraphs(c: Column | str) -> Column:
 
 
 def links(c: Column | str) -> Column:
-    """HTM-5: anchor targets ``href="..."`` in document order."""
-    return F.regexp_extract_all(_c(c), F.lit(r'href="([^"]*)"'), 1)
+    """HTM-5: targets of the ``<a>`` tags that have one, in document order, entities decoded; quoted either way or bare."""
+    tags = F.regexp_extract_all(strip_invisible(c), F.lit(r"(?i)<a\s[^>]*>"), 0)
+    value = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    found = F.filter(tags, lambda t: t.rlike(value))
+    return F.transform(found, lambda t: unescape(F.concat(*[F.regexp_extract(t, value, i) for i in (1, 2, 3)])))
 
 
 def class_block(c: Column | str, cls: str, tag: str = "div") -> Column:

@@ -75,13 +75,18 @@ def agg_ordered_concat(spark, sf):
     return g.select("page_id", F.array_join(F.transform("parts", lambda x: x["t"]), " ").alias("text"))
 
 
+# Tags beside those of the pages, one link of each kind and two that are none.
+MORE_LINKS = """<link href="s.css"><!-- <a href="gone"> --><A HREF='y'><a class=k href=z?a=1&amp;b=2><a name="n">"""
+
+
 @query(
     "htm_links",
-    "SELECT page_id, unnest(range(len(l))) AS pos, unnest(l) AS href FROM "
-    "(SELECT page_id, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS l FROM pages)",
+    "SELECT page_id, unnest(range(len(l))) AS pos, unnest(l) AS href FROM (SELECT page_id, "
+    "list_concat(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1), ['y', 'z?a=1&b=2']) AS l FROM pages)",
 )
 def htm_links(spark, sf):
-    x = table(spark, sf, "pages").select("page_id", F.posexplode(H.links("html")).alias("pos", "href"))
+    p = table(spark, sf, "pages").select("page_id", F.concat("html", F.lit(MORE_LINKS)).alias("html"))
+    x = p.select("page_id", F.posexplode(H.links("html")).alias("pos", "href"))
     return x.withColumn("pos", F.col("pos").cast("long"))
 
 

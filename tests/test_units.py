@@ -214,3 +214,27 @@ def test_instruction_without_placeholder_keeps_input(spark):
     df = spark.createDataFrame([("Do it.", "X"), ("Define {} now", "Y")], "i string, x string")
     got = [r[0] for r in df.select(RC.format_instruction(F.col("i"), F.col("x"))).collect()]
     assert got == ["Do it.\nX", "Define Y now"]
+
+
+def test_links_are_anchors_only(spark):
+    from millrace.functions import html as H
+
+    page = """<link href="s.css"><!-- <a href="gone"> --><a href="x">1</a><A HREF='y'><a class=k href=z?a=1&amp;b=2><a name="n">"""
+    row = spark.createDataFrame([(page,)], "html string").select(H.links("html").alias("l")).first()
+    assert row.l == ["x", "y", "z?a=1&b=2"]
+
+
+def test_white_space_of_any_kind(spark):
+    from millrace.functions import text as T
+
+    df = spark.createDataFrame([("\u00a0The\u3000cat\u2003The ",)], "t string")
+    row = df.select(T.normalize("t").alias("n"), T.kept_words("t").alias("w")).first()
+    assert row.n == "the\u3000cat\u2003the" and row.w == ["cat"]
+
+
+def test_run_lengths(spark):
+    from millrace.functions import arrays as A
+
+    df = spark.createDataFrame([(["a", "a", "b"],), ([],)], "v array<string>").withColumn("e", A.run_ends(F.col("v")))
+    rows = df.select(A.run_lengths(F.col("v"), F.col("e")).alias("r")).collect()
+    assert [[tuple(x) for x in r.r] for r in rows] == [[("a", 2), ("b", 1)], []]
