@@ -15,8 +15,19 @@ def host(c: Column | str) -> Column:
     return F.regexp_extract(_c(c), r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)
 
 
+def drop_dots(url: Column) -> Column:
+    """``url`` without the path segments ``.`` and ``..``; each ``..`` takes the segment before it along."""
+    parts = r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)(/[^?#]*)(.*)$"
+    segments = F.split(F.regexp_extract(url, parts, 2), "/")
+    step = lambda acc, s: F.when(s == ".", acc).when(s == "..", F.regexp_replace(acc, "/[^/]*$", "")).otherwise(F.concat(acc, F.lit("/"), s))
+    path = F.aggregate(F.slice(segments, 2, F.size(segments)), F.lit(""), step)
+    end = F.when(F.element_at(segments, -1).isin(".", ".."), "/").otherwise("")
+    clean = F.concat(F.regexp_extract(url, parts, 1), path, end, F.regexp_extract(url, parts, 3))
+    return F.when(url.rlike(r"^[^/?#]*//[^/?#]*(?:/[^?#]*)?/\.\.?(?:[/?#]|$)"), clean).otherwise(url)
+
+
 def resolve(base: Column | str, href: Column | str) -> Column:
-    """URL-1: resolve ``href`` against ``base`` (absolute, ``//``, ``/``, ``#``, ``?``, relative)."""
+    """URL-1: resolve ``href`` against ``base`` (absolute, ``//``, ``/``, ``#``, ``?``, relative; dot segments are resolved)."""
     b, h = _c(base), _c(href)
     scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
     origin = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
@@ -29,10 +40,10 @@ def resolve(base: Column | str, href: Column | str) -> Column:
         F.when(h == F.lit(""), b)
         .when(h.rlike(SCHEME_RE), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin, h))
+        .when(h.startswith("/"), drop_dots(F.concat(origin, h)))
         .when(h.startswith("#"), F.concat(no_frag, h))
         .when(h.startswith("?"), F.concat(no_query, h))
-        .otherwise(F.concat(directory, h))
+        .otherwise(drop_dots(F.concat(directory, h)))
     )
 
 

@@ -238,3 +238,18 @@ def test_run_lengths(spark):
     df = spark.createDataFrame([(["a", "a", "b"],), ([],)], "v array<string>").withColumn("e", A.run_ends(F.col("v")))
     rows = df.select(A.run_lengths(F.col("v"), F.col("e")).alias("r")).collect()
     assert [[tuple(x) for x in r.r] for r in rows] == [[("a", 2), ("b", 1)], []]
+
+
+def test_dot_segments(spark):
+    want = {
+        "../z": "http://a.com/z",
+        "./z": "http://a.com/x/z",
+        "../../../z": "http://a.com/z",
+        "..": "http://a.com/",
+        "/p/./q/../r": "http://a.com/p/r",
+        "z?p=/../q": "http://a.com/x/z?p=/../q",
+        "a..b/c.": "http://a.com/x/a..b/c.",
+    }
+    df = spark.createDataFrame([(h,) for h in want], "h string")
+    got = {r.h: r.u for r in df.select("h", U.resolve(F.lit("http://a.com/x/y"), "h").alias("u")).collect()}
+    assert got == want
