@@ -49,22 +49,24 @@ def dedup_pages(spark: SparkSession, src_dir: str, sink_dir: str, ckpt: str, key
 
 def score_gate_pages(spark: SparkSession, src_dir: str, sink_dir: str, ckpt: str, scorer: Callable[[DataFrame], DataFrame],
                      gate: float = -0.05, files_per_trigger: int = 1) -> None:
-    """STM-2: score each arriving batch against frozen model tables and keep pages above ``gate``.
+    """STM-2: score each arriving batch against frozen model tables and keep whole pages above ``gate``, with their score.
 
     ``scorer`` maps a batch of pages to ``(page_id, score)``; inside
     ``foreachBatch`` it is ordinary batch code (joins and aggregates), and the
-    model tables stay fixed for the whole stream.
+    model tables stay fixed for the whole stream.  Pages that repeat a
+    ``page_id`` in a batch are kept as often as they arrive.
     """
     def keep(batch: DataFrame) -> DataFrame:
-        s = scorer(batch)
-        return s.where(F.col("score") > F.lit(gate))
+        s = scorer(batch).where(F.col("score") > F.lit(gate)).dropDuplicates(["page_id"])
+        s = s.select(F.col("page_id").alias("_scored_id"), "score")
+        return batch.join(s, F.col("page_id").eqNullSafe(F.col("_scored_id"))).drop("_scored_id")
 
     _run(page_stream(spark, src_dir, files_per_trigger), ckpt, _batch_writer(sink_dir, keep))
 
 
 def append_pages(spark: SparkSession, src_dir: str, sink_dir: str, ckpt: str, files_per_trigger: int = 1) -> None:
-    """STM-3: buffer rows and append them per batch (batch size = files per trigger); every batch commits."""
-    _run(page_stream(spark, src_dir, files_per_trigger).select("page_id", "url"), ckpt, _batch_writer(sink_dir))
+    """STM-3: buffer whole page rows and append them per batch (batch size = files per trigger); every batch commits."""
+    _run(page_stream(spark, src_dir, files_per_trigger), ckpt, _batch_writer(sink_dir))
 
 
 def read_sink(spark: SparkSession, sink_dir: str) -> DataFrame:

@@ -253,3 +253,29 @@ def test_dot_segments(spark):
     df = spark.createDataFrame([(h,) for h in want], "h string")
     got = {r.h: r.u for r in df.select("h", U.resolve(F.lit("http://a.com/x/y"), "h").alias("u")).collect()}
     assert got == want
+
+
+def _landed(spark, tmp_path):
+    rows = [(1, "u1", "<body>kept</body>"), (2, "u2", "<body>out</body>"), (3, None, None), (3, None, None)]
+    src = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    src.write.parquet(str(tmp_path / "in"))
+    return [str(tmp_path / d) for d in ("in", "out", "ckpt")], rows
+
+
+def test_append_keeps_whole_pages(spark, tmp_path):
+    from millrace.streaming import pages as SP
+
+    paths, rows = _landed(spark, tmp_path)
+    SP.append_pages(spark, *paths)
+    got = SP.read_sink(spark, paths[1]).select("page_id", "url", "html").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(rows, key=repr)
+
+
+def test_score_gate_keeps_whole_pages(spark, tmp_path):
+    from millrace.streaming import pages as SP
+
+    paths, rows = _landed(spark, tmp_path)
+    scorer = lambda b: b.select("page_id", F.when(F.col("page_id") == 2, -1.0).otherwise(0.5).alias("score"))
+    SP.score_gate_pages(spark, *paths, scorer)
+    got = SP.read_sink(spark, paths[1]).select("page_id", "url", "html", "score").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(*r, 0.5) for r in rows if r[0] != 2], key=repr)
