@@ -279,3 +279,14 @@ def test_score_gate_keeps_whole_pages(spark, tmp_path):
     SP.score_gate_pages(spark, *paths, scorer)
     got = SP.read_sink(spark, paths[1]).select("page_id", "url", "html", "score").collect()
     assert sorted(map(tuple, got), key=repr) == sorted([(*r, 0.5) for r in rows if r[0] != 2], key=repr)
+
+
+def test_assembly_holds_every_turn(spark):
+    from millrace.plans import q_io
+    from millrace.session import table
+    from tests.conftest import SF
+
+    turns = table(spark, SF, "conversations").where("text IS NOT NULL")
+    assert turns.select("role").distinct().count() > 1
+    want = {f"conv/{r.conv_id}/{r.turn}" for r in turns.collect()}
+    assert {r.url for r in q_io.assemble(spark, SF).where("source = 'conversations'").select("url").collect()} == want
