@@ -50,8 +50,14 @@ def collapse_ws(c: Column) -> Column:
 
 
 def body_text(c: Column | str) -> Column:
-    """HTM-1: visible text of the body (to ``</body>``, or to the end where it is missing), tags as spaces, entities unescaped, whitespace collapsed."""
-    body = F.regexp_extract(strip_invisible(c), r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)", 1)
+    """HTM-1: visible text of the body, tags as spaces, entities unescaped, whitespace collapsed.
+
+    The body starts after ``</head>`` or ``<body>``, whichever comes first; a page with neither is all body but its
+    title.  It goes to the end of the page: browsers add what follows a ``</body>`` to the body.
+    """
+    page, start = strip_invisible(c), r"(?is)\A.*?(?:</head\s*>|<body\b[^>]*>)"
+    untitled = F.regexp_replace(page, r"(?is)<title\b.*?</title\s*>", "")
+    body = F.when(page.rlike(start), F.regexp_replace(page, start, "")).otherwise(untitled)
     return collapse_ws(unescape(drop_tags(body, " ")))
 
 
@@ -79,23 +85,44 @@ def links(c: Column | str) -> Column:
     return F.transform(found, lambda t: unescape(F.concat(*[F.regexp_extract(t, value, i) for i in (1, 2, 3)])))
 
 
+def _elements(page: Column, opening: str, tag: str) -> Column:
+    """Inner HTML of the outermost elements whose start tag matches ``opening``, each up to its own end tag or the end.
+
+    The page is cut at every start and end tag of ``tag``; one pass over the pieces counts how deep it is.
+    """
+    cuts = F.split(page, rf"(?i)(?=</?{tag}[\s/>])")
+    none = F.array().cast("array<string>")
+    state = lambda found, parts, depth: F.struct(found.alias("found"), parts.alias("parts"), depth.alias("depth"))
+
+    def step(x: Column, piece: Column) -> Column:
+        ends, starts = piece.rlike(rf"(?i)\A</{tag}[\s/>]"), piece.rlike(rf"(?i)\A<{tag}[\s/>]")
+        deeper = x["depth"] + F.when(ends, -1).when(starts, 1).otherwise(0)
+        return (
+            F.when((x["depth"] == 0) & piece.rlike(rf"(?is)\A{opening}"),
+                   state(x["found"], F.array(F.regexp_replace(piece, r"\A<[^>]*>", "")), F.lit(1)))
+            .when(x["depth"] == 0, x)
+            .when(deeper == 0, state(F.array_append(x["found"], F.array_join(x["parts"], "")), none, F.lit(0)))
+            .otherwise(state(x["found"], F.array_append(x["parts"], piece), deeper))
+        )
+
+    def finish(x: Column) -> Column:
+        return F.when(x["depth"] > 0, F.array_append(x["found"], F.array_join(x["parts"], ""))).otherwise(x["found"])
+
+    kind = "struct<found:array<string>,parts:array<string>,depth:int>"
+    return F.aggregate(cuts, state(none, none, F.lit(0)).cast(kind), lambda x, piece: step(x, piece).cast(kind), finish)
+
+
 def class_block(c: Column | str, cls: str, tag: str = "div") -> Column:
-    """HTM-4: text of the first ``<tag class="cls">`` block, tags dropped, fragments stripped and joined with nothing."""
-    inner = F.regexp_extract(
-        strip_invisible(c), rf'(?is)<{tag}\b[^>]*\bclass="{cls}"[^>]*>(.*?)</{tag}\s*>', 1
-    )
+    """HTM-4: text of the first ``<tag class="cls">`` block with all that is nested in it, tags dropped, fragments stripped and joined with nothing."""
+    inner = F.get(_elements(strip_invisible(c), rf'<{tag}\b[^>]*\bclass="{cls}"[^>]*>', tag), F.lit(0))
     frags = F.split(inner, r"<[^>]*>")
     text = F.array_join(F.transform(frags, lambda f: F.regexp_replace(unescape(f), r"^\s+|\s+$", "")), "")
     return F.when(F.length(inner) > 0, text)
 
 
 def section_digest(c: Column | str, section_tag: str = "article", heading_tag: str = "h1", marker: str = "§") -> Column:
-    """HTM-3: heading line if it holds ``marker``, then ``id`` and first paragraph of each element with an id."""
-    section = F.regexp_extract(strip_invisible(c), rf"(?is)<{section_tag}\b[^>]*>(.*?)</{section_tag}\s*>", 1)
-    heading = collapse_ws(unescape(drop_tags(F.regexp_extract(section, rf"(?is)<{heading_tag}\b[^>]*>(.*?)</{heading_tag}\s*>", 1))))
-    head_line = F.when(F.instr(heading, marker) > 0, F.concat(heading, F.lit("\n"))).otherwise(F.lit(""))
-    parts = F.split(section, r'\sid="')
-    with_ids = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+    """HTM-3: for each section (one inside another counts as part of it) its heading line if it holds ``marker``, then ``id`` and first paragraph of each element with an id."""
+    sections = _elements(strip_invisible(c), rf"<{section_tag}\b[^>]*>", section_tag)
     cut = rf"(?is)(</p\s*>|</?(?:{BLOCK_TAGS})(?:[\s/>]|$)).*$"
 
     def entry(p: Column) -> Column:
@@ -105,4 +132,11 @@ def section_digest(c: Column | str, section_tag: str = "article", heading_tag: s
         has_p = p.rlike(r"(?is)<p(?:\s[^>]*)?>")
         return F.concat(pid, F.lit("\n"), F.when(has_p, F.concat(ptext, F.lit("\n"))).otherwise(F.lit("")))
 
-    return F.concat(head_line, F.array_join(F.transform(with_ids, entry), ""))
+    def digest(section: Column) -> Column:
+        heading = collapse_ws(unescape(drop_tags(F.regexp_extract(section, rf"(?is)<{heading_tag}\b[^>]*>(.*?)</{heading_tag}\s*>", 1))))
+        head_line = F.when(F.instr(heading, marker) > 0, F.concat(heading, F.lit("\n"))).otherwise(F.lit(""))
+        parts = F.split(section, r'\sid="')
+        with_ids = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+        return F.concat(head_line, F.array_join(F.transform(with_ids, entry), ""))
+
+    return F.array_join(F.transform(sections, digest), "")

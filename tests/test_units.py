@@ -290,3 +290,43 @@ def test_assembly_holds_every_turn(spark):
     assert turns.select("role").distinct().count() > 1
     want = {f"conv/{r.conv_id}/{r.turn}" for r in turns.collect()}
     assert {r.url for r in q_io.assemble(spark, SF).where("source = 'conversations'").select("url").collect()} == want
+
+
+def test_body_text_is_whole(spark):
+    from millrace.functions import html as H
+
+    pages = {
+        "<head><title>T</title></head><body>a</body>b<p>c</body></html>": "a b c",
+        "<head></head><p>x</p><body>a</body>b": "x a b",
+        "<title>T</title><p>a<p>b": "a b",
+        "<html><head><title>T</title></head><p>a</p></html>": "a",
+        "<body class=x>a": "a",
+        "plain": "plain",
+        "<p>x</p></body>": "x",
+        "": "",
+    }
+    df = spark.createDataFrame([(h,) for h in pages], "h string")
+    assert {r.h: r.t for r in df.select("h", H.body_text("h").alias("t")).collect()} == pages
+
+
+def test_class_block_is_balanced(spark):
+    from millrace.functions import html as H
+
+    pages = {
+        '<div>0</div><div class="ad">1<div>2<div>3</div></div> 4 </div><div class="ad">5</div>': "1234",
+        '<div class="ad">1<div>2</div>3': "123",
+        '<div><DIV id=x class="ad">1<divider>2</divider></DIV>3</div>': "12",
+        "<div>1</div>": None,
+        '<div class="ad"></div>': None,
+    }
+    df = spark.createDataFrame([(h,) for h in pages], "h string")
+    assert {r.h: r.t for r in df.select("h", H.class_block("h", "ad").alias("t")).collect()} == pages
+
+
+def test_section_digest_reads_all_sections(spark):
+    from millrace.functions import html as H
+
+    page = ('<article><h1>§ 1</h1><div id="a"><p>x</p></div></article><p id="no">n</p>'
+            '<article><h1>2</h1><article><div id="b"><p>y</div></article><div id="c"></div></article><article><h1>§ 3</h1>')
+    df = spark.createDataFrame([(page,), ("<p>none</p>",)], "h string")
+    assert [r.t for r in df.select(H.section_digest("h").alias("t")).collect()] == ["§ 1\na\nx\nb\ny\nc\n§ 3\n", ""]
