@@ -45,6 +45,15 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out.select(*cols)
 
 
+def with_block_tokens(blocks: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_length: int = 128,
+                      min_chars: int = 50, start_tokens: int = 1) -> DataFrame:
+    """``input_ids`` and ``labels`` for the blocks of ``pack_documents(docs, with_tokens=False)``; a document's sentences are met by its id."""
+    kept = docs.where(F.col(text_col).isNotNull() & (F.col(text_col) != "nan"))
+    kept = kept.select(F.col(id_col).alias("doc_id"), A.long_sentences(text_col, min_chars).alias("_kept"))
+    ids = A.block_tokens(F.col("_kept"), F.struct("sent_from", "sent_to"), max_length, start_tokens)
+    return blocks.join(kept, "doc_id").withColumn("input_ids", ids).drop("_kept").withColumn("labels", F.col("input_ids"))
+
+
 def ignored_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 50) -> DataFrame:
     d = docs.where(F.col(text_col).isNotNull() & (F.col(text_col) != "nan"))
     return d.select(F.col(id_col).alias("doc_id"), F.size(F.filter(T.sentences(text_col), lambda s: F.length(s) < F.lit(min_chars))).alias("ignored"))

@@ -93,6 +93,30 @@ def pck_blocks(spark, sf):
     return B.pack_documents(table(spark, sf, "documents"), with_tokens=False)
 
 
+def _block_tokens_sql() -> str:
+    """Tokens of each block, rebuilt from its sentences."""
+    one = f"list_append(list_slice(list_concat(['<s>'], {S.pieces('x')}), 1, 127), '</s>')"
+    return f""", tokens AS (
+  SELECT doc_id, block_no, array_to_string(list_resize(flatten(list_transform(list_slice(k, sent_from + 1, sent_to + 1), lambda x: {one})),
+         128, '<pad>'), chr(1)) AS input_ids
+  FROM blocks JOIN (SELECT doc_id, list_filter({S.sentences('text')}, lambda x: length(x) >= 50) AS k FROM documents) USING (doc_id))"""
+
+
+def _joined_tokens():
+    return [F.array_join(c, SEP).alias(c) for c in ("input_ids", "labels")]
+
+
+@query(
+    "pck_block_tokens",
+    "WITH RECURSIVE " + _sentence_lengths_sql() + _block_tokens_sql()
+    + " SELECT blocks.*, input_ids, input_ids AS labels FROM blocks JOIN tokens USING (doc_id, block_no)",
+)
+def pck_block_tokens(spark, sf):
+    """The blocks of ``pck_blocks`` with what is trained on."""
+    blocks = B.pack_documents(table(spark, sf, "documents"))
+    return blocks.select("doc_id", "block_no", "sent_from", "sent_to", "n_used", *_joined_tokens())
+
+
 @query(
     "agg_pack_totals",
     "WITH RECURSIVE " + _sentence_lengths_sql()
@@ -115,19 +139,33 @@ def win_split(spark, sf):
     return B.exact_split(d, F.col("doc_id"), 42, 0.95, "floor").select("doc_id", "split")
 
 
-@query(
-    "pip_pack_split",
-    "WITH RECURSIVE " + _sentence_lengths_sql() + """,
+PACK_SPLIT_SQL = """,
 keyed AS (SELECT *, CAST(doc_id AS VARCHAR) || '/' || CAST(block_no AS VARCHAR) AS k FROM blocks)
 SELECT doc_id, block_no, n_used, CASE WHEN row_number() OVER (ORDER BY md5('42/' || k), k)
        <= (SELECT CAST(round_even(0.95 * count(*), 0) AS BIGINT) FROM blocks) THEN 'train' ELSE 'validation' END AS split
-FROM keyed""",
-)
-def pip_pack_split(spark, sf):
+FROM keyed"""
+
+
+def _split_blocks(docs):
     # the split is decided on block keys; token arrays are not carried through its checkpoint
-    blocks = B.pack_documents(table(spark, sf, "documents"), with_tokens=False).select("doc_id", "block_no", "n_used")
     key = F.concat(F.col("doc_id").cast("string"), F.lit("/"), F.col("block_no").cast("string"))
-    return B.exact_split(blocks, key, 42, 0.95, "half_even").select("doc_id", "block_no", "n_used", "split")
+    return B.exact_split(B.pack_documents(docs, with_tokens=False), key, 42, 0.95, "half_even")
+
+
+@query("pip_pack_split", "WITH RECURSIVE " + _sentence_lengths_sql() + PACK_SPLIT_SQL)
+def pip_pack_split(spark, sf):
+    return _split_blocks(table(spark, sf, "documents")).select("doc_id", "block_no", "n_used", "split")
+
+
+@query(
+    "pip_pack_split_tokens",
+    "WITH RECURSIVE " + _sentence_lengths_sql() + _block_tokens_sql() + ", split AS (SELECT * FROM (WITH " + PACK_SPLIT_SQL.lstrip(",\n")
+    + ")) SELECT split.*, input_ids, input_ids AS labels FROM split JOIN tokens USING (doc_id, block_no)",
+)
+def pip_pack_split_tokens(spark, sf):
+    """The blocks of ``pip_pack_split`` with what is trained on."""
+    docs = table(spark, sf, "documents")
+    return B.with_block_tokens(_split_blocks(docs), docs).select("doc_id", "block_no", "n_used", "split", *_joined_tokens())
 
 
 def _context_sql(ins: str, inp: str, out: str) -> str:

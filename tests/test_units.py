@@ -330,3 +330,27 @@ def test_section_digest_reads_all_sections(spark):
             '<article><h1>2</h1><article><div id="b"><p>y</div></article><div id="c"></div></article><article><h1>§ 3</h1>')
     df = spark.createDataFrame([(page,), ("<p>none</p>",)], "h string")
     assert [r.t for r in df.select(H.section_digest("h").alias("t")).collect()] == ["§ 1\na\nx\nb\ny\nc\n§ 3\n", ""]
+
+
+def test_split_blocks_hold_their_tokens(spark):
+    from millrace.plans import q_blocks
+
+    words = [f"word{i}" for i in range(200)]
+    text = " ".join(words[:20]) + ". " + " ".join(words[20:60]) + ". short. " + " ".join(words) + "."
+    docs = spark.createDataFrame([(1, text), (2, "nan"), (3, None), (4, "short.")], "doc_id long, text string")
+    first = [["<s>", *words[:19], "word19.", "</s>"], ["<s>", *words[20:59], "word59.", "</s>"]]
+    want = [sum(first, []), ["<s>", *words[:126], "</s>"]]
+    want = [w + ["<pad>"] * (128 - len(w)) for w in want]
+    for blocks in (B.pack_documents(docs), B.with_block_tokens(q_blocks._split_blocks(docs), docs)):
+        rows = blocks.orderBy("block_no").collect()
+        assert [[t.strip() for t in r.input_ids] for r in rows] == want
+        assert all(r.labels == r.input_ids for r in rows)
+
+
+def test_registered_queries_build_the_tokens(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF
+
+    for name in ("pck_block_tokens", "pip_pack_split_tokens"):
+        rows = E.queries()[name](spark, SF).collect()
+        assert rows and all(len(r.input_ids.split("\x01")) == len(r.labels.split("\x01")) == 128 for r in rows)
