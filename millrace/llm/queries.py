@@ -6,13 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, cws, language, mixing, quality, simhash, topk, toxicity, urlfilter, warc
+from millrace.llm import align, bpe, cws, language, mixing, quality, ring, simhash, topk, toxicity, urlfilter, warc
 from millrace.llm.common import fold
 from millrace.llm.next_document import NO_ID, with_edited
 from millrace.session import cut_lineage, scratch_path, table
 
 #: Place of the rank file that the encoding query uses.
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: Tokenizers A and B of the alignment query.
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: (verdict, host, path) of the query's rules.
 URL_RULES = [
     ("allow", "com", "/"),
@@ -96,7 +98,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"), words=4, distance=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_url_filter, op4_toxicity, op5_warc, op6_bpe, op7_mix, op8_topk, op9_language, op10_simhash)}
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ALIGNED]
+    rows = align.align(table(spark, sf_dir, "documents"), *paths, public_tokenizers.PATTERN, groups=False)
+    return rows.withColumn("groups_sha256", F.coalesce(F.lower(F.hex("groups")), F.lit(""))).drop("groups")
+
+
+def op13_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Law `rows`: at load 1 every shard has its share of the rows, up to one."""
+    placed = ring.place(table(spark, sf_dir, "documents"), shards=40, load=1.0)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_url_filter, op4_toxicity, op5_warc, op6_bpe, op7_mix, op8_topk, op9_language, op10_simhash, op12_align, op13_shard)}
 
 ORACLES: dict[str, str] = {
     "op3_url_filter": r"""
