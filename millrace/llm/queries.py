@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import align, bpe, cws, language, mixing, quality, ring, simhash, topk, toxicity, urlfilter, warc
+from millrace.llm import align, bpe, cws, language, mixing, quality, ring, simhash, topk, toxicity, trie, urlfilter, warc
 from millrace.llm.common import fold
 from millrace.llm.next_document import NO_ID, with_edited
 from millrace.session import cut_lineage, scratch_path, table
@@ -98,6 +98,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"), words=4, distance=4)
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, members = trie.prefix_trie(trie.rebuild(table(spark, sf_dir, "conversations")))
+    ends = trie.ends_digest(members.where("last"))
+    return nodes.join(ends, ["k1", "k2"], "left").select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        F.coalesce("sha", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"),
+    )
+
+
 def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = [public_tokenizers.path(name) for name in ALIGNED]
     rows = align.align(table(spark, sf_dir, "documents"), *paths, public_tokenizers.PATTERN, groups=False)
@@ -110,7 +125,7 @@ def op13_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_url_filter, op4_toxicity, op5_warc, op6_bpe, op7_mix, op8_topk, op9_language, op10_simhash, op12_align, op13_shard)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprint, op3_url_filter, op4_toxicity, op5_warc, op6_bpe, op7_mix, op8_topk, op9_language, op10_simhash, op11_trie, op12_align, op13_shard)}
 
 ORACLES: dict[str, str] = {
     "op3_url_filter": r"""
@@ -145,5 +160,34 @@ s AS (
   FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+""",
+    "op11_trie": """
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+b AS (SELECT DISTINCT c, CAST(c AS VARCHAR) AS s FROM t),
+-- crc32: each byte is followed by eight marks, one a bit
+h AS (
+  SELECT c, xor(list_reduce(flatten(list_transform(string_split(s, ''), lambda x: [ord(x), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, CAST(x AS BIGINT)) ELSE xor(a >> 1, 3988292384 * (a & 1)) END, CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) % 6 AS h
+  FROM b),
+r AS (
+  SELECT h.c, 0 AS part, t.p, t.role, t.text FROM h JOIN t ON t.c = h.c - h.c % 100 AND t.p <= h.h
+  UNION ALL SELECT h.c, 1, t.p, t.role, t.text FROM h JOIN t ON t.c = h.c AND t.p > h.h),
+d AS (SELECT c, row_number() OVER w AS depth, length(text) AS chars, string_agg(md5(length(role) || ':' || role || text), '') OVER w AS k
+  FROM r WINDOW w AS (PARTITION BY c ORDER BY part, p ROWS UNBOUNDED PRECEDING)),
+m AS (SELECT c, depth, chars, k FROM d UNION ALL SELECT c, 0, 0, '' FROM h),
+n AS (SELECT k, depth, min(c) AS conv_id, count(*) AS n_convs, max(chars) AS chars FROM m GROUP BY k, depth),
+kids AS (SELECT left(k, length(k) - 32) AS k, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+x AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (k)),
+-- a node's ancestors are the prefixes of its smallest member
+sub AS (
+  SELECT m.k, sum((x.n_convs - 1) * x.chars) AS saved, count(*) FILTER (x.n_children = 0) AS leaves
+  FROM x JOIN m ON m.c = x.conv_id AND m.depth <= x.depth GROUP BY m.k),
+e AS (SELECT k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM m JOIN (SELECT c, max(depth) AS depth FROM m GROUP BY c) USING (c, depth) GROUP BY k)
+SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, CAST(up.conv_id AS BIGINT) AS parent_conv_id, CAST(x.n_convs AS BIGINT) AS n_convs,
+  CAST(x.n_children AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM x JOIN sub USING (k) LEFT JOIN e USING (k) LEFT JOIN n up ON x.depth > 0 AND up.k = left(x.k, length(x.k) - 32)
 """,
 }
