@@ -27,7 +27,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from millrace.llm.common import slices
 from millrace.session import scratch_path
@@ -317,7 +317,7 @@ def postings(docs: DataFrame, a_path: str, b_path: str, pattern: str, id_col: st
     those of the slice that goes beyond) and one slice of text.
     """
     own = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    kind = own.schema["doc_id"]
+    kind = StructField("doc_id", own.schema["doc_id"].dataType)  # postings have none
     out = StructType([kind, *StructType.fromDDL(FACTS).fields, *[f for f in StructType.fromDDL(POSTING).fields if f.name != "block"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
