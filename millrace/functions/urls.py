@@ -74,8 +74,8 @@ def query_key(c: Column | str) -> Column:
     return F.substring_index(F.substring_index(_c(c), "?", -1), ".", 1)
 
 
-def is_banned(domain: Column | str, banned: list[str], match: str = "contains") -> Column:
-    """FIL-10: ``contains`` (as the reference: 't.co' bans 'microsoft.com') or ``suffix`` match; null = not banned."""
+def is_banned(domain: Column | str, banned: list[str], match: str = "suffix") -> Column:
+    """FIL-10 for a short list: ``suffix`` (the domain or one above it) or ``contains`` (then 't.co' bans 'microsoft.com'); null = not banned."""
     d = _c(domain)
     arr = F.array(*[F.lit(b) for b in banned])
     if match == "contains":
@@ -85,6 +85,14 @@ def is_banned(domain: Column | str, banned: list[str], match: str = "contains")
     return F.coalesce(test, F.lit(False))
 
 
+def host_suffixes(c: Column | str) -> Column:
+    """The host of a URL and all domains above it, lower-case, without user, port and a final dot (``a.b.org``: ``a.b.org, b.org, org``)."""
+    name = F.regexp_replace(F.regexp_replace(F.lower(host(c)), r"^[^@]*@|:\d*$", ""), r"\.$", "")
+    labels = F.split(name, r"\.")
+    every = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    return F.when(name != "", every).otherwise(F.array().cast("array<string>"))
+
+
 def link_kind(c: Column | str, suffixes: tuple[str, ...] = ("pdf", "docx")) -> Column:
     """FIL-12: 'file' for links ending in one of ``suffixes`` (case-sensitive), else 'page'."""
     pat = r"\.(" + "|".join(suffixes) + r")$"

@@ -5,20 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its row count is at most this many rows.
-BROADCAST_MAX_ROWS = 2_000_000
+# A side is broadcast only when its rows take at most this many bytes.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame | None:
-    """Return ``broadcast(small)`` when it provably holds at most ``max_rows`` rows, else None.
+def table_bytes(df: DataFrame) -> int:
+    """Bytes that the rows of ``df`` take, about: text and binary by length, nested columns by their text, others 8; 16 more a column."""
+    size = F.lit(0).cast("long")
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        elif kind.startswith(("array", "map", "struct")):
+            size = size + F.coalesce(F.length(c.cast("string")), F.lit(0)) + 16
+        else:
+            size = size + 24
+    return df.agg(F.sum(size)).first()[0] or 0
 
-    The check reads at most ``max_rows + 1`` rows (a limit pushed into the
-    plan), so it stays cheap when the side is large.
+
+def bounded_broadcast(small: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame | None:
+    """Return ``broadcast(small)`` when its rows take at most ``max_bytes``, else None.
+
+    The bytes are summed where the rows are; one number a task is sent on.
     """
-    n = small.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(small)
-    return None
+    return F.broadcast(small) if table_bytes(small) <= max_bytes else None
 
 
 def salted_join(
@@ -49,7 +59,7 @@ def lookup_join(
     small: DataFrame,
     keys: list[str],
     how: str = "inner",
-    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
     salts: int = 16,
     spread: Column | None = None,
 ) -> DataFrame:
@@ -58,7 +68,7 @@ def lookup_join(
     Broadcasts the lookup when its size is proven small; otherwise a salted
     shuffle join, so a hot key on the large side is still split.
     """
-    b = bounded_broadcast(small, max_rows)
+    b = bounded_broadcast(small, max_bytes)
     if b is not None:
         return big.join(b, keys, how)
     return salted_join(big, small, keys, how, salts, spread)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import arrays as A
 from millrace.functions import text as T
-from millrace.operators.joins import lookup_join
+from millrace.operators.joins import bounded_broadcast, lookup_join
 from millrace.session import cut_lineage, scratch_path
 
 EPS = 1e-12
@@ -182,20 +182,31 @@ def score_documents(
     return cut_lineage(out.withColumnRenamed("doc_id", id_col))
 
 
+def frozen_vectors(spark, pos_query: str, neg_query: str, idf: DataFrame, stop_words=T.STOP_WORDS) -> tuple[DataFrame, DataFrame]:
+    """Both query vectors, written once for a model that scores many batches."""
+    return tuple(cut_lineage(query_vector(spark, q, idf, stop_words, name)) for q, name in ((pos_query, "qp"), (neg_query, "qn")))
+
+
 def score_with_model(
     docs: DataFrame,
     model_idf: DataFrame,
-    pos_query: str,
-    neg_query: str,
+    vectors: tuple[DataFrame, DataFrame],
     id_col: str = "doc_id",
     text_col: str = "content",
     stop_words: list[str] = T.STOP_WORDS,
 ) -> DataFrame:
-    """Score new text against frozen model tables (crawler gate, STM-2, SNK-6)."""
-    spark = docs.sparkSession
+    """Score new text against frozen model tables and query vectors (crawler gate, STM-2, SNK-6); ``id_col`` is unique."""
     bow = bag_of_words(term_rows(docs, id_col, T.preprocess(F.col(text_col), stop_words)))
-    w = weights(bow, model_idf)
-    qp = query_vector(spark, pos_query, model_idf, stop_words, "qp")
-    qn = query_vector(spark, neg_query, model_idf, stop_words, "qn")
-    s = posneg_scores(w, qp, qn)
+    s = posneg_scores(weights(bow, model_idf), *vectors)
     return docs.join(s.select(F.col("doc_id").alias(id_col), "score"), id_col, "left").fillna(0.0, subset=["score"])
+
+
+def page_scorer(pages: DataFrame, model_idf: DataFrame, vectors: tuple[DataFrame, DataFrame], places: int = 6):
+    """``(url) -> (url, score)`` over stored ``pages(page_id, url, content)``: only the pages asked for are read and scored."""
+
+    def score(urls: DataFrame) -> DataFrame:
+        small = bounded_broadcast(urls)
+        asked = pages.join(small if small is not None else urls, "url", "left_semi")
+        return score_with_model(asked, model_idf, vectors, "page_id", "content").select("url", F.round("score", places).alias("score"))
+
+    return score

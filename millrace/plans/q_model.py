@@ -35,7 +35,7 @@ def frozen_model(spark, sf):
 
 def page_scores(spark, sf, idf):
     pages = table(spark, sf, "pages").select("page_id", H.body_text("html").alias("content"))
-    return REL.score_with_model(pages, idf, P.POS_QUERY, P.NEG_QUERY, "page_id", "content")
+    return REL.score_with_model(pages, idf, REL.frozen_vectors(spark, P.POS_QUERY, P.NEG_QUERY, idf), "page_id", "content")
 
 
 def _page_score_sql() -> str:
@@ -63,3 +63,33 @@ def model_roundtrip_score(spark, sf):
 def fil_relevance_gate(spark, sf):
     s = page_scores(spark, sf, frozen_model(spark, sf)).select("page_id", F.round("score", 6).alias("score"))
     return s.where(F.col("score") > GATE)
+
+
+# Fixed value: the frontier's gate, at which about half of the pages stay out.
+CRAWL_GATE = 0.02
+
+
+@query(
+    "pip_gated_frontier",
+    _page_score_sql().replace("WITH kept", "WITH RECURSIVE kept", 1)
+    + f""",
+seeds AS (SELECT * FROM {W.SEEDS_SQL} WHERE source IS NOT NULL AND url IS NOT NULL AND max_depth IS NOT NULL),
+passed AS (SELECT url FROM pscored JOIN pages USING (page_id) GROUP BY url HAVING max(score) > {CRAWL_GATE}),
+edges AS (SELECT * FROM {W.EDGES_SQL} WHERE NOT {W._host_banned_sql('dst')} AND (kind = 'file' OR dst IN (SELECT url FROM passed))),
+walk(source, url, kind, depth) AS (
+  SELECT DISTINCT source, url, 'page', 0 FROM seeds WHERE url IN (SELECT url FROM passed)
+  UNION
+  SELECT w.source, e.dst, e.kind, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.url
+  WHERE w.kind = 'page' AND (w.depth < 2 OR w.depth = 2 AND e.kind = 'file'))
+SELECT source, url, kind, CAST(depth AS INTEGER) AS depth FROM (
+  SELECT *, row_number() OVER (PARTITION BY url, kind ORDER BY depth, source) AS n FROM walk) WHERE n = 1""",
+)
+def pip_gated_frontier(spark, sf):
+    """PIP-7 with its gate: new pages are scored by the frozen model, those at or below ``CRAWL_GATE`` hide what only they link to,
+    and all sources share one set of visits (the oracle's seeds have one depth, so the first visit has most steps left)."""
+    from millrace.operators import frontier as FR
+
+    idf = frozen_model(spark, sf)
+    pages = table(spark, sf, "pages").select("page_id", "url", H.body_text("html").alias("content"))
+    scorer = REL.page_scorer(pages, idf, REL.frozen_vectors(spark, P.POS_QUERY, P.NEG_QUERY, idf))
+    return FR.expand(W.seeds(spark, sf), W.page_edges(spark, sf), W.ban_table(spark), scorer=scorer, gate=CRAWL_GATE, shared=True)

@@ -76,6 +76,59 @@ def test_frontier_has_no_level_cap(spark):
     assert len(_walk(spark, [("a", "http://a.com/p0", 5)], edges)) == 6
 
 
+def _gated(spark, seeds, edges, scores, **options):
+    s = spark.createDataFrame(seeds, "source string, url string, max_depth int")
+    e = spark.createDataFrame(edges, "src string, dst string, kind string")
+    table = spark.createDataFrame([(f"http://a.com/{u}", x) for u, x in scores.items()], "url string, score double")
+    asked = []
+
+    def scorer(urls):
+        asked.extend(r.url.removeprefix("http://a.com/") for r in urls.collect())
+        return table.join(urls, "url", "left_semi")
+
+    rows = FR.expand(s, e, ["banned.com"], scorer=scorer, gate=0.0, **options).collect()
+    assert len(asked) == len(set(asked))  # no page is scored twice
+    return {(r["source"], r["url"].removeprefix("http://a.com/"), r["depth"]) for r in rows}, set(asked)
+
+
+def test_gated_page_hides_its_children(spark):
+    edges = _edges(("s", "good"), ("s", "bad"), ("bad", "hidden"), ("bad", "h.pdf"), ("good", "x"), ("good", "f.pdf"), ("x", "bad"), ("x", "gone"))
+    scores = {"s": 0.4, "good": 0.1, "bad": -0.2, "hidden": 0.9, "x": 0.3}  # no page is stored for "gone"
+    kept, asked = _gated(spark, [("a", "http://a.com/s", 5)], edges, scores)
+    assert kept == {("a", "s", 0), ("a", "good", 1), ("a", "x", 2), ("a", "f.pdf", 2)}
+    assert asked == {"s", "good", "bad", "x", "gone"}
+    followed, _ = _gated(spark, [("a", "http://a.com/s", 5)], edges, scores, follow_gated=True)
+    assert followed == kept | {("a", "hidden", 2), ("a", "h.pdf", 2)}
+    assert _gated(spark, [("a", "http://a.com/bad", 3)], edges, scores)[0] == set()
+    assert _gated(spark, [], edges, scores)[0] == set()
+
+
+def test_sources_share_one_set_of_visits(spark):
+    edges = _edges(("s", "x"), ("t", "u"), ("u", "x"), ("x", "y"), ("y", "s"))
+    scores = dict.fromkeys("stuxy", 1.0)
+    seeds = [("b", "http://a.com/s", 3), ("a", "http://a.com/t", 3)]
+    kept, _ = _gated(spark, seeds, edges, scores, shared=True)
+    assert kept == {("b", "s", 0), ("a", "t", 0), ("b", "x", 1), ("a", "u", 1), ("b", "y", 2)}
+
+
+def test_frontier_goes_again_where_more_steps_are_left(spark):
+    edges = _edges(("s", "x"), ("x", "y"), ("y", "z"), ("t", "u"), ("u", "x"))
+    scores = dict.fromkeys("stuxyz", 1.0)
+    kept, _ = _gated(spark, [("a", "http://a.com/s", 1), ("a", "http://a.com/t", 4)], edges, scores)
+    assert kept == {("a", "s", 0), ("a", "t", 0), ("a", "x", 1), ("a", "u", 1), ("a", "y", 3), ("a", "z", 4)}
+
+
+def test_ban_table(spark):
+    from millrace.operators.bans import banned_hosts, drop_banned
+
+    links = ["https://www.microsoft.com/", "https://t.co/x", "http://u@A.t.co:80/", "https://xt.co", "mailto:a@t.co", "http://b.c.d.org./", "//d.org", None]
+    df = spark.createDataFrame([(x,) for x in links], "link string")
+    bans = spark.createDataFrame([("t.co",), ("d.org",), ("C.d.org.",), ("",), (None,)], "domain string")
+    assert {r.link for r in drop_banned(df, bans).collect()} == {links[0], links[3], links[4], links[6], None}
+    assert {r.host: r.ban for r in banned_hosts(df, bans).collect()} == {"t.co": "t.co", "u@A.t.co:80": "t.co", "b.c.d.org.": "c.d.org"}
+    assert drop_banned(df, bans.limit(0)).count() == len(links)
+
+
 def test_parse_pairs(spark):
     lines = ["1. ABC - Alpha Beta", "2. U.S. - United States", "U.S. - no index", "x - y - z", "no dash", "", None]
     df = spark.createDataFrame([(l,) for l in lines], "v string")
@@ -153,7 +206,7 @@ def test_urls(spark):
     d = spark.createDataFrame([("http://localhost/x",), ("mailto:a@b.com",), ("https://www.microsoft.com/",)], "u string")
     doms = [r[0] for r in d.select(U.root_domain("u")).collect()]
     assert doms == [None, None, "microsoft.com"]
-    banned = [r[0] for r in d.select(U.is_banned(U.root_domain("u"), ["t.co"])).collect()]
+    banned = [r[0] for r in d.select(U.is_banned(U.root_domain("u"), ["t.co"], "contains")).collect()]
     assert banned == [False, False, True]  # 't.co' bans 'microsoft.com' by substring (Q7)
     kinds = spark.createDataFrame([("a.pdf",), ("a.PDF",), ("a.docx",)], "u string").select(U.link_kind("u")).collect()
     assert [k[0] for k in kinds] == ["file", "page", "file"]
