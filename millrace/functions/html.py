@@ -1,4 +1,5 @@
-"""HTML column functions (HTM-1..5): regex extraction, no tree parser.
+"""HTML column functions: visible text, paragraphs, links (HTM-1, 2, 5), and the tokens, attributes and entities
+that the element table (``millrace.operators.elements``) is made of.
 
 Scripts, styles and comments are removed first, so a ``</p>`` inside a script
 cannot end a paragraph (Q17).
@@ -6,6 +7,11 @@ cannot end a paragraph (Q17).
 
 from __future__ import annotations
 
+import json
+from functools import cache
+from html import unescape as unescape_one
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,24 +20,50 @@ from millrace.functions.text import _c
 # Block tags that end an open paragraph.
 BLOCK_TAGS = "p|div|article|section|nav|header|footer|aside|main|ul|ol|li|table|form|h1|h2|h3|h4|h5|h6|body|html"
 
-# Named entities unescaped by ``unescape`` ('&amp;' last).
-ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
+# White space that a text is trimmed of besides plain blanks is left to ``collapse_ws``.
+ENTITY = r"&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);?"
+
+
+@cache
+def entity_table() -> str:
+    """Named entities and the numeric ones that stand for other characters, as JSON: built from the standard's table in Python's library."""
+    named = {name.removesuffix(";") + ";": text for name, text in html5.items()}
+    # without a semicolon only the old names count
+    named |= {name: text for name, text in html5.items() if not name.endswith(";")}
+    named |= {f"#{n}": unescape_one(f"&#{n};") for n in range(128, 160)}
+    return json.dumps(named)
+
+
+def _numeric(digits: Column, base: int) -> Column:
+    """The character with a code point; what is no character is U+FFFD."""
+    code = F.when(F.length(digits) <= 8, F.conv(digits, base, 10).cast("long")).otherwise(F.lit(1 << 40))
+    fine = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    moved = F.get(F.array(*[F.lit(unescape_one(f"&#{n};")) for n in range(128, 160)]), (F.least(code, F.lit(160)) - 128).cast("int"))
+    plain = F.decode(F.unhex(F.lpad(F.hex(F.when(fine, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+    return F.when(code.between(128, 159), moved).otherwise(plain)
+
+
+def _entity(x: Column) -> Column:
+    """What an entity stands for; itself where it is none."""
+    table = F.from_json(F.lit(entity_table()), "map<string,string>")
+    name = F.substr(x, F.lit(2))
+    digits = F.regexp_extract(x, "^&#[xX]?0*([0-9A-Fa-f]*)", 1)
+    return (
+        F.when(x.rlike("^&#[0-9]"), _numeric(F.when(digits == "", "0").otherwise(digits), 10))
+        .when(x.rlike("^&#[xX]"), _numeric(F.when(digits == "", "0").otherwise(digits), 16))
+        .otherwise(F.coalesce(F.try_element_at(table, name), x))
+    )
 
 
 def unescape(c: Column) -> Column:
-    for a, b in ENTITIES:
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+    """Text with its entities decoded once: named (as the HTML standard lists them), decimal and hexadecimal.
+
+    A name without its semicolon counts if the standard lists it so; unknown names stay. A no-break space
+    becomes a plain one.
+    """
+    parts = F.regexp_extract_all(c, F.lit(rf"{ENTITY}|&|[^&]+"), 0)
+    whole = F.array_join(F.transform(parts, lambda x: F.when(x.startswith("&") & (x != "&"), _entity(x)).otherwise(x)), "")
+    return F.when(F.instr(c, "&") > 0, F.replace(whole, F.lit("\u00a0"), F.lit(" "))).otherwise(c)
 
 
 def strip_invisible(c: Column | str) -> Column:
@@ -85,58 +117,37 @@ def links(c: Column | str) -> Column:
     return F.transform(found, lambda t: unescape(F.concat(*[F.regexp_extract(t, value, i) for i in (1, 2, 3)])))
 
 
-def _elements(page: Column, opening: str, tag: str) -> Column:
-    """Inner HTML of the outermost elements whose start tag matches ``opening``, each up to its own end tag or the end.
+# Elements that have no end tag.
+VOID_TAGS = "area base br col embed hr img input link meta source track wbr".split()
+
+TAG = r"""</?[A-Za-z][^\s/>]*(?:"[^"]*"|'[^']*'|[^'">])*>"""
+
+
+def tokens(c: Column | str) -> Column:
+    """The page as an array of tags, texts and what has none (comments, scripts, styles, declarations), in order; joined they are the page."""
+    raw = r"<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)|<[!?][^>]*>"
+    return F.regexp_extract_all(_c(c), F.lit(rf"(?is){raw}|{TAG}|[^<]+|<"), 0)
+
+
+def is_tag(token: Column) -> Column:
+    return token.rlike(rf"(?is)\A{TAG}\z") & ~token.rlike(r"(?i)\A<(script|style)\b")
+
+
+def tag_name(token: Column) -> Column:
+    return F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s/>]*)", 1))
+
+
+def attributes(tag: Column) -> Column:
+    """``map<string,string>`` of a start tag: quoted either way or bare, entities decoded, names lower-cased; the first of a name counts."""
+    pair = r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>=`]+)))?"""
+    inner = F.regexp_replace(tag, r"\A<[^\s/>]*|/?>\z", "")
+    found = F.regexp_extract_all(inner, F.lit(pair), 0)
+    entry = lambda x: F.struct(F.lower(F.regexp_extract(x, pair, 1)).alias("key"), unescape(F.concat(*[F.regexp_extract(x, pair, i) for i in (2, 3, 4)])).alias("value"))
+    entries = F.transform(found, entry)
+    names = F.transform(entries, lambda e: e["key"])
+    return F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(names, e["key"]) == i + 1))
 
-    The page is cut at every start and end tag of ``tag``; one pass over the pieces counts how deep it is.
-    """
-    cuts = F.split(page, rf"(?i)(?=</?{tag}[\s/>])")
-    none = F.array().cast("array<string>")
-    state = lambda found, parts, depth: F.struct(found.alias("found"), parts.alias("parts"), depth.alias("depth"))
-
-    def step(x: Column, piece: Column) -> Column:
-        ends, starts = piece.rlike(rf"(?i)\A</{tag}[\s/>]"), piece.rlike(rf"(?i)\A<{tag}[\s/>]")
-        deeper = x["depth"] + F.when(ends, -1).when(starts, 1).otherwise(0)
-        return (
-            F.when((x["depth"] == 0) & piece.rlike(rf"(?is)\A{opening}"),
-                   state(x["found"], F.array(F.regexp_replace(piece, r"\A<[^>]*>", "")), F.lit(1)))
-            .when(x["depth"] == 0, x)
-            .when(deeper == 0, state(F.array_append(x["found"], F.array_join(x["parts"], "")), none, F.lit(0)))
-            .otherwise(state(x["found"], F.array_append(x["parts"], piece), deeper))
-        )
-
-    def finish(x: Column) -> Column:
-        return F.when(x["depth"] > 0, F.array_append(x["found"], F.array_join(x["parts"], ""))).otherwise(x["found"])
-
-    kind = "struct<found:array<string>,parts:array<string>,depth:int>"
-    return F.aggregate(cuts, state(none, none, F.lit(0)).cast(kind), lambda x, piece: step(x, piece).cast(kind), finish)
-
-
-def class_block(c: Column | str, cls: str, tag: str = "div") -> Column:
-    """HTM-4: text of the first ``<tag class="cls">`` block with all that is nested in it, tags dropped, fragments stripped and joined with nothing."""
-    inner = F.get(_elements(strip_invisible(c), rf'<{tag}\b[^>]*\bclass="{cls}"[^>]*>', tag), F.lit(0))
-    frags = F.split(inner, r"<[^>]*>")
-    text = F.array_join(F.transform(frags, lambda f: F.regexp_replace(unescape(f), r"^\s+|\s+$", "")), "")
-    return F.when(F.length(inner) > 0, text)
-
-
-def section_digest(c: Column | str, section_tag: str = "article", heading_tag: str = "h1", marker: str = "§") -> Column:
-    """HTM-3: for each section (one inside another counts as part of it) its heading line if it holds ``marker``, then ``id`` and first paragraph of each element with an id."""
-    sections = _elements(strip_invisible(c), rf"<{section_tag}\b[^>]*>", section_tag)
-    cut = rf"(?is)(</p\s*>|</?(?:{BLOCK_TAGS})(?:[\s/>]|$)).*$"
 
-    def entry(p: Column) -> Column:
-        pid = F.regexp_extract(p, r'^([^"]*)"', 1)
-        first_p = F.regexp_extract(p, r"(?is)<p(?:\s[^>]*)?>(.*)$", 1)
-        ptext = unescape(drop_tags(F.regexp_replace(first_p, cut, "")))
-        has_p = p.rlike(r"(?is)<p(?:\s[^>]*)?>")
-        return F.concat(pid, F.lit("\n"), F.when(has_p, F.concat(ptext, F.lit("\n"))).otherwise(F.lit("")))
-
-    def digest(section: Column) -> Column:
-        heading = collapse_ws(unescape(drop_tags(F.regexp_extract(section, rf"(?is)<{heading_tag}\b[^>]*>(.*?)</{heading_tag}\s*>", 1))))
-        head_line = F.when(F.instr(heading, marker) > 0, F.concat(heading, F.lit("\n"))).otherwise(F.lit(""))
-        parts = F.split(section, r'\sid="')
-        with_ids = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-        return F.concat(head_line, F.array_join(F.transform(with_ids, entry), ""))
-
-    return F.array_join(F.transform(sections, digest), "")
+def texts(parts: Column) -> Column:
+    """The texts among tokens, entities decoded."""
+    return F.transform(F.filter(parts, lambda x: ~x.startswith("<") | (x == "<")), unescape)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import html as H
 from millrace.functions import urls as U
+from millrace.operators import elements as EL
 from millrace.plans import sqlkit as S
 from millrace.plans.catalog import query
 from millrace.session import table
@@ -17,7 +18,8 @@ SITE_PREFIX = "https://www.example.org"
 LINK_PATTERN = r"^https?://[^/]+/[a-z]{2}/"
 
 BLOCKS = H.BLOCK_TAGS
-ENT = H.ENTITIES
+# The entities that the test pages hold, for the oracles ('&amp;' last).
+ENT = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 
 
 def _unescape(e: str) -> str:
@@ -100,7 +102,29 @@ def _class_block_sql(e: str, cls: str, tag: str = "div") -> str:
 
 @query("htm_class_block", f"SELECT page_id, {_class_block_sql('html', 'ad')} AS text FROM pages")
 def htm_class_block(spark, sf):
-    return table(spark, sf, "pages").select("page_id", H.class_block("html", "ad").alias("text"))
+    return EL.class_block(table(spark, sf, "pages"), "ad")
+
+
+# Blocks put in front of every page in turn, and the text that each has by hand.
+BLOCK_SHAPES = [
+    ("<div class='big note'> a &#233;<div>b</div>&#x41; </div>", "a ébA"),
+    ("<div id=q class=note>x &eacute;<br>y<!-- </div> --></div>", "x éy"),
+    ('<DIV title=" class=note "><p>no</DIV><div\nclass="note wide" > 1 &lt;2<p>3</div>4', "1 <23"),
+    ("<section class=note>no</section><div class = 'note'>5<div>6", None),
+]
+
+
+@query(
+    "htm_class_shapes",
+    "SELECT page_id, CASE " + " ".join(f"WHEN page_id % 4 = {i} THEN {S.lit(t)}" for i, (_, t) in enumerate(BLOCK_SHAPES) if t)
+    + " ELSE '56' || tail END AS text FROM (SELECT page_id, array_to_string(list_transform(regexp_split_to_array(regexp_replace("
+    + _strip_invisible("html") + ", '<![^>]*>', '', 'g'), '<[^>]*>'), lambda f: regexp_replace(" + _unescape("f") + ", '^\\s+|\\s+$', '', 'g')), '') AS tail FROM pages)",
+)
+def htm_class_shapes(spark, sf):
+    """HTM-4 on shapes the pages lack: other quotes, none, several classes, nesting, entities, no end tag (all of the page is inside)."""
+    p = table(spark, sf, "pages")
+    front = F.get(F.array(*[F.lit(h) for h, _ in BLOCK_SHAPES]), (F.col("page_id") % 4).cast("int"))
+    return EL.class_block(p.select("page_id", F.concat(front, F.col("html")).alias("html")), "note")
 
 
 def _digest_html(e_page_id: str, e_html: str) -> str:
@@ -123,9 +147,17 @@ DIGEST_MARKER = "e"
 
 @query("htm_section_digest", f"SELECT page_id, {_digest_sql(_digest_html('page_id', 'html'), DIGEST_MARKER)} AS digest FROM pages")
 def htm_section_digest(spark, sf):
+    """The ids that the oracle puts in double quotes stand here in single quotes, bare or as entities as well."""
     p = table(spark, sf, "pages")
-    html = F.replace(F.col("html"), F.lit("<p><b>"), F.concat(F.lit('<div id="lead-'), F.col("page_id").cast("string"), F.lit('"><p><b>')))
-    return p.select("page_id", H.section_digest(html, "article", "h1", DIGEST_MARKER).alias("digest"))
+    no = F.col("page_id").cast("string")
+    kind = F.col("page_id") % 4
+    tag = (
+        F.when(kind == 0, F.concat(F.lit('<div id="lead-'), no, F.lit('">')))
+        .when(kind == 1, F.concat(F.lit("<DIV class=x ID = 'lead-"), no, F.lit("'>")))
+        .when(kind == 2, F.concat(F.lit("<div data-id=\"no\" id=lead-"), no, F.lit(">")))
+        .otherwise(F.concat(F.lit('<div title=" id=no" id="&#108;ead&#x2d;'), no, F.lit('">')))
+    )
+    return EL.section_digest(p.select("page_id", F.replace(F.col("html"), F.lit("<p><b>"), F.concat(tag, F.lit("<p><b>"))).alias("html")), "article", "h1", DIGEST_MARKER)
 
 
 # ---- links and URLs ------------------------------------------------------------

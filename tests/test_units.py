@@ -362,27 +362,54 @@ def test_body_text_is_whole(spark):
     assert {r.h: r.t for r in df.select("h", H.body_text("h").alias("t")).collect()} == pages
 
 
+def _digested(spark, pages, fn, column):
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+    return [r[1] for r in sorted((r.page_id, r[column]) for r in fn(df).collect())]
+
+
 def test_class_block_is_balanced(spark):
-    from millrace.functions import html as H
+    from millrace.operators import elements as EL
 
     pages = {
         '<div>0</div><div class="ad">1<div>2<div>3</div></div> 4 </div><div class="ad">5</div>': "1234",
         '<div class="ad">1<div>2</div>3': "123",
         '<div><DIV id=x class="ad">1<divider>2</divider></DIV>3</div>': "12",
+        "<div class='ad'>1</div>": "1",
+        '<div class="big ad">1</div>2': "1",
+        "<div class=ad>1 <!-- </div> --><script>'</div>'</script>2</div>3": "12",
+        "</div></div><div title='<div class=ad>' class=bad>0</div><p class=ad>0<div data-x class = \"x\n ad\">&eacute;&#233;&#x41;&amp;lt;&unknown;&copy &#128;&#0;</div>": "éé" + "A&lt;&unknown;© €\ufffd",
         "<div>1</div>": None,
         '<div class="ad"></div>': None,
+        "": None,
+        None: None,
     }
-    df = spark.createDataFrame([(h,) for h in pages], "h string")
-    assert {r.h: r.t for r in df.select("h", H.class_block("h", "ad").alias("t")).collect()} == pages
+    assert _digested(spark, pages, lambda df: EL.class_block(df, "ad"), "text") == list(pages.values())
+    two = "<div class='a'>0</div><div class='b x a'>1</div>"
+    assert _digested(spark, [two], lambda df: EL.class_block(df, "a b"), "text") == ["1"]
 
 
 def test_section_digest_reads_all_sections(spark):
-    from millrace.functions import html as H
+    from millrace.operators import elements as EL
 
     page = ('<article><h1>§ 1</h1><div id="a"><p>x</p></div></article><p id="no">n</p>'
             '<article><h1>2</h1><article><div id="b"><p>y</div></article><div id="c"></div></article><article><h1>§ 3</h1>')
-    df = spark.createDataFrame([(page,), ("<p>none</p>",)], "h string")
-    assert [r.t for r in df.select(H.section_digest("h").alias("t")).collect()] == ["§ 1\na\nx\nb\ny\nc\n§ 3\n", ""]
+    nested = "<article><h1>3</h1><div id=out><p id='in'>1&sect;</p><div ID=deep>0<p>2<br>3<p>4</div></div><i id=''></i><span id=last></span></article><p>5</p>"
+    want = ["§ 1\na\nx\nb\ny\nc\n§ 3\n", "out\n1§\nin\ndeep\n23\nlast\n", "", ""]
+    assert _digested(spark, [page, nested, "<p>none</p>", None], EL.section_digest, "digest") == want
+
+
+def test_element_table(spark):
+    from millrace.operators import elements as EL
+
+    page = "<body><p>a<p>b<b>c</b></p></i><ul><li>1<li>2</ul><br></body>"
+    df = spark.createDataFrame([(1, page)], "page_id long, html string")
+    toks = EL.with_tokens(df)
+    assert "".join(toks.first().tokens) == page
+    got = {(r.tag, r.start): (r.end, r.nest, r.depth) for r in EL.element_table(toks).collect()}
+    assert got == {
+        ("body", 0): (17, 1, 1), ("p", 1): (3, 1, 2), ("p", 3): (8, 2, 2), ("b", 5): (7, 1, 3), ("ul", 10): (15, 1, 2),
+        ("li", 11): (15, 1, 3), ("li", 13): (15, 2, 3), ("br", 16): (16, 1, 2),
+    }
 
 
 def test_split_blocks_hold_their_tokens(spark):
