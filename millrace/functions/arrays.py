@@ -145,9 +145,8 @@ def long_sentences(text: Column | str, min_chars: int = 50) -> Column:
     return F.filter(sentences(text), lambda s: F.length(s) >= F.lit(min_chars))
 
 
-def block_tokens(sents: Column, block: Column, max_length: int = 128, start_tokens: int = 1) -> Column:
-    """Token strings of one packed block: per sentence start token(s) + pieces (capped) + end token, then padding."""
-    part = F.slice(sents, block["sent_from"] + 1, block["sent_to"] - block["sent_from"] + 1)
+def block_tokens(part: Column, max_length: int = 128, start_tokens: int = 1) -> Column:
+    """Token strings of one packed block's sentences: per sentence start token(s) + pieces (capped) + end token, then padding."""
     seqs = F.transform(
         part,
         lambda s: F.concat(

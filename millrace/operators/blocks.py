@@ -1,8 +1,8 @@
 """Training blocks: packing, exact seeded split, padded instruction examples (PCK-1, AGG-12, WIN-3, ARR-5, PIP-5, PIP-6).
 
 Packing is sequential inside a document and runs as one fold per row, so it
-never shuffles; the split ranks on a seeded hash, so it is exact and
-reproducible without one task seeing all rows.
+never shuffles; the split finds its cut in the order of a seeded hash by
+counting, so it is exact and reproducible without a sort.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.functions import arrays as A
 from millrace.functions import records as RC
 from millrace.functions import text as T
-from millrace.operators.rank import _ranked
+from millrace.operators.select import split_label
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_length: int = 128,
@@ -31,27 +31,16 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.size(F.filter("sents", lambda s: F.length(s) < F.lit(min_chars))).alias("ignored"),
     )
     d = d.withColumn("blocks", A.pack_blocks(A.sentence_lengths(F.col("kept"), max_length, start_tokens), max_length))
-    out = d.select("doc_id", "kept", "ignored", F.posexplode("blocks").alias("block_no", "b"))
-    cols = [
-        "doc_id",
-        F.col("block_no").cast("long").alias("block_no"),
-        F.col("b.sent_from").alias("sent_from"),
-        F.col("b.sent_to").alias("sent_to"),
-        F.col("b.n_used").alias("n_used"),
-    ]
     if with_tokens:
-        ids = A.block_tokens(F.col("kept"), F.col("b"), max_length, start_tokens)
-        cols += [ids.alias("input_ids"), ids.alias("labels")]
-    return out.select(*cols)
-
-
-def with_block_tokens(blocks: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_length: int = 128,
-                      min_chars: int = 50, start_tokens: int = 1) -> DataFrame:
-    """``input_ids`` and ``labels`` for the blocks of ``pack_documents(docs, with_tokens=False)``; a document's sentences are met by its id."""
-    kept = docs.where(F.col(text_col).isNotNull() & (F.col(text_col) != "nan"))
-    kept = kept.select(F.col(id_col).alias("doc_id"), A.long_sentences(text_col, min_chars).alias("_kept"))
-    ids = A.block_tokens(F.col("_kept"), F.struct("sent_from", "sent_to"), max_length, start_tokens)
-    return blocks.join(kept, "doc_id").withColumn("input_ids", ids).drop("_kept").withColumn("labels", F.col("input_ids"))
+        # each block takes its own sentences along, not all of the document's
+        part = lambda b: F.slice("kept", b["sent_from"] + 1, b["sent_to"] - b["sent_from"] + 1)
+        d = d.select("doc_id", F.transform("blocks", lambda b: F.struct(b["sent_from"].alias("sent_from"), b["sent_to"].alias("sent_to"), b["n_used"].alias("n_used"), part(b).alias("part"))).alias("blocks"))
+    out = d.select("doc_id", F.posexplode("blocks").alias("block_no", "b"))
+    cols = ["doc_id", F.col("block_no").cast("long").alias("block_no"), "b.sent_from", "b.sent_to", "b.n_used"]
+    if not with_tokens:
+        return out.select(*cols)
+    blocks = out.select(*cols, A.block_tokens(F.col("b.part"), max_length, start_tokens).alias("input_ids"))
+    return blocks.withColumn("labels", F.col("input_ids"))
 
 
 def ignored_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 50) -> DataFrame:
@@ -66,27 +55,14 @@ def pack_totals(blocks: DataFrame, ignored: DataFrame) -> DataFrame:
     return b.unionByName(i)
 
 
-def seeded_order(key: Column, seed: int) -> Column:
-    """Shuffle key: ``md5(seed || '/' || key)`` (the same in any engine)."""
-    return F.md5(F.concat(F.lit(f"{seed}/"), key.cast("string")))
-
-
 def exact_split(df: DataFrame, key: Column, seed: int = 42, train_fraction: float = 0.95, rounding: str = "floor",
                 name: str = "split") -> DataFrame:
-    """WIN-3: exact train/validation split after a seeded shuffle.
+    """WIN-3: exact train/validation split after a seeded shuffle, see ``split_label``.
 
-    The first ``k`` rows of the seeded order are 'train', with ``k = int(f*n)``
-    (``rounding='floor'``) or Python ``round(f*n)`` (``'half_even'``).  Unlike
-    ``randomSplit`` the sizes are exact.  ``key`` must be unique.
+    Unlike ``randomSplit`` the sizes are exact.  ``key`` must be unique.  ``df`` is read once for each counting
+    pass, its key alone, and once for the result.
     """
-    x = df.withColumn("_shuffle", seeded_order(key, seed)).withColumn("_key", key.cast("string"))
-    ranked, counts = _ranked(x, [F.col("_shuffle"), F.col("_key")], "_rank")
-    n = counts.agg(F.sum("_n")).first()[0] or 0
-    if rounding == "floor":
-        k = int(train_fraction * n)
-    else:
-        k = round(train_fraction * n)
-    return ranked.withColumn(name, F.when(F.col("_rank") <= F.lit(k), "train").otherwise("validation")).drop("_shuffle", "_key", "_rank")
+    return df.withColumn(name, split_label(df, key, seed, train_fraction, rounding)(key))
 
 
 def instruction_examples(records: DataFrame, template: str, length: int = 128) -> DataFrame:

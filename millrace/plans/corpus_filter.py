@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
@@ -32,17 +32,23 @@ def filter_corpus(
     override_score: float = 0.3,
     stop_words: list[str] = T.STOP_WORDS,
     vocab_from: str = "raw",
-    stage_counts: dict | None = None,
+    metrics: dict[str, Observation] | None = None,
 ) -> DataFrame:
     """Token filter, TF-IDF relevance (positive minus negative), source override, keep best share.
 
     ``docs`` has ``doc_id, url, source, content``.  Returns the kept rows with
     ``num_tokens``, ``score`` (rounded to 6 places) and ``rank`` (1 = best).
+    ``metrics`` gets an observation a stage, whose ``n`` is its row count once the result has run: the counts
+    are taken on the way, nothing runs for them.
     """
-    counted = docs.withColumn("num_tokens", T.token_count("content"))
-    kept = counted.where(F.col("num_tokens") > F.lit(min_tokens))
-    if stage_counts is not None:
-        stage_counts["before_token_filter"] = docs.count()
+    def seen(df: DataFrame, stage: str) -> DataFrame:
+        if metrics is None:
+            return df
+        metrics[stage] = Observation()
+        return df.observe(metrics[stage], F.count(F.lit(1)).alias("n"))
+
+    counted = seen(docs, "loaded").withColumn("num_tokens", T.token_count("content"))
+    kept = seen(counted.where(F.col("num_tokens") > F.lit(min_tokens)), "token_filter")
     scored = REL.score_documents(
         kept, pos_query, neg_query, "doc_id", "content", composite_terms, stop_words, vocab_from, ["source", "num_tokens"]
     ).withColumn("score", F.round("score", 6))
@@ -51,9 +57,6 @@ def filter_corpus(
             "score", F.when(F.col("source") == F.lit(override_source), F.lit(override_score)).otherwise(F.col("score"))
         )
     best = R.top_fraction(scored.drop("source"), "score", "doc_id", keep_fraction)
-    if stage_counts is not None:
-        stage_counts["after_token_filter"] = scored.count()
-        stage_counts["after_relevance_filter"] = best.count()
     # the texts are met once, by the kept ids; ids are unique, so no key is hot
     small = bounded_broadcast(best)
-    return docs.join(small if small is not None else best.hint("shuffle_hash"), "doc_id")
+    return seen(docs.join(small if small is not None else best.hint("shuffle_hash"), "doc_id"), "relevance_filter")

@@ -12,7 +12,8 @@ from millrace.plans import sqlkit as S
 from millrace.plans.catalog import query
 from millrace.plans.q_records import DEFINE_INSTRUCTION, _last_wins_sql, answers
 from millrace.plans.q_text import INSTRUCT_TEMPLATE, QA_SQL
-from millrace.session import table
+from millrace.operators.select import split_label
+from millrace.session import cut_lineage, table
 
 CHUNK_SIZE, CHUNK_OVERLAP = 200, 20
 TRUNC_MAX, TRUNC_TARGET = 1000, 800
@@ -88,11 +89,6 @@ blocks AS (
          CAST(arg_max(used, i) AS INTEGER) AS n_used FROM r GROUP BY doc_id, bno)"""
 
 
-@query("pck_blocks", "WITH RECURSIVE " + _sentence_lengths_sql() + " SELECT * FROM blocks")
-def pck_blocks(spark, sf):
-    return B.pack_documents(table(spark, sf, "documents"), with_tokens=False)
-
-
 def _block_tokens_sql() -> str:
     """Tokens of each block, rebuilt from its sentences."""
     one = f"list_append(list_slice(list_concat(['<s>'], {S.pieces('x')}), 1, 127), '</s>')"
@@ -106,13 +102,14 @@ def _joined_tokens():
     return [F.array_join(c, SEP).alias(c) for c in ("input_ids", "labels")]
 
 
-@query(
-    "pck_block_tokens",
-    "WITH RECURSIVE " + _sentence_lengths_sql() + _block_tokens_sql()
-    + " SELECT blocks.*, input_ids, input_ids AS labels FROM blocks JOIN tokens USING (doc_id, block_no)",
-)
-def pck_block_tokens(spark, sf):
-    """The blocks of ``pck_blocks`` with what is trained on."""
+BLOCK_TOKENS_SQL = ("WITH RECURSIVE " + _sentence_lengths_sql() + _block_tokens_sql()
+                    + " SELECT blocks.*, input_ids, input_ids AS labels FROM blocks JOIN tokens USING (doc_id, block_no)")
+
+
+@query("pck_block_tokens", BLOCK_TOKENS_SQL)
+@query("pck_blocks", BLOCK_TOKENS_SQL)
+def pck_blocks(spark, sf):
+    """Packed blocks with what is trained on (under both of its names)."""
     blocks = B.pack_documents(table(spark, sf, "documents"))
     return blocks.select("doc_id", "block_no", "sent_from", "sent_to", "n_used", *_joined_tokens())
 
@@ -146,26 +143,23 @@ SELECT doc_id, block_no, n_used, CASE WHEN row_number() OVER (ORDER BY md5('42/'
 FROM keyed"""
 
 
-def _split_blocks(docs):
-    # the split is decided on block keys; token arrays are not carried through its checkpoint
+def split_blocks(docs):
+    """Blocks with tokens and split: the cut is found on block keys, then every block is built and labelled in one pass over the texts."""
     key = F.concat(F.col("doc_id").cast("string"), F.lit("/"), F.col("block_no").cast("string"))
-    return B.exact_split(B.pack_documents(docs, with_tokens=False), key, 42, 0.95, "half_even")
+    keys = cut_lineage(B.pack_documents(docs, with_tokens=False).select("doc_id", "block_no"))
+    label = split_label(keys, key, 42, 0.95, "half_even")
+    return B.pack_documents(docs).withColumn("split", label(key))
 
 
-@query("pip_pack_split", "WITH RECURSIVE " + _sentence_lengths_sql() + PACK_SPLIT_SQL)
-def pip_pack_split(spark, sf):
-    return _split_blocks(table(spark, sf, "documents")).select("doc_id", "block_no", "n_used", "split")
+PACK_SPLIT_TOKENS_SQL = ("WITH RECURSIVE " + _sentence_lengths_sql() + _block_tokens_sql() + ", split AS (SELECT * FROM (WITH " + PACK_SPLIT_SQL.lstrip(",\n")
+                         + ")) SELECT split.*, input_ids, input_ids AS labels FROM split JOIN tokens USING (doc_id, block_no)")
 
 
-@query(
-    "pip_pack_split_tokens",
-    "WITH RECURSIVE " + _sentence_lengths_sql() + _block_tokens_sql() + ", split AS (SELECT * FROM (WITH " + PACK_SPLIT_SQL.lstrip(",\n")
-    + ")) SELECT split.*, input_ids, input_ids AS labels FROM split JOIN tokens USING (doc_id, block_no)",
-)
-def pip_pack_split_tokens(spark, sf):
-    """The blocks of ``pip_pack_split`` with what is trained on."""
-    docs = table(spark, sf, "documents")
-    return B.with_block_tokens(_split_blocks(docs), docs).select("doc_id", "block_no", "n_used", "split", *_joined_tokens())
+@query("pip_pack_split_tokens", PACK_SPLIT_TOKENS_SQL)
+@query("pip_pack_split", PACK_SPLIT_TOKENS_SQL)
+def pip_pack_split(spark, sf):
+    """PIP-5 with the tokens of every block (under both of its names)."""
+    return split_blocks(table(spark, sf, "documents")).select("doc_id", "block_no", "n_used", "split", *_joined_tokens())
 
 
 def _context_sql(ins: str, inp: str, out: str) -> str:
@@ -185,7 +179,8 @@ SELECT input, {_padded_sql("list_concat(['<s>'], " + S.pieces('context') + ")")}
 FROM ctx""",
 )
 def pip_instruct_examples(spark, sf):
-    recs = REC.pair_records(answers(spark, sf), DEFINE_INSTRUCTION).select(*REC.RECORD_COLS)
+    recs = cut_lineage(REC.pair_records(answers(spark, sf), DEFINE_INSTRUCTION).select(*REC.RECORD_COLS))
+    label = split_label(recs, F.col("input"), 42, 0.95, "floor")
     ex = B.instruction_examples(recs, INSTRUCT_TEMPLATE, 128)
     ex = ex.select("input", *_padded_cols(F.struct("input_ids", "attention_mask", "labels")))
-    return B.exact_split(ex, F.col("input"), 42, 0.95, "floor")
+    return ex.withColumn("split", label(F.col("input")))

@@ -10,9 +10,10 @@ from millrace.plans.catalog import query
 from millrace.functions import text as T
 from millrace.operators import rank as R
 from millrace.operators import relevance as REL
+from millrace.operators import select as SEL
 from millrace.operators.joins import lookup_join
 from millrace.plans.corpus_filter import documents_as_rows, filter_corpus
-from millrace.session import table
+from millrace.session import cut_lineage, scratch_path, table
 
 _KEEP_COLS = ["doc_id", "url", "source", "content", "num_tokens", "score", "rank"]
 
@@ -57,8 +58,12 @@ WHERE rank <= (SELECT CAST(floor(count(*) * {P.KEEP_FRACTION}) AS BIGINT) FROM s
 
 @query("pip_filter_corpus", _sql_filter_corpus())
 def pip_filter_corpus(spark, sf_dir):
+    return _filtered(spark, sf_dir).select(*_KEEP_COLS)
+
+
+def _filtered(spark, sf_dir, metrics=None):
     docs = documents_as_rows(table(spark, sf_dir, "documents"))
-    out = filter_corpus(
+    return filter_corpus(
         docs,
         P.POS_QUERY,
         P.NEG_QUERY,
@@ -66,8 +71,8 @@ def pip_filter_corpus(spark, sf_dir):
         min_tokens=P.MIN_TOKENS,
         keep_fraction=P.KEEP_FRACTION,
         override_source=P.OVERRIDE_SOURCE,
+        metrics=metrics,
     )
-    return out.select(*_KEEP_COLS)
 
 
 # ---- parts of the relevance filter ------------------------------------------
@@ -148,12 +153,13 @@ def jon_sparse_dot(spark, sf):
     "agg_posneg_score",
     _rel_ctes()
     + "SELECT doc_id, round(CASE WHEN n2 > 0 THEN dp / sqrt(n2) ELSE 0 END, 6) AS pos, "
-    "round(CASE WHEN n2 > 0 THEN dn / sqrt(n2) ELSE 0 END, 6) AS neg, round(score, 6) AS score FROM agg JOIN sc USING (doc_id)",
+    "round(CASE WHEN n2 > 0 THEN dn / sqrt(n2) ELSE 0 END, 6) AS neg, round(score, 6) AS score FROM agg JOIN sc USING (doc_id) "
+    "UNION ALL SELECT doc_id, 0, 0, 0 FROM kept WHERE doc_id NOT IN (SELECT doc_id FROM agg)",
 )
 def agg_posneg_score(spark, sf):
     p = _parts(spark, sf)
-    s = REL.posneg_scores(p["w"], p["qp"], p["qn"])
-    return s.select("doc_id", *[F.round(c, 6).alias(c) for c in ("pos", "neg", "score")])
+    s = REL.posneg_scores(p["w"], p["qp"], p["qn"]).select("doc_id", *[F.round(c, 6).alias(c) for c in ("pos", "neg", "score")])
+    return p["kept"].select("doc_id").join(s, "doc_id", "left").fillna(0.0)  # no known word: 0
 
 
 @query("jon_left_score", _rel_ctes() + "SELECT doc_id, source, round(sc.score, 6) AS score FROM kept LEFT JOIN sc USING (doc_id)")
@@ -187,6 +193,16 @@ def srt_top_fraction(spark, sf):
     return R.top_fraction(s, "score", "doc_id", P.KEEP_FRACTION)
 
 
+@query(
+    "srt_keep_fraction",
+    _rel_ctes() + f"SELECT doc_id, score FROM ranked WHERE rank <= (SELECT CAST(floor(count(*) * {P.KEEP_FRACTION}) AS BIGINT) FROM scored)",
+)
+def srt_keep_fraction(spark, sf):
+    """SRT-1 where no rank is asked for: the cut is found by counting."""
+    s = cut_lineage(_scored(_parts(spark, sf)).select("doc_id", "score"))
+    return SEL.keep_top(s, "score", "doc_id", P.KEEP_FRACTION)
+
+
 @query("srt_by_score", _rel_ctes() + "SELECT doc_id, score FROM scored ORDER BY score DESC, doc_id")
 def srt_by_score(spark, sf):
     return _scored(_parts(spark, sf)).select("doc_id", "score").orderBy(F.col("score").desc(), "doc_id")
@@ -211,10 +227,9 @@ UNION ALL SELECT 'relevance_filter', count(*) FROM ranked
   WHERE rank <= (SELECT CAST(floor(count(*) * {P.KEEP_FRACTION}) AS BIGINT) FROM scored)""",
 )
 def agg_stage_counts(spark, sf):
-    p = _parts(spark, sf)
-    final = R.top_fraction(_scored(p).select("doc_id", "score"), "score", "doc_id", P.KEEP_FRACTION)
-
-    def cnt(df, name):
-        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
-
-    return cnt(p["docs"], "loaded").unionByName(cnt(p["kept"], "token_filter")).unionByName(cnt(final, "relevance_filter"))
+    """AGG-11: the counts that the running filter reports, beside its result."""
+    metrics = {}
+    kept = _filtered(spark, sf, metrics)
+    kept.write.parquet(scratch_path(spark, "filtered"))
+    counts = [(stage, m.get["n"]) for stage, m in metrics.items()]
+    return spark.createDataFrame(counts, "stage string, n long")

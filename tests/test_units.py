@@ -183,6 +183,40 @@ def test_exact_split_is_disjoint_and_complete(spark):
     assert out.select("k").distinct().count() == 1001
 
 
+def test_cut_by_counting_equals_sorting(spark, monkeypatch):
+    from millrace.operators import select as SEL
+
+    monkeypatch.setattr(SEL, "FEW", 3)
+    n = 701
+    scores = [None if i % 97 == 0 else float("-inf") if i % 91 == 0 else (i * 7919 % 50) / 7 - 3 for i in range(n)]
+    df = spark.createDataFrame([(i * 3 - 400, s) for i, s in enumerate(scores)], "k long, s double")
+    order = sorted(((float("-inf") if s is None else s), i * 3 - 400) for i, s in enumerate(scores))
+    for f in (0.0, 0.001, 0.8, 0.5, 1.0):
+        got = sorted(r.k for r in SEL.keep_top(df, "s", "k", f).collect())
+        k = int(n * f)
+        assert got == sorted(x for _, x in order[n - k:])
+    assert SEL.keep_top(df.limit(0), "s", "k").count() == 0
+    for f, r, k in ((0.95, "floor", 665), (0.5, "half_even", 350), (0.0, "floor", 0), (1.0, "floor", n)):
+        out = {x.k: x.split for x in B.exact_split(df.select("k"), F.col("k"), 1, f, r).collect()}
+        import hashlib
+
+        ranked = sorted(out, key=lambda x: (hashlib.md5(f"1/{x}".encode()).hexdigest(), str(x)))
+        assert [out[x] for x in ranked] == ["train"] * k + ["validation"] * (n - k)
+    plan = B.exact_split(df, F.col("k"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    assert B.exact_split(df.limit(0), F.col("k")).count() == 0
+
+
+def test_stage_counts_come_with_the_result(spark):
+    from millrace.plans.corpus_filter import filter_corpus
+
+    rows = [(i, f"u{i}", "s", "word " * i) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, url string, source string, content string")
+    metrics = {}
+    kept = filter_corpus(docs, "word", "other", min_tokens=20, metrics=metrics).collect()
+    assert {k: m.get["n"] for k, m in metrics.items()} == {"loaded": 40, "token_filter": 20, "relevance_filter": len(kept)}
+
+
 def test_distributed_rank_matches_sort(spark):
     df = spark.range(0, 500).select((F.col("id") * 7919 % 500).alias("k"), F.col("id"))
     ranked = R.with_rank(df, [F.col("k").desc(), "id"], "r").orderBy("r").collect()
@@ -421,7 +455,7 @@ def test_split_blocks_hold_their_tokens(spark):
     first = [["<s>", *words[:19], "word19.", "</s>"], ["<s>", *words[20:59], "word59.", "</s>"]]
     want = [sum(first, []), ["<s>", *words[:126], "</s>"]]
     want = [w + ["<pad>"] * (128 - len(w)) for w in want]
-    for blocks in (B.pack_documents(docs), B.with_block_tokens(q_blocks._split_blocks(docs), docs)):
+    for blocks in (B.pack_documents(docs), q_blocks.split_blocks(docs)):
         rows = blocks.orderBy("block_no").collect()
         assert [[t.strip() for t in r.input_ids] for r in rows] == want
         assert all(r.labels == r.input_ids for r in rows)
