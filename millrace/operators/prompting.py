@@ -3,9 +3,9 @@
 The model client is injected: a picklable factory is called once per
 partition inside ``mapInPandas`` (Arrow batches), so connections are made on
 executors, never on the driver.  A call that fails does not fail the task: the
-row gets ``''`` and zero tokens (soft failure), while Spark still retries
-tasks lost with an executor.  Resume is an anti-join against results already
-written, so a rerun adds no rows.
+row gets ``''``, zero tokens and the error (soft failure), while Spark still
+retries tasks lost with an executor.  Resume is an anti-join against results
+already written, so a rerun adds no rows; ``batches`` commits them.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions.text import fill_placeholder
 
@@ -63,41 +64,44 @@ class EchoFactory:
 RESULT_COLS = ["url", "source", "content", "task", "total_tokens", "generated_text", "costs"]
 
 
-def run_prompts(df: DataFrame, template: str, task: str, client_factory: Callable, system_prompt: str | None = None,
-                placeholder: str = "{context}", key_cols: tuple[str, ...] = ("url", "source", "content")) -> DataFrame:
-    """UDF-2: fill the template per row (JVM side), call the client per row on executors, attach task, tokens, text, cost."""
-    prompts = df.select(*key_cols, fill_placeholder(template, placeholder, "content").alias("_prompt"))
-    out_schema = ", ".join(f"{c} string" for c in key_cols) + ", generated_text string, prompt_tokens long, completion_tokens long"
+def run_prompts(df: DataFrame, template: str | Column, task: str | Column, client_factory: Callable, system_prompt: str | None = None,
+                placeholder: str = "{context}", key_cols: tuple[str, ...] = ("url", "source", "content"), content: str = "content") -> DataFrame:
+    """UDF-2: fill the template per row (JVM side), call the client per row on executors, attach task, tokens, text, cost and error.
+
+    ``template`` and ``task`` may be columns, so rows of several tasks go through one job. A call that raises
+    gives ``''``, zero tokens and the exception as ``error`` (null otherwise).
+    """
+    own = task if isinstance(task, Column) else F.lit(task)
+    prompts = df.select(*key_cols, own.alias("task"), fill_placeholder(template, placeholder, content).alias("_prompt"))
+    kinds = [f for f in prompts.schema.fields if f.name != "_prompt"]
+    out_schema = StructType(kinds + StructType.fromDDL("generated_text string, prompt_tokens long, completion_tokens long, error string").fields)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = client_factory()
         for b in batches:
-            texts, pin, pout = [], [], []
+            answers = []
             for p in b["_prompt"]:
                 try:
-                    t, i, o = client.complete(p, system_prompt)
-                except Exception:
-                    t, i, o = "", 0, 0
-                texts.append(t)
-                pin.append(i)
-                pout.append(o)
-            res = b[list(key_cols)].copy()
-            res["generated_text"] = texts
-            res["prompt_tokens"] = pin
-            res["completion_tokens"] = pout
-            yield res
-
-    called = prompts.mapInPandas(call, out_schema)
-    return with_costs(called, task)
-
-
-def with_costs(called: DataFrame, task: str) -> DataFrame:
+                    answers.append((*client.complete(p, system_prompt), None))
+                except Exception as e:  # whatever a client raises: the row says so, the job goes on
+                    answers.append(("", 0, 0, f"{type(e).__name__}: {e}"))
+            res = b.drop(columns="_prompt")
+            for name, values in zip(("generated_text", "prompt_tokens", "completion_tokens", "error"), zip(*answers), strict=True) if answers else ():
+                res[name] = list(values)
+            if answers:
+                yield res
+
+    return with_costs(prompts.mapInPandas(call, out_schema), key_cols)
+
+
+def with_costs(called: DataFrame, key_cols: tuple[str, ...] = ("url", "source", "content")) -> DataFrame:
     """AGG-10: cost = in * price_in + out * price_out; tokens = in + out (a failed call is 0, 0)."""
     return called.select(
-        "url", "source", "content", F.lit(task).alias("task"),
+        *key_cols, "task",
         (F.col("prompt_tokens") + F.col("completion_tokens")).alias("total_tokens"),
         "generated_text",
         (F.col("prompt_tokens") * F.lit(PRICE_IN) + F.col("completion_tokens") * F.lit(PRICE_OUT)).alias("costs"),
+        "error",
     )
 
 

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.operators import prompting as PR
+from millrace.operators.batches import CommitLog
 from millrace.plans import params as P
 from millrace.plans import sqlkit as S
 from millrace.plans.catalog import query
 from millrace.plans.corpus_filter import documents_as_rows
-from millrace.sources import io as IO
 from millrace.session import scratch_path, table
 
 # Prompt templates and task routing of our own.
@@ -63,7 +63,7 @@ def _job_sql(src: str, template: str, task: str, mode: str) -> str:
 @query("udf_prompt_job", "SELECT * FROM " + _job_sql(DOCS_SQL, COHERENCE_TEMPLATE, "coherence", "verdict"))
 def udf_prompt_job(spark, sf):
     d = documents_as_rows(table(spark, sf, "documents"))
-    return PR.run_prompts(d, COHERENCE_TEMPLATE, "coherence", PR.EchoFactory("verdict"))
+    return PR.run_prompts(d, COHERENCE_TEMPLATE, "coherence", PR.EchoFactory("verdict")).drop("error")
 
 
 @query(
@@ -77,12 +77,9 @@ def udf_prompt_job(spark, sf):
     + ") GROUP BY task",
 )
 def agg_task_cost(spark, sf):
-    r = routed(spark, sf)
-    out = None
-    for t in sorted({t for t, _ in ROUTES}):
-        job = PR.run_prompts(r.where(F.col("task") == t), EXTRACT_TEMPLATE, t, PR.EchoFactory("echo"))
-        out = job if out is None else out.unionByName(job)
-    return PR.task_costs(out)
+    """One job for all tasks: task and template are columns."""
+    job = PR.run_prompts(routed(spark, sf), F.lit(EXTRACT_TEMPLATE), F.col("task"), PR.EchoFactory("echo"))
+    return PR.task_costs(job)
 
 
 @query("win_batches", f"SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // {BATCH_SIZE} AS batch FROM documents")
@@ -138,20 +135,16 @@ def pip_coherence_clean(spark, sf):
     checked = PR.run_prompts(d, COHERENCE_TEMPLATE, "coherence", PR.EchoFactory("verdict"))
     yes = checked.where(F.col("generated_text").isin("Yes", "yes")).select("url", "source", "content")
     cleaned = PR.run_prompts(yes, CLEANING_TEMPLATE, "cleaning", PR.EchoFactory("echo"))
-    return cleaned.dropna("any")
+    return cleaned.drop("error").dropna("any")
 
 
-RESULT_SCHEMA = "url string, source string, content string, task string, total_tokens bigint, generated_text string, costs double"
+# Fixed values of the registered jobs.
+COMMIT_BATCHES = 20
+QA_HEAD, QA_BATCH = 30, 15
 
 
-def task_job(spark, rows, results_dir: str, task: str, template: str, factory) -> None:
-    """PIP-8 step: batches are cut first (WIN-2), rows already in ``results_dir`` are skipped (JON-2),
-    the rest is prompted (UDF-2) and appended as one batch (SNK-2)."""
-    existing = (IO.read_csv(spark, results_dir, RESULT_SCHEMA) if IO.path_exists(spark, results_dir)
-                else spark.createDataFrame([], RESULT_SCHEMA))
-    todo = PR.pending(rows, existing, "url")
-    out = PR.run_prompts(todo, template, task, factory)
-    IO.write_csv(out, results_dir, "append")
+def _definitions(spark, sf):
+    return routed(spark, sf).where(F.col("task") == "definitions").select("doc_id", "url", "source", "content")
 
 
 @query(
@@ -160,14 +153,26 @@ def task_job(spark, rows, results_dir: str, task: str, template: str, factory) -
                                 EXTRACT_TEMPLATE, "definitions", "echo"),
 )
 def pip_task_job(spark, sf):
-    """Extraction job for the sources routed to 'definitions', run twice: an interrupted first run
-    (English rows only) and a resumed second run over everything; the second adds only missing rows.
+    """Extraction job for the sources routed to 'definitions', run twice: a first run over the English rows only, and a
+    resumed run over everything, which asks for the missing rows of each batch only.
     Read back from CSV, an empty answer is an empty cell, i.e. null."""
-    path = scratch_path(spark, "task-results")
-    rows = routed(spark, sf).where(F.col("task") == "definitions").select("doc_id", "url", "source", "content")
+    log = CommitLog(spark, scratch_path(spark, "task-results"))
+    rows = _definitions(spark, sf)
     lang = table(spark, sf, "documents").select("doc_id", "lang")
     first = rows.join(lang.where(F.col("lang") == "en"), "doc_id", "left_semi")
-    factory = PR.EchoFactory("echo")
-    task_job(spark, first.drop("doc_id"), path, "definitions", EXTRACT_TEMPLATE, factory)
-    task_job(spark, rows.drop("doc_id"), path, "definitions", EXTRACT_TEMPLATE, factory)
-    return IO.read_csv(spark, path, RESULT_SCHEMA)
+    for part in (first, rows):
+        log.run(part, "definitions", EXTRACT_TEMPLATE, PR.EchoFactory("echo"), ["doc_id"], BATCH_SIZE, COMMIT_BATCHES)
+    return log.results().drop("error")
+
+
+@query(
+    "pip_qa_job",
+    "SELECT url, source, content, task, total_tokens, nullif(generated_text, '') AS generated_text, costs FROM " + _job_sql(
+        f"(SELECT * FROM {DOCS_SQL} WHERE source = 'src4' ORDER BY doc_id LIMIT {QA_HEAD})", EXTRACT_TEMPLATE, "qa", "echo"),
+)
+def pip_qa_job(spark, sf):
+    """PIP-8 with SRT-2: the first rows of one source, in batches of their own size."""
+    log = CommitLog(spark, scratch_path(spark, "qa-results"))
+    rows = documents_as_rows(table(spark, sf, "documents")).where(F.col("source") == "src4")
+    log.run(rows, "qa", EXTRACT_TEMPLATE, PR.EchoFactory("echo"), ["doc_id"], QA_BATCH, head=QA_HEAD)
+    return log.results().drop("error")

@@ -275,18 +275,80 @@ def test_prompt_failure_is_soft(spark):
     assert out["u2"]["generated_text"] == "" and out["u2"]["total_tokens"] == 0 and out["u2"]["costs"] == 0.0
 
 
-def test_resume_adds_no_rows(spark):
-    from millrace.plans.q_tasks import RESULT_SCHEMA, task_job
+class CountingFactory:
+    """Notes every call in a file; fails at some rows, or ends its worker while ``flag`` exists."""
+
+    def __init__(self, calls, stop="", fails="", flag=""):
+        self.calls, self.stop, self.fails, self.flag = calls, stop, fails, flag
+
+    def __call__(self):
+        return self
+
+    def complete(self, prompt, system=None):
+        import os
+
+        if self.stop and self.stop in prompt and os.path.exists(self.flag):
+            raise SystemExit("lost")
+        with open(self.calls, "a") as f:
+            f.write(prompt + "\n")
+        if self.fails and self.fails in prompt and os.path.exists(self.flag):
+            raise RuntimeError("service down")
+        return "ok " + prompt, 2, 1
+
+
+def _job(spark, tmp_path, **client):
+    import sys
+
+    from pyspark import cloudpickle
+
+    from millrace.operators.batches import CommitLog
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    calls, flag = tmp_path / "calls", tmp_path / "flag"
+    flag.touch()
+    rows = spark.createDataFrame([(f"u{i:02}", "s", f"text {i:02}") for i in range(20)], "url string, source string, content string").coalesce(1)
+    log = CommitLog(spark, str(tmp_path / "log"))
+    run = lambda **o: log.run(rows, "t", "{context}", CountingFactory(str(calls), flag=str(flag), **client), ["url"], 4, **o)
+    asked = lambda: calls.read_text().splitlines()
+    return log, run, asked, flag
+
+
+def test_lost_job_resumes_with_missing_calls(spark, tmp_path):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    log, run, asked, flag = _job(spark, tmp_path, stop="text 10")  # in batch 3 of 5
+    with pytest.raises((PySparkException, Exception)):
+        run()
+    assert log.results().count() == 8 and [r.n_rows for r in log.manifest().orderBy("commit").collect()] == [4, 4]
+    before = len(asked())
+    flag.unlink()
+    assert len(run()) == 3
+    assert sorted(asked()[before:]) == [f"text {i:02}" for i in range(8, 20)]
+    got = log.results().collect()
+    assert sorted(r.generated_text for r in got) == [f"ok text {i:02}" for i in range(20)] and not any(r.error for r in got)
+    assert run() == [] and log.results().count() == 20
+
+
+def test_uncommitted_results_do_not_count(spark, tmp_path):
+    log, run, asked, _ = _job(spark, tmp_path)
+    run(batches_per_commit=5)
+    half = log.attempts().limit(3).drop("commit")
     from millrace.sources import io as IO
-    from millrace.session import scratch_path
-
-    path = scratch_path(spark, "resume-test")
-    rows = spark.createDataFrame([(f"u{i}", "s", f"text {i}.") for i in range(20)], "url string, source string, content string")
-    f = PR.EchoFactory("echo")
-    task_job(spark, rows, path, "t", "Passage:\n{context}", f)
-    n1 = IO.read_csv(spark, path, RESULT_SCHEMA).count()
-    task_job(spark, rows, path, "t", "Passage:\n{context}", f)
-    assert n1 == 20 and IO.read_csv(spark, path, RESULT_SCHEMA).count() == 20
+
+    IO.write_csv(half, f"{log.folder}/results/commit=2")  # left by a run that was lost before its manifest entry
+    assert log.results().count() == 20 and log.attempts().count() == 20 and len(asked()) == 20
+
+
+def test_failed_rows_are_asked_again_on_demand(spark, tmp_path):
+    log, run, asked, flag = _job(spark, tmp_path, fails="text 1")
+    run(batches_per_commit=2)
+    bad = [r for r in log.results().collect() if r.error]
+    assert len(bad) == 10 and {r.error for r in bad} == {"RuntimeError: service down"} and {r.total_tokens for r in bad} == {0}
+    flag.unlink()
+    assert run() == [] and len(asked()) == 20
+    run(retry_failed=True, batches_per_commit=2)
+    assert len(asked()) == 30 and log.results().count() == 20 and log.results().where("error IS NOT NULL").count() == 0
 
 
 def test_trim_marker(spark):
