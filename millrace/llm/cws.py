@@ -69,31 +69,41 @@ def _sample(place: int) -> Column:
     return F.shiftleft(order, 32).bitwiseOR(F.xxhash64("term", t, F.lit(place)).bitwiseAND(F.lit((1 << 32) - 1)))
 
 
-def signatures(terms: DataFrame, keys: list[str], places: int = PLACES) -> DataFrame:
-    """``(*keys, fingerprint)``: 4 hex digits a place, for every key of ``(*keys, term, weight)``.
+def packed_signatures(terms: DataFrame, keys: list[str], places: int = PLACES) -> DataFrame:
+    """``(*keys, signature)``: two bytes a place, for every key of ``(*keys, term, weight)``; null without terms.
 
-    Terms that are null or whose weight is not above zero take no part; a key without others has ``BLANK``
-    at every place, so it is like another such key and unlike all others.
+    Terms that are null or whose weight is not above zero take no part.
     """
     rows = terms.withColumn("log_weight", F.when(F.col("term").isNotNull() & (F.col("weight") > 0), F.log(F.col("weight").cast("double"))))
     rows = rows.crossJoin(F.broadcast(_tables(terms)))  # one row of constants beside each
     least = rows.groupBy(*keys).agg(*[F.min(F.when(F.col("log_weight").isNotNull(), _sample(i))).alias(f"p{i}") for i in range(places)])
-    # xxhash64 skips nulls, so blank places are told apart first
-    digits = [F.when(F.col(f"p{i}").isNull(), BLANK).otherwise(F.lpad(F.lower(F.hex(F.xxhash64(f"p{i}").bitwiseAND(F.lit(0xFFFF)))), 4, "0")) for i in range(places)]
-    return least.select(*keys, F.concat(*digits).alias("fingerprint"))
+    # a text with a word has a sample at every place
+    digits = [F.lpad(F.hex(F.xxhash64(f"p{i}").bitwiseAND(F.lit(0xFFFF))), 4, "0") for i in range(places)]
+    return least.select(*keys, F.when(F.col("p0").isNotNull(), F.unhex(F.concat(*digits))).alias("signature"))
+
+
+def shown(signature: Column, places: int = PLACES) -> Column:
+    """A signature as text: 4 hex digits a place, ``BLANK`` at every place of one without words, so it is like another such and unlike all others."""
+    return F.coalesce(F.lower(F.hex(signature)), F.lit(BLANK * places))
+
+
+def signatures(terms: DataFrame, keys: list[str], places: int = PLACES) -> DataFrame:
+    """``(*keys, fingerprint)``: the signatures of ``packed_signatures`` as text."""
+    return packed_signatures(terms, keys, places).select(*keys, shown(F.col("signature"), places).alias("fingerprint"))
 
 
 def likeness(a: Column, b: Column, places: int = PLACES) -> Column:
-    """Share of places at which two fingerprints agree."""
+    """Share of places at which two signatures agree; two blank ones agree, a blank one and another do not."""
     same = F.lit(0)
     for i in range(places):
-        same = same + (F.substring(a, 4 * i + 1, 4) == F.substring(b, 4 * i + 1, 4)).cast("int")
-    return same / F.lit(float(places))
+        same = same + (F.substring(a, 2 * i + 1, 2) == F.substring(b, 2 * i + 1, 2)).cast("int")
+    return F.when(a.isNull() & b.isNull(), 1.0).when(a.isNull() | b.isNull(), 0.0).otherwise(same / F.lit(float(places)))
 
 
-def fingerprint_texts(texts: DataFrame, keys: list[str], text: str = "text", places: int = PLACES) -> DataFrame:
-    """``(*keys, fingerprint)`` for every text of ``texts``; ``keys`` tell its rows apart.
+def fingerprint_texts(texts: DataFrame, keys: list[str], text: str = "text", places: int = PLACES, packed: bool = False) -> DataFrame:
+    """``(*keys, fingerprint)`` for every text of ``texts``, or ``(*keys, signature)`` if ``packed``; ``keys`` tell its rows apart.
 
     Words are what white space parts; whole texts count; a null text is an empty one.
     """
-    return signatures(term_weights(texts, keys, text), keys, places)
+    made = packed_signatures if packed else signatures
+    return made(term_weights(texts, keys, text), keys, places)

@@ -37,21 +37,22 @@ def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"))))
     texts = rows.select("key", "copy", both.alias("v")).select("key", "copy", "v.kind", "v.text")
     # all of a document stays in the partition of its key: no shuffle between the texts and the fingerprints
-    signed = cws.fingerprint_texts(texts, ["key", "copy", "kind"])
-    of = lambda kind, name: F.max(F.when(F.col("kind") == kind, F.col("fingerprint"))).alias(name)
-    pairs = signed.groupBy("key", "copy").agg(of(0, "fingerprint"), of(1, "edited_fingerprint"))
-    facts = rows.select("key", "copy", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
+    signed = cws.fingerprint_texts(texts, ["key", "copy", "kind"], packed=True)
+    of = lambda kind, name: F.max(F.when(F.col("kind") == kind, F.col("signature"))).alias(name)
+    pairs = signed.groupBy("key", "copy").agg(of(0, "own"), of(1, "changed"))
+    facts = rows.select("key", "copy", "n_chars", F.unhex(F.sha2("edited", 256)).alias("edited_sha256"))
+    # signatures and digests stay bytes until the last step
     done = cut_lineage(facts.join(pairs, ["key", "copy"]).join(follow, "key"))
-    first = done.where("copy = 1").select(F.col("key").alias("next_key"), F.col("fingerprint").alias("next_fingerprint"))
+    first = done.where("copy = 1").select(F.col("key").alias("next_key"), F.col("own").alias("next_own"))
     done = done.join(first, "next_key")
     return done.select(
         F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"),
         "n_chars",
-        "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        cws.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        cws.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+        cws.shown(F.col("own")).alias("fingerprint"),
+        cws.shown(F.col("changed")).alias("edited_fingerprint"),
+        cws.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        cws.likeness(F.col("own"), F.col("next_own")).alias("near_next"),
     )
 
 
