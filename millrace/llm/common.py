@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import bounded_broadcast, salted_join
+
 #: Text bytes that one step inside a Python task holds at once (one longer text still goes whole).
 SLICE_BYTES = 4 << 20
 
@@ -62,3 +66,35 @@ def per_text(df: DataFrame, text: str, schema: str, fn: Callable[[list], dict[st
             yield pa.RecordBatch.from_arrays(cols, schema=target)
 
     return frame.mapInArrow(run, out)
+
+
+@cache
+def letters() -> str:
+    """A pattern of runs of letters: what Python's word characters hold beyond them (digits, other numbers, underscore) is left out."""
+    numbers = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) in ("Nl", "No")]
+    return "[^\\W\\d_" + "".join(numbers) + "]+"
+
+
+def plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns ``_c0``, ``_c1``, ..., and the new name of each: an operator's own columns then clash with none of the caller's."""
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def restored(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The caller's columns of ``rows`` under their own names."""
+    return rows.select(*[F.col(new).alias(old) for old, new in names.items()])
+
+
+def hot_join(big: DataFrame, small: DataFrame, key: str, rows: str, hot: int = 1000) -> DataFrame:
+    """Inner join where one key may hold a large share of ``big``; ``small`` has one row a key, and in ``rows`` how many of ``big`` it has.
+
+    Keys of more than ``hot`` rows (so at most a ``hot``-th of them) are sent to the rows of ``big`` where these
+    are, if they are few enough, else salted; the others meet in a plain join.
+    """
+    many = small.where(F.col(rows) > hot)
+    sent = bounded_broadcast(many)
+    cold = small.where(F.col(rows) <= hot)
+    if sent is None:
+        return salted_join(big, many, [key]).unionByName(big.join(many.select(key), key, "left_anti").join(cold, key))
+    return big.join(sent, key).unionByName(big.join(F.broadcast(many.select(key)), key, "left_anti").join(cold, key))

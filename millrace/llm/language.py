@@ -19,9 +19,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import key_hash, per_text
+from millrace.llm.common import key_hash, letters, per_text
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(letters())
 BUCKETS = 1 << 15
 #: Words of a window.
 WINDOW = 32
@@ -179,8 +179,8 @@ def chain_means(e: np.ndarray, rows: list[np.ndarray], a: np.ndarray, window: in
     return np.add.reduceat(total, first, axis=0) / size[:, None]
 
 
-def fit_model(texts: list[str], langs: list[str], rounds: int = 40, seed: int = 7) -> Model:
-    """Learn from texts of one language each, spliced at random into code-switched sequences."""
+def fit_model(texts: list[str], langs: list[str], rounds: int = 40, seed: int = 7, sequences: int = 625) -> Model:
+    """Learn from texts of one language each, spliced at random into at most ``sequences`` code-switched sequences a language."""
     names = sorted(set(langs))
     n = len(names)
     rng = np.random.default_rng(seed)
@@ -196,7 +196,7 @@ def fit_model(texts: list[str], langs: list[str], rounds: int = 40, seed: int =
     # sequences: runs of random lengths from random documents, every language as often
     by = [[d for d, y in docs if y == k] for k in range(n)]
     present = [k for k in range(n) if by[k]]
-    n_seq = min(2500, max(64, sum(len(d) for d, _ in docs) // LENGTH))
+    n_seq = min(sequences * len(present), max(64, sum(len(d) for d, _ in docs) // LENGTH))
     seqs, labels = [], []
     for _ in range(n_seq):
         run, tags = [], []
@@ -269,9 +269,10 @@ def excerpt(text: str | None, words: int, run: int = 40) -> str:
     return " ".join(w for at in starts for w in found[at : at + run])
 
 
-def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = 400, words: int = 400, seed: int = 7) -> Model:
+def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = 400, words: int = 400, seed: int = 7, sequences: int = 625) -> Model:
     """Fit on a bounded sample: about ``per_lang`` documents of each language where ``learn`` holds,
-    and of each at most ``words`` words, spread over the whole text.
+    and of each at most ``words`` words, spread over the whole text; from these come at most ``sequences``
+    training sequences of ``LENGTH`` words a language. All three bounds are of the fit alone.
 
     The sample is drawn by a hash of the id, so reruns agree; rows with a null language or id are left out.
     """
@@ -283,7 +284,7 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "tex
     sample = picked.select(F.col(id_col).alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
     sample = per_text(sample, "_text", "part string", lambda texts: {"part": [excerpt(t, words) for t in texts]})
     got = sorted(sample.collect(), key=lambda r: (r["_id"], r["part"]))
-    return fit_model([r["part"] for r in got], [r["_lang"] for r in got], seed=seed)
+    return fit_model([r["part"] for r in got], [r["_lang"] for r in got], seed=seed, sequences=sequences)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: bool = False) -> DataFrame:

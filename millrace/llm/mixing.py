@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.common import plain
 from millrace.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -188,6 +189,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     A document taken whole keeps its text as it is; of others the taken words remain, joined by spaces.
     Words taken twice come again in a second row. ``n_chars``, where ``docs`` has it, is the new length.
     """
+    docs, names = plain(docs)  # the caller's columns may have any names
+    id_col, text, source, length = names[id_col], names[text], names[source], names.get("n_chars")
     placed, parts = _plan(docs, id_col, text, source, block)
     pieces = parts.groupBy("place", "first", "size").agg(F.collect_list(F.struct("block", "times")).alias("got"), F.sum(F.when(F.col("times") >= 1, F.col("words")).otherwise(0)).alias("once"), F.sum(F.when(F.col("times") >= 2, F.col("words")).otherwise(0)).alias("twice"))
     # documents equal in id, source and text share a mark: number them alike on both sides
@@ -210,5 +213,5 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rows = rows.withColumn("_whole", held == F.col("_size")).withColumn("_words", F.when(~F.col("_whole"), words))
     new = F.when(F.col("_whole"), c).otherwise(F.array_join(part, " "))
     rows = rows.withColumn("_text", new)
-    shown = {text: F.col("_text"), "n_chars": F.length("_text").cast("long")}
-    return rows.select(*[shown.get(x, F.col(f"`{x}`")).alias(x) for x in docs.columns])
+    shown = {text: F.col("_text"), length: F.length("_text").cast("long")}
+    return rows.select(*[shown.get(new, F.col(new)).alias(old) for old, new in names.items()])

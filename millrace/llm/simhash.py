@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import per_text
+from millrace.llm.common import hot_join, per_text, plain, restored
 from millrace.session import cut_lineage
 
 SEED = 42
@@ -253,13 +253,14 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", word
     """
     cols = [id_col, *[c for c in extra if c != id_col]]
     marked = cut_lineage(fingerprints(docs.select(*[F.col(f"`{c}`") for c in cols], F.col(f"`{text}`").alias("_text")), "_text", words))
-    nodes = cut_lineage(marked.groupBy("fp").agg(F.min(F.col(f"`{id_col}`")).alias("low")))
+    nodes = cut_lineage(marked.groupBy("fp").agg(F.min(F.col(f"`{id_col}`")).alias("low"), F.count(F.lit(1)).alias("copies")))
     groups = components(links(nodes.select("fp"), distance))
-    rooted = nodes.join(groups, nodes.fp == groups.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    member = rooted.join(low, "root").select("fp", "component_id")
+    rooted = nodes.join(groups, nodes.fp == groups.node, "left").select("fp", "low", "copies", F.coalesce("root", "fp").alias("root"))
+    rooted = cut_lineage(rooted)
+    low = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("nodes"))
+    member = hot_join(rooted.drop("low"), low, "root", "nodes").select("fp", "copies", "component_id")
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return marked.join(member, "fp").select(*[F.col(f"`{c}`") for c in cols], shown.alias("fingerprint"), "component_id")
+    return hot_join(marked, member, "fp", "copies").select(*[F.col(f"`{c}`") for c in cols], shown.alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 4, distance: int = 4) -> DataFrame:
@@ -268,14 +269,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words:
     Rows that repeat an id are told apart by a hash of all columns; rows equal in all columns,
     and rows of groups without any id, are kept once.
     """
-    names = docs.columns
-    if not names:
+    if not docs.columns:
         return docs
-    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in names]))
+    docs, names = plain(docs)  # the caller's columns may have any names
+    id_col, text = names[id_col], names[text]
+    keyed = docs.withColumn("_row", F.xxhash64(*docs.columns))
     found = near_dedup(keyed, id_col, text, words, distance, extra=["_row"])
-    heads = found.where(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id")))
+    heads = found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
     # one row a group: the group's number may be null, so its fingerprint tells null groups apart
     group = F.when(F.col("component_id").isNull(), F.col("fingerprint"))
     heads = heads.groupBy("component_id", group.alias("_fp")).agg(F.min("_row").alias("_row")).select("_row")
     # both steps need rows dealt by _row only: one shuffle of the texts
-    return keyed.join(heads, "_row", "left_semi").dropDuplicates(["_row", id_col]).select(*[F.col(f"`{c}`") for c in names])
+    return restored(keyed.join(heads, "_row", "left_semi").dropDuplicates(["_row", id_col]), names)

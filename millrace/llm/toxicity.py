@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
 
-from millrace.llm.common import key_hash, per_text
+from millrace.llm.common import key_hash, letters, per_text
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(letters())
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 #: Lengths of the word beginnings that count.
 STARTS = (4, 5, 6)

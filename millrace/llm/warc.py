@@ -35,29 +35,39 @@ ROWS = "page_id long, url string, payload_bytes long, payload_digest string, rec
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def _record_id(page_id: int | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, str(page_id))}>"
+def _record_id(file: str, offset: int) -> str:
+    """Unique: a record is where its file has it."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{file}/{offset}')}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
-    """One WARC/1.1 record. A revisit holds no payload but names its record, digest and length."""
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool, file: str = "", offset: int = 0, refers_url: str | None = None) -> bytes:
+    """One WARC/1.1 record. A revisit holds no payload but names its record, digest and length.
+
+    The target URI is the page's url as it is; only line ends, which no header can hold, are percent-encoded
+    there, and such a url stands once more in base64 in a header of its own.
+    """
     sha1 = base64.b32encode(bytes.fromhex(digest)).decode()
     block = b"" if revisit else payload
+    uri = lambda u: u.replace("\r", "%0D").replace("\n", "%0A")
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: {_record_id(page_id)}",
+        f"WARC-Record-ID: {_record_id(file, offset)}",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Payload-Digest: sha1:{sha1}",
         "Content-Type: text/html; charset=utf-8",
         f"Content-Length: {len(block)}",
     ]
     if url is not None:
-        head.append("WARC-Target-URI: " + url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A"))
+        head.append("WARC-Target-URI: " + uri(url))
+        if uri(url) != url or url != url.strip():
+            head.append("X-Target-URI-Base64: " + base64.b64encode(url.encode("utf-8", "surrogatepass")).decode())
     if page_id is not None:
         head.append(f"X-Page-Id: {page_id}")
     if revisit:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {_record_id(refers_to)}", f"X-Refers-To: {refers_to}", f"X-Payload-Length: {len(payload)}"]
+        head += [f"WARC-Profile: {PROFILE}", f"X-Refers-To: {refers_to}", f"X-Payload-Length: {len(payload)}"]
+        if refers_url is not None:
+            head.append("WARC-Refers-To-Target-URI: " + uri(refers_url))
     return "\r\n".join(head).encode("utf-8", "replace") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -72,9 +82,11 @@ def parse(raw: bytes) -> dict:
     if len(rest) != len(block) + 4 or not revisit and hashlib.sha1(block).hexdigest() != digest:
         raise ValueError(f"broken record {fields.get('WARC-Record-ID')}")
     url = fields.get("WARC-Target-URI")
+    if "X-Target-URI-Base64" in fields:
+        url = base64.b64decode(fields["X-Target-URI-Base64"]).decode("utf-8", "surrogatepass")
     return {
         "page_id": int(fields["X-Page-Id"]) if "X-Page-Id" in fields else None,
-        "url": None if url is None else url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%"),
+        "url": url,
         "payload_bytes": int(fields["X-Payload-Length"]) if revisit else len(block),
         "payload_digest": digest,
         "record_type": fields["WARC-Type"],
@@ -107,20 +119,20 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url: str = "ur
     payload = F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("payload_digest", F.sha1("payload"))
-    shared = rows.where(F.length("payload") >= SHARED_FROM).groupBy("payload_digest").agg(F.max("page_id").alias("best"), F.count(F.lit(1)).alias("n"))
+    shared = rows.where(F.length("payload") >= SHARED_FROM).groupBy("payload_digest").agg(F.max(F.struct("page_id", "url")).alias("first"), F.count(F.lit(1)).alias("n"))
     # only payloads that come more than once are looked up, so the pages themselves need no shuffle where these are few
-    shared = shared.where("n > 1").select("payload_digest", "best")
-    volume = shared.agg(F.count(F.lit(1))).first()[0] * 56
+    shared = shared.where("n > 1").select("payload_digest", F.col("first.page_id").alias("best"), F.col("first.url").alias("best_url"))
+    volume = shared.agg(F.sum(F.coalesce(F.octet_length("best_url"), F.lit(0)) + 64)).first()[0] or 0
     if volume <= 8 << 20:
         rows = rows.join(F.broadcast(shared), "payload_digest", "left")
     else:
-        # light rows find their response; payloads stay where they are and join by a row's own hash
-        mark = F.xxhash64("page_id", "url", "payload_digest")
-        light = rows.select(mark.alias("mark"), "page_id", "payload_digest").distinct()
-        light = salted_join(light, shared, ["payload_digest"]).select("mark", "best").distinct()
-        rows = rows.withColumn("mark", mark).join(light, "mark", "left").drop("mark")
+        # light rows find their response; payloads meet them by all three columns
+        light = rows.select(F.col("page_id").alias("_id"), F.col("url").alias("_url"), "payload_digest").distinct()
+        light = salted_join(light, shared, ["payload_digest"]).withColumnRenamed("payload_digest", "_digest")
+        same = F.col("page_id").eqNullSafe(F.col("_id")) & F.col("url").eqNullSafe(F.col("_url")) & (F.col("payload_digest") == F.col("_digest"))
+        rows = rows.join(light, same, "left").drop("_id", "_url", "_digest")
     rows = rows.withColumn("refers_to", F.when(F.col("best") != F.coalesce("page_id", F.lit(-(1 << 63))), F.col("best")))
-    names = ["page_id", "url", "payload", "payload_digest", "refers_to"]
+    names = ["page_id", "url", "payload", "payload_digest", "refers_to", "best_url"]
     schema = to_arrow_schema(StructType.fromDDL(INDEX))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,9 +144,9 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url: str = "ur
                     store.create_dir(base, recursive=True)
                     out = store.open_output_stream(f"{base}/{name}", compression=None)
                 index = []
-                for page_id, target, raw, digest, refers in zip(*[b.column(c).to_pylist() for c in names], strict=True):
+                for page_id, target, raw, digest, refers, refers_url in zip(*[b.column(c).to_pylist() for c in names], strict=True):
                     pack = zlib.compressobj(1, zlib.DEFLATED, 31)
-                    member = pack.compress(record(page_id, target, raw, digest, refers, refers is not None)) + pack.flush()
+                    member = pack.compress(record(page_id, target, raw, digest, refers, refers is not None, name, offset, refers_url)) + pack.flush()
                     out.write(member)
                     index.append((page_id, target, name, offset, len(member), digest, "response" if refers is None else "revisit", refers))
                     offset += len(member)

@@ -199,3 +199,48 @@ def test_pipeline(spark):
             assert kept.count() == own.select("component_id").distinct().count()
     last = corpus_pipeline.STAGES[-1][1](spark, kept, SF)
     assert last.count() == kept.count() and "ids" in last.columns
+
+
+def test_stages_keep_columns_of_the_caller(spark):
+    """Columns named like those that the operators make."""
+    own = ["score", "predicted", "lang_pred", "_row", "_n", "_words", "_pass", "_own", "_text", "fp", "place", "_c0"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*[F.concat(F.lit(f"{c}/"), F.col("doc_id").cast("string")).alias(c) for c in own], "*")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, SF)
+        assert kept.columns == docs.columns, name
+        assert kept.dtypes == docs.dtypes, name
+        rows = kept.collect()
+        assert rows and all(r[c] == f"{c}/{r.doc_id}" for r in rows for c in own), name
+
+
+def test_numbers_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "the cat and the dog"), (2, "\u00b2"), (3, "\u00bd \u00be"), (4, "\u2167"), (5, "a\u00b2")], "doc_id long, text string")
+    model = language.fit_model(["the cat and the dog " * 5, "der hund und die katze " * 5], ["en", "de"], rounds=5)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs, model).collect()}
+    assert got[2] == got[3] == got[4] == ("und", 0.0) and got[1][0] == "en" and got[5][0] != "und"
+
+
+def test_warc_headers_are_as_others_read_them(spark):
+    """A plain reader of the format: gzip members, header lines, unique ids, urls as they were."""
+    import gzip
+    import re
+    from pathlib import Path
+
+    folder = scratch_path(spark, "warc-plain")
+    big = "x" * 1200
+    rows = [(1, "http://a.org/%20x?q=%25", big), (2, "http://a.org/b\nc", big), (2, "http://a.org/b\nc", big), (None, "http://a.org/\u00e9", "s"), (None, None, "s")]
+    index = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), folder)
+    seen = []
+    for file in Path(folder.removeprefix("file:")).glob("*.warc.gz"):
+        raw = gzip.decompress(file.read_bytes())
+        while raw:
+            head, _, rest = raw.partition(b"\r\n\r\n")
+            fields = dict(re.findall(r"^([^:\r\n]+): (.*?)\r?$", head.decode(), re.M))
+            n = int(fields["Content-Length"])
+            assert head.startswith(b"WARC/1.1\r\n") and rest[n : n + 4] == b"\r\n\r\n"
+            seen.append(fields)
+            raw = rest[n + 4 :]
+    assert len(seen) == len({f["WARC-Record-ID"] for f in seen}) == 5
+    assert sorted(f.get("WARC-Target-URI", "") for f in seen) == ["", "http://a.org/%20x?q=%25", "http://a.org/b%0Ac", "http://a.org/b%0Ac", "http://a.org/\u00e9"]
+    assert [f["WARC-Refers-To-Target-URI"] for f in seen if f["WARC-Type"] == "revisit"] == ["http://a.org/b%0Ac"]
+    assert sorted(str(r.url) for r in warc.read(index).collect()) == sorted(str(r[1]) for r in rows)
