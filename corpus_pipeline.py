@@ -9,32 +9,27 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.llm import bpe, language, mixing, quality, simhash
-from millrace.llm.common import fold
+from millrace.llm.common import fold, plain, restored
 from millrace.session import scratch_path, table
 
-#: Of the language stage: least mean probability of a text's language.
-CLEAR = 0.5
-
-
-def _documents(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts (predicted 1)."""
-    model = quality.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
-    rows = quality.score(docs, model, keep=True)
-    return _documents(rows.where("predicted = 1"), docs)
+    """Documents that the quality classifier accepts (predicted 1). Rows without an id are judged, not learned from;
+    repeated rows stay or go together; columns of the caller keep their values whatever their names."""
+    own, names = plain(docs)
+    model = quality.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    rows = quality.score(own, model, names["text"], keep=True)
+    return restored(rows.where("predicted = 1"), names)
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a clear language: one was found, with a mean probability of ``CLEAR`` at least."""
-    model = language.fit(docs, fold("doc_id", 3) != 1)
-    rows = language.predict(docs, model, keep=True)
-    return _documents(rows.where((F.col("lang_pred") != "und") & (F.col("score") >= CLEAR)), docs)
+    """Documents in which a language was found, mixed and short ones too; those without a letter go. Columns of the
+    caller keep their values whatever their names."""
+    own, names = plain(docs)
+    model = language.fit(docs.select("doc_id", "text", "lang"), fold("doc_id", 3) != 1)
+    rows = language.predict(own, model, names["text"], keep=True)
+    return restored(rows.where("lang_pred <> 'und'"), names)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +39,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each document's taken words as its text, and once more those that are taken twice."""
-    return _documents(mixing.mixed_documents(docs), docs)
+    return mixing.mixed_documents(docs)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
