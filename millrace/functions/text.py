@@ -39,7 +39,7 @@ def _c(c: Column | str) -> Column:
 
 def strip_ws(c: Column | str) -> Column:
     """Remove leading and trailing whitespace of any kind (``trim`` only removes spaces)."""
-    return F.regexp_replace(_c(c), rf"^{WS}|{WS}\z", "")
+    return F.btrim(_c(c), F.lit(" \t\n\x0b\f\r" + WIDE_SPACES))
 
 
 def normalize(c: Column | str) -> Column:

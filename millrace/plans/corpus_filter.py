@@ -9,6 +9,7 @@ from millrace.functions import text as T
 from millrace.operators import rank as R
 from millrace.operators import relevance as REL
 from millrace.operators.joins import bounded_broadcast
+from millrace.session import spread
 
 
 def documents_as_rows(documents: DataFrame) -> DataFrame:
@@ -47,7 +48,7 @@ def filter_corpus(
         metrics[stage] = Observation()
         return df.observe(metrics[stage], F.count(F.lit(1)).alias("n"))
 
-    counted = seen(docs, "loaded").withColumn("num_tokens", T.token_count("content"))
+    counted = seen(spread(docs), "loaded").withColumn("num_tokens", T.token_count("content"))
     kept = seen(counted.where(F.col("num_tokens") > F.lit(min_tokens)), "token_filter")
     scored = REL.score_documents(
         kept, pos_query, neg_query, "doc_id", "content", composite_terms, stop_words, vocab_from, ["source", "num_tokens"]

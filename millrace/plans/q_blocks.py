@@ -13,7 +13,7 @@ from millrace.plans.catalog import query
 from millrace.plans.q_records import DEFINE_INSTRUCTION, _last_wins_sql, answers
 from millrace.plans.q_text import INSTRUCT_TEMPLATE, QA_SQL
 from millrace.operators.select import split_label
-from millrace.session import cut_lineage, table
+from millrace.session import cut_lineage, spread, table
 
 CHUNK_SIZE, CHUNK_OVERLAP = 200, 20
 TRUNC_MAX, TRUNC_TARGET = 1000, 800
@@ -29,7 +29,7 @@ FROM (SELECT doc_id, p, unnest(range(CASE WHEN len(p) = 0 THEN 0 WHEN len(p) <=
       FROM (SELECT doc_id, {S.pieces('text')} AS p FROM documents))""",
 )
 def arr_chunks(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", T.pieces("text").alias("p"))
+    d = spread(table(spark, sf, "documents")).select("doc_id", T.pieces("text").alias("p"))
     c = d.select("doc_id", F.explode(A.chunks("p", CHUNK_SIZE, CHUNK_OVERLAP)).alias("c"))
     return c.select("doc_id", "c.chunk_no", "c.text")
 
@@ -110,7 +110,7 @@ BLOCK_TOKENS_SQL = ("WITH RECURSIVE " + _sentence_lengths_sql() + _block_tokens_
 @query("pck_blocks", BLOCK_TOKENS_SQL)
 def pck_blocks(spark, sf):
     """Packed blocks with what is trained on (under both of its names)."""
-    blocks = B.pack_documents(table(spark, sf, "documents"))
+    blocks = B.pack_documents(spread(table(spark, sf, "documents")))
     return blocks.select("doc_id", "block_no", "sent_from", "sent_to", "n_used", *_joined_tokens())
 
 
@@ -159,7 +159,7 @@ PACK_SPLIT_TOKENS_SQL = ("WITH RECURSIVE " + _sentence_lengths_sql() + _block_to
 @query("pip_pack_split", PACK_SPLIT_TOKENS_SQL)
 def pip_pack_split(spark, sf):
     """PIP-5 with the tokens of every block (under both of its names)."""
-    return split_blocks(table(spark, sf, "documents")).select("doc_id", "block_no", "n_used", "split", *_joined_tokens())
+    return split_blocks(spread(table(spark, sf, "documents"))).select("doc_id", "block_no", "n_used", "split", *_joined_tokens())
 
 
 def _context_sql(ins: str, inp: str, out: str) -> str:

@@ -8,7 +8,7 @@ from millrace.operators import records as REC
 from millrace.plans import derived as D
 from millrace.plans import sqlkit as S
 from millrace.plans.catalog import query
-from millrace.session import scratch_path, table
+from millrace.session import scratch_path, spread, table
 
 # Instruction texts of our own.
 ABBREV_INSTRUCTION = "Expand the following short form into its full form: {}"
@@ -24,7 +24,7 @@ ANSWERS_SQL = (
 
 
 def answers(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "source", "lang", D.numbered_answer("text").alias("generated_text"))
+    d = spread(table(spark, sf, "documents")).select("doc_id", "source", "lang", D.numbered_answer("text").alias("generated_text"))
     url = F.when(F.col("source") == "src0", F.lit(None).cast("string")).otherwise(F.concat(F.lit("doc/"), F.col("doc_id").cast("string")))
     return d.select("doc_id", url.alias("url"), "lang", "generated_text")
 
@@ -110,7 +110,7 @@ def _record_sets(spark, sf):
     )
     return {
         "abbrev": ab_en.select(*REC.RECORD_COLS, "pos"),
-        "osi_abbrev": ab_other.select(*REC.RECORD_COLS, "pos"),
+        "other_abbrev": ab_other.select(*REC.RECORD_COLS, "pos"),
         "link": links.select(*REC.RECORD_COLS, F.struct(F.col("row_id"), F.col("item_no").alias("line_no")).alias("pos")),
         "qa": qa.select(*REC.RECORD_COLS, "pos"),
     }
@@ -121,7 +121,7 @@ def _consolidate_sql() -> str:
     return f"""
 WITH sets AS (
   SELECT 'abbrev' AS file, * FROM ({ab("lang = 'en'")})
-  UNION ALL SELECT 'osi_abbrev' AS file, * FROM ({ab("lang <> 'en'")}))
+  UNION ALL SELECT 'other_abbrev' AS file, * FROM ({ab("lang <> 'en'")}))
 SELECT instruction, input, arg_min(output, (CASE WHEN file = 'abbrev' THEN 0 ELSE 1 END) * 1000000000000 + pos) AS output
 FROM sets GROUP BY instruction, input
 UNION ALL
@@ -147,7 +147,7 @@ def pip_consolidate(spark, sf):
 @query("agg_first_wins", _consolidate_sql().split("UNION ALL\nSELECT " + S.lit(LINK_INSTRUCTION))[0])
 def agg_first_wins(spark, sf):
     sets = _record_sets(spark, sf)
-    ab = sets["abbrev"].withColumn("file", F.lit("abbrev")).unionByName(sets["osi_abbrev"].withColumn("file", F.lit("osi_abbrev")))
+    ab = sets["abbrev"].withColumn("file", F.lit("abbrev")).unionByName(sets["other_abbrev"].withColumn("file", F.lit("other_abbrev")))
     return REC.consolidate(ab, DEDUP_MARKER, ["file", "pos"])
 
 

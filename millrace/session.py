@@ -71,3 +71,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, a scan, dealt to all cores where it has fewer partitions than there are (few files of one row group each).
+
+    Any larger table is left as it is, and so is a plan that shuffles already.
+    """
+    spark = df.sparkSession
+    plan = df._jdf.queryExecution().executedPlan()
+    cores = spark.sparkContext.defaultParallelism
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return df
+    return df.repartition(cores) if plan.execute().getNumPartitions() < cores else df

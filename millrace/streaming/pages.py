@@ -36,7 +36,9 @@ def _run(df: DataFrame, ckpt: str, batch_fn: Callable[[DataFrame, int], None]) -
 def _batch_writer(sink_dir: str, transform: Callable[[DataFrame], DataFrame] | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform else batch
-        out.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
+        # the id lives in the checkpoint: a replayed batch overwrites itself, a stream with a new checkpoint nothing
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
+        out.write.mode("overwrite").parquet(f"{sink_dir}/stream={stream}/batch_id={batch_id}")
 
     return write
 
@@ -47,6 +49,18 @@ def dedup_pages(spark: SparkSession, src_dir: str, sink_dir: str, ckpt: str, key
     _run(page_stream(spark, src_dir, files_per_trigger).dropDuplicates([key]), ckpt, _batch_writer(sink_dir))
 
 
+def dedup_window(spark: SparkSession, src_dir: str, sink_dir: str, ckpt: str, key: str = "url", event_time: str = "fetched", delay: str = "1 hour",
+                 files_per_trigger: int = 1, schema: str = PAGE_SCHEMA + ", fetched timestamp") -> None:
+    """STM-1 with bounded state: each ``key`` is emitted once among rows whose times are at most ``delay`` apart.
+
+    The state holds the keys of the last ``delay`` only: the watermark drops older ones. Rows that come later
+    than the watermark are dropped, as any late row; rows without a time are never late and their keys stay.
+    """
+    _use_rocksdb(spark)
+    pages = page_stream(spark, src_dir, files_per_trigger, schema).withWatermark(event_time, delay)
+    _run(pages.dropDuplicatesWithinWatermark([key]), ckpt, _batch_writer(sink_dir))
+
+
 def score_gate_pages(spark: SparkSession, src_dir: str, sink_dir: str, ckpt: str, scorer: Callable[[DataFrame], DataFrame],
                      gate: float = -0.05, files_per_trigger: int = 1) -> None:
     """STM-2: score each arriving batch against frozen model tables and keep whole pages above ``gate``, with their score.
@@ -70,4 +84,4 @@ def append_pages(spark: SparkSession, src_dir: str, sink_dir: str, ckpt: str, fi
 
 
 def read_sink(spark: SparkSession, sink_dir: str) -> DataFrame:
-    return spark.read.parquet(sink_dir).drop("batch_id")
+    return spark.read.parquet(sink_dir).drop("batch_id", "stream")

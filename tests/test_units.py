@@ -430,6 +430,32 @@ def test_score_gate_keeps_whole_pages(spark, tmp_path):
     assert sorted(map(tuple, got), key=repr) == sorted([(*r, 0.5) for r in rows if r[0] != 2], key=repr)
 
 
+def test_window_dedup_forgets_old_keys(spark, tmp_path):
+    import datetime
+
+    from millrace.streaming import pages as SP
+
+    t0 = datetime.datetime(2024, 1, 1)
+    paths = [str(tmp_path / d) for d in ("in", "out", "ckpt")]
+    at = lambda minutes: t0 + datetime.timedelta(minutes=minutes)
+    for rows in ([(1, "a", at(0)), (2, "a", at(1)), (3, "b", at(2))], [(4, "a", at(3)), (5, "c", at(60))], [(6, "a", at(70)), (7, "c", at(61))], [(8, "x", at(5))]):
+        spark.createDataFrame([(i, u, "h", t) for i, u, t in rows], "page_id bigint, url string, html string, fetched timestamp").coalesce(1).write.mode("append").parquet(paths[0])
+        SP.dedup_window(spark, *paths, delay="10 minutes")
+    # 'a' again after an hour counts as new; what comes an hour late is dropped
+    assert sorted((r.url, r.page_id) for r in SP.read_sink(spark, paths[1]).collect() if r.url != "a") == [("b", 3), ("c", 5)]
+    assert sorted(r.page_id for r in SP.read_sink(spark, paths[1]).where("url = 'a'").collect())[-1] == 6
+    assert SP.read_sink(spark, paths[1]).where("url = 'a'").count() == 2
+
+
+def test_new_checkpoint_keeps_the_sink(spark, tmp_path):
+    from millrace.streaming import pages as SP
+
+    paths, rows = _landed(spark, tmp_path)
+    SP.append_pages(spark, *paths)
+    SP.append_pages(spark, *paths[:2], str(tmp_path / "ckpt2"))
+    assert SP.read_sink(spark, paths[1]).count() == 2 * len(rows)
+
+
 def test_assembly_holds_every_turn(spark):
     from millrace.plans import q_io
     from millrace.session import table
