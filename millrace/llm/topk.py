@@ -23,6 +23,8 @@ BLOCK, GROUP = 8192, 4096
 LEAF = 256
 #: Sums of products up to this are exact in double precision.
 EXACT = float(1 << 53)
+#: Ends of the scores; the two longs below stand for none.
+LEAST, MOST = 2 - (1 << 63), (1 << 63) - 1
 
 
 class CoverTree:
@@ -80,15 +82,13 @@ class CoverTree:
 
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole-number vectors."""
+    """Exact inner products of whole-number vectors; one that does not fit a long counts as its end (``LEAST`` or ``MOST``)."""
     if not q.size or not c.size:
         return np.zeros((len(q), len(c)), np.int64)
     if float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1] < EXACT:
         return (q.astype(float) @ c.astype(float).T).astype(np.int64)
     got = q.astype(object) @ c.astype(object).T
-    if got.size and max(abs(got.min()), got.max()) >= 1 << 63:
-        raise OverflowError("an inner product does not fit a long")
-    return got.astype(np.int64)
+    return np.clip(got, LEAST, MOST).astype(np.int64)
 
 
 def block_topk(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,7 +106,8 @@ def block_topk(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarra
         ra, na = qt.radii[a], qt.norms[a]
         rb, nb = ct.radii[b], ct.norms[b]
         most = ct.centres[b] @ qt.centres[a] + ra * nb + rb * na + ra * rb
-        return most + 1e-9 * (np.abs(most) + (na + ra) * (nb + rb)) + 1e-6  # rounding can only keep more
+        most = most + 1e-9 * (np.abs(most) + (na + ra) * (nb + rb)) + 1e-6  # rounding can only keep more
+        return np.maximum(most, float(LEAST))  # scores end there
 
     heap: list[tuple[float, int, int]] = []
 
@@ -149,7 +150,7 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20, block: int = BLOCK,
     Both tables have ``vec_id`` long and ``vector`` array<long>. A query's candidates are the rows of its own
     length with another id (a row that repeats its id is its own); all, if fewer than ``k``; ties go to the
     smaller id, rows that repeat an id with the same vector count once. Null ids or vectors, and vectors with
-    a null, take no part. Of equal vectors in a block only the ``k + 1`` smallest ids can matter, and only
+    a null, take no part. A product that does not fit a long counts as the nearest one that does. Of equal vectors in a block only the ``k + 1`` smallest ids can matter, and only
     those are searched.
     """
     clean = lambda df: df.select(F.col("vec_id").cast("long"), F.col("vector").cast("array<long>")).where("vec_id is not null and vector is not null and forall(vector, x -> x is not null)")

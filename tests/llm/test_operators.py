@@ -244,3 +244,10 @@ def test_warc_headers_are_as_others_read_them(spark):
     assert sorted(f.get("WARC-Target-URI", "") for f in seen) == ["", "http://a.org/%20x?q=%25", "http://a.org/b%0Ac", "http://a.org/b%0Ac", "http://a.org/\u00e9"]
     assert [f["WARC-Refers-To-Target-URI"] for f in seen if f["WARC-Type"] == "revisit"] == ["http://a.org/b%0Ac"]
     assert sorted(str(r.url) for r in warc.read(index).collect()) == sorted(str(r[1]) for r in rows)
+
+
+def test_topk_products_beyond_a_long(spark):
+    big = 1 << 62
+    rows = spark.createDataFrame([(0, [big, big]), (1, [big, big]), (2, [-big, -big]), (3, [1, 0]), (4, [-big, -big])], "vec_id long, vector array<long>")
+    got = [tuple(r)[1:] for r in sorted(topk.search(rows.where("vec_id = 0"), rows, k=4).collect())]
+    assert got == [(1, 1, (1 << 63) - 1), (2, 3, big), (3, 2, 2 - (1 << 63)), (4, 4, 2 - (1 << 63))]
