@@ -19,4 +19,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from millrace.plans import q_blocks, q_io, q_model, q_nested, q_records, q_relevance, q_stream, q_tasks, q_text, q_web  # noqa: F401
+    from millrace.plans import q_blocks, q_io, q_model, q_nested, q_records, q_relevance, q_sentences, q_stream, q_tasks, q_text, q_web  # noqa: F401

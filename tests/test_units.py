@@ -556,3 +556,57 @@ def test_registered_queries_build_the_tokens(spark):
     for name in ("pck_block_tokens", "pip_pack_split_tokens"):
         rows = E.queries()[name](spark, SF).collect()
         assert rows and all(len(r.input_ids.split("\x01")) == len(r.labels.split("\x01")) == 128 for r in rows)
+
+
+def test_json_array_cut_in_any_byte_range(spark, tmp_path):
+    import json
+
+    from millrace.sources import json_arrays as JA
+
+    rows = [
+        {"id": 1, "t": 'a "quoted" } { [ ] \\ text'},
+        {"id": 2, "t": "back\\\\", "o": {"deep": [{"x": "}"}, {"y": 1}]}},
+        {"id": 3, "t": ""},
+        {"id": 4, "t": "é ü 漢字 }" * 5},
+        {"id": 5, "t": 'ends in a backslash \\'},
+        {"id": 6, "t": None},
+    ]
+    for k, text in enumerate([json.dumps(rows), json.dumps(rows, indent=2, ensure_ascii=False), "[]", "", '[1, "a } {", [2, {"id": 9}], {"id": 7}, null]\n[{"id": 8}]\n']):
+        (tmp_path / f"f{k}.json").write_text(text, encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (9, 40, 1 << 20):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        fragments = JA._fragments(spark, str(tmp_path))  # written in ranges of this size
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        by_file = {}
+        for r in sorted(JA._records(fragments).collect(), key=lambda r: (r["file"], r["record_no"])):
+            by_file.setdefault(r["file"][-7:], []).append(json.loads(r["text"]))
+        assert by_file == {"f0.json": rows, "f1.json": rows, "f4.json": [{"id": 7}, {"id": 8}]}, size
+    ids = [r["id"] for r in JA.read_json_array(spark, str(tmp_path / "f1.json"), "id int, t string").collect()]
+    assert sorted(ids) == [1, 2, 3, 4, 5, 6]
+
+
+def test_trained_sentences_keep_abbreviations_whole(spark):
+    from millrace.operators import sentence_model as SM
+
+    names = ["Smith", "Jones", "Brown", "Miller"]
+    plain = "We went to the house with dr {}. The garden was green. The house was old. The day was long. ".replace("dr ", "Dr. ")
+    docs = [(i, plain.format(names[i % 4]) + f"We saw it, e.g. this tree. The price was 3.14 coins. The man was J. {names[i % 4]}. ") for i in range(40)]
+    docs += [(200 + i, "An old green tree stands on a long way and Smith, Jones, Brown and Miller have no coins") for i in range(40)]
+    docs += [(300, "It is the end of the house"), (301, "It is so"), (302, "It is no")]
+    docs += [(100, None), (101, ""), (102, "  \n"), (103, "No end here"), (104, "Really?! Yes... and no. (So it is.) The end")]
+    df = spark.createDataFrame(docs, "doc_id long, content string")
+    model = SM.fit(df)
+    known = {r["type"] for r in model.types.where("is_abbreviation").collect()}
+    assert {"dr", "e.g"} <= known and not known & {"green", "old", "long", "tree", "coins"}
+    assert "the" in {r["type"] for r in model.starters.collect()}
+    got = {r["doc_id"]: r["sentences"] for r in SM.split_sentences(df, model).collect()}
+    assert got[0] == [
+        "We went to the house with Dr. Smith.", "The garden was green.", "The house was old.", "The day was long.",
+        "We saw it, e.g. this tree.", "The price was 3.14 coins.", "The man was J. Smith.",
+    ]
+    assert got[100] == got[101] == got[102] == []
+    assert got[103] == ["No end here"]
+    assert got[104] == ["Really?!", "Yes... and no.", "(So it is.)", "The end"]
+    empty = df.where("doc_id < 0")
+    assert SM.split_sentences(df, SM.fit(empty)).count() == len(docs)
