@@ -11,7 +11,7 @@ from millrace.plans import params as P
 from millrace.plans import sqlkit as S
 from millrace.plans.catalog import query
 from millrace.plans.corpus_filter import documents_as_rows
-from millrace.session import table
+from millrace.session import spread, table
 
 DOCS_SQL = "(SELECT doc_id, 'doc/' || CAST(doc_id AS VARCHAR) AS url, source, text AS content FROM documents)"
 
@@ -185,6 +185,23 @@ def str_composite_terms(spark, sf):
     return table(spark, sf, "documents").select("doc_id", T.close_composite_terms("text", P.COMPOSITE_TERMS).alias("merged"))
 
 
+def _close_words_sql(e: str, terms) -> str:
+    for t in terms:  # twice: neighbours share the character between them
+        for _ in range(2):
+            e = f"regexp_replace({e}, '(^|[^\\pL\\pN_]){t}($|[^\\pL\\pN_])', '\\1{t.replace(' ', '')}\\2', 'g')"
+    return e
+
+
+@query("str_term_table", f"SELECT doc_id, {_close_words_sql('text', P.COMPOSITE_TERMS)} AS merged FROM documents")
+def str_term_table(spark, sf):
+    """STR-6 with the terms as a table, matched as whole words."""
+    from millrace.operators.terms import close_terms
+
+    terms = spark.createDataFrame(list(enumerate(P.COMPOSITE_TERMS)), "ord int, term string")
+    docs = spread(table(spark, sf, "documents").select("doc_id", F.col("text").alias("merged")))
+    return close_terms(docs, terms, "doc_id", "merged")
+
+
 @query("str_join_lines", f"SELECT doc_id, {S.join_lines('text')} AS line FROM documents")
 def str_join_lines(spark, sf):
     return table(spark, sf, "documents").select("doc_id", T.join_lines("text").alias("line"))

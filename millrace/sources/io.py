@@ -45,11 +45,11 @@ def read_keys(spark: SparkSession, path: str, key: str = "url", schema: str = DO
 def read_csv_tolerant(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
     """SRC-3: malformed lines (including bad types) are skipped.
 
-    CSV column pruning is turned off for this read, so a line broken only in
-    an unread column is still dropped.
+    The filter reads every column, always true as it is, so that a line broken
+    only in an unread column is dropped whatever columns the caller takes.
     """
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    return spark.read.schema(schema).option("header", header).option("mode", "DROPMALFORMED").csv(path)
+    rows = spark.read.schema(schema).option("header", header).option("mode", "DROPMALFORMED").csv(path)
+    return rows.where(F.length(F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in rows.columns])) >= 0)
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:

@@ -610,3 +610,46 @@ def test_trained_sentences_keep_abbreviations_whole(spark):
     assert got[104] == ["Really?!", "Yes... and no.", "(So it is.)", "The end"]
     empty = df.where("doc_id < 0")
     assert SM.split_sentences(df, SM.fit(empty)).count() == len(docs)
+
+
+def test_term_table_equals_a_walk_in_list_order(spark):
+    import random
+    import re
+
+    from millrace.operators.terms import close_terms
+
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(30)] + ["é", "Über"]
+    terms = list({" ".join(rng.choices(words, k=rng.choice([2, 2, 3]))) for _ in range(400)})
+    terms += [f"x{i} y{i}" for i in range(10000)] + ["one", "", "w1", None]
+    texts = [rng.choice(["", " ", "\n"]) + "".join(rng.choice(words) + rng.choice([" "] * 8 + ["  ", ", "]) for _ in range(rng.randint(0, 60))) for _ in range(80)]
+    texts += [None, "", " ,", "x7 y7x7 y7 x7 y7", "w1"]
+
+    def walk(text):
+        if text is None:
+            return None
+        toks = re.findall(r"\w+|\W+", text)
+        taken, gaps = set(), set()
+        for t in terms:
+            parts = re.findall(r"\w+|\W+", t or "")
+            for i in range(len(toks) - len(parts) + 1 if len(parts) > 2 else 0):
+                span = set(range(i, i + len(parts)))
+                if toks[i : i + len(parts)] == parts and not span & taken:
+                    taken |= span
+                    gaps |= {i + k for k in range(1, len(parts), 2)}
+        return "".join(t for i, t in enumerate(toks) if i not in gaps)
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, content string")
+    table = spark.createDataFrame(list(enumerate(terms)), "ord int, term string")
+    got = {r["doc_id"]: r["content"] for r in close_terms(df, table).collect()}
+    assert got == {i: walk(t) for i, t in enumerate(texts)}
+    assert close_terms(df, table.where("ord < 0")).count() == len(texts)
+
+
+def test_tolerant_csv_counts_without_broken_lines(spark, tmp_path):
+    from millrace.sources.io import read_csv_tolerant
+
+    (tmp_path / "a.csv").write_text("1,a,5\n2,b,x\n3,c,7\n")
+    df = read_csv_tolerant(spark, str(tmp_path), "id bigint, s string, n bigint", header=False)
+    assert sorted(r["id"] for r in df.select("id").collect()) == [1, 3]
+    assert spark.conf.get("spark.sql.csv.parser.columnPruning.enabled") == "true"
