@@ -1,7 +1,8 @@
 """STR-6 with a table of terms: composite terms closed up by an equi-join on word n-grams.
 
 The plan does not grow with the terms: every run of as many words as some term has meets the table once, by a broadcast
-of checked size or a salted join. Texts are not shuffled by word; only the places of matches are gathered by document.
+of checked size or a salted join (the runs are shuffled only then). The places of matches are gathered by document and
+joined to the texts by id.
 """
 
 from __future__ import annotations
