@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from millrace.operators.joins import lookup_join
 
@@ -24,7 +25,7 @@ def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), 0)
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(ArrayType(IntegerType()))
 def _closed_gaps(matches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Places of the gaps to close: matches are taken in list order, then from the left; one that meets a taken one is left."""
     for batch in matches:
