@@ -653,3 +653,34 @@ def test_tolerant_csv_counts_without_broken_lines(spark, tmp_path):
     df = read_csv_tolerant(spark, str(tmp_path), "id bigint, s string, n bigint", header=False)
     assert sorted(r["id"] for r in df.select("id").collect()) == [1, 3]
     assert spark.conf.get("spark.sql.csv.parser.columnPruning.enabled") == "true"
+
+
+def test_packed_files(spark, tmp_path):
+    from millrace.session import scratch_path
+    from millrace.sources import packed as PK
+
+    rows = [(f"f{i}", bytes([i % 256]) * (i % 90)) for i in range(300)] + [("big", b"\xff\x00" * 700), ("f1", b"again"), ("none", None), (None, b"x"), ("empty", b"")]
+    files = spark.createDataFrame(rows, "path string, content binary").withColumn("name", F.lit("clash")).repartition(3)
+    path = scratch_path(spark, "packed")
+    index = PK.write_packed(files, path, max_bytes=1000)
+    order = lambda r: (r[0] or "", r[1] or b"", r[1] is None)
+    got = [(r.name, None if r.content is None else bytes(r.content)) for r in PK.read_packed(index, task_bytes=2500).collect()]
+    assert sorted(got, key=order) == sorted(rows, key=order)
+    sizes = {r.container: (r.n, r.b) for r in index.where("container is not null").groupBy("container").agg(F.count("*").alias("n"), F.sum("length").alias("b")).collect()}
+    assert all(b <= 1000 or n == 1 for n, b in sizes.values())
+    assert len(sizes) <= 2 * sum(len(c or b"") for _, c in rows) / 1000 + 3
+    some = PK.read_packed(PK.open_packed(spark, path).where("name in ('big', 'f7')"))
+    assert sorted((r.name, len(r.content)) for r in some.collect()) == [("big", 1400), ("f7", 7)]
+    assert PK.read_packed(PK.write_packed(files.limit(0), scratch_path(spark, "packed"))).count() == 0
+
+
+def test_pack_directory(spark, tmp_path):
+    from millrace.session import scratch_path
+    from millrace.sources import packed as PK
+
+    for i in range(20):
+        (tmp_path / f"{i}.txt").write_bytes(f"file {i}\n".encode())
+    (tmp_path / "other.bin").write_bytes(b"\x00")
+    index = PK.pack_directory(spark, str(tmp_path), scratch_path(spark, "packed-dir"), "*.txt")
+    got = {r.name.rsplit("/", 1)[1]: bytes(r.content) for r in PK.read_packed(index).collect()}
+    assert got == {f"{i}.txt": f"file {i}\n".encode() for i in range(20)}
