@@ -72,17 +72,25 @@ def run_lengths(values: Column, ends: Column, value: str = "value", count: str =
     return F.transform(ends, run)
 
 
-def pad_and_mask(tokens: Column, length: int = 128) -> Column:
+def tokens_within(tokens: Column, n_chars: Column) -> Column:
+    """How many of the first ``tokens`` lie wholly in the first ``n_chars`` characters of their joined text."""
+    step = lambda a, t: F.struct((a["at"] + F.length(t)).alias("at"), (a["n"] + F.when(a["at"] + F.length(t) <= n_chars, 1).otherwise(0)).alias("n"))
+    return F.aggregate(tokens, F.struct(F.lit(0).alias("at"), F.lit(0).alias("n")), step)["n"]
+
+
+def pad_and_mask(tokens: Column, length: int = 128, n_prompt: Column | int = 0) -> Column:
     """ARR-5: ``struct(input_ids, attention_mask, labels)`` truncated and padded to ``length``.
 
-    Labels mask padding only (Q14): they equal the tokens where the mask is 1.
+    Labels mask padding (Q14) and the first ``n_prompt`` tokens: they equal the tokens elsewhere.
     """
     cut = F.slice(tokens, 1, length)
     n = F.size(cut)
     pad = F.array_repeat(F.lit(PAD_TOKEN), F.lit(length) - n)
     ids = F.concat(cut, pad)
     mask = F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.lit(length) - n))
-    labels = F.concat(cut, F.array_repeat(F.lit(IGNORE_LABEL), F.lit(length) - n))
+    masked = F.least(n, F.lit(n_prompt) if isinstance(n_prompt, int) else n_prompt)
+    ignored = lambda k: F.array_repeat(F.lit(IGNORE_LABEL), k)
+    labels = F.concat(ignored(masked), F.slice(cut, masked + 1, F.lit(length)), ignored(F.lit(length) - n))
     return F.struct(ids.alias("input_ids"), mask.alias("attention_mask"), labels.alias("labels"))
 
 

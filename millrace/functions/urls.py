@@ -85,6 +85,13 @@ def is_banned(domain: Column | str, banned: list[str], match: str = "suffix") ->
     return F.coalesce(test, F.lit(False))
 
 
+def one_segment_below(c: Column | str, prefix: str) -> Column:
+    """FIL-11, anchored: the link is ``prefix`` and one more path segment, without a slash after it; null = no match."""
+    u = _c(c)
+    rest = F.substring(u, len(prefix) + 1, 1 << 30)
+    return F.coalesce(u.startswith(prefix) & (rest != "") & ~rest.contains("/"), F.lit(False))
+
+
 def host_suffixes(c: Column | str) -> Column:
     """The host of a URL and all domains above it, lower-case, without user, port and a final dot (``a.b.org``: ``a.b.org, b.org, org``)."""
     name = F.regexp_replace(F.regexp_replace(F.lower(host(c)), r"^[^@]*@|:\d*$", ""), r"\.$", "")

@@ -65,10 +65,18 @@ def exact_split(df: DataFrame, key: Column, seed: int = 42, train_fraction: floa
     return df.withColumn(name, split_label(df, key, seed, train_fraction, rounding)(key))
 
 
-def instruction_examples(records: DataFrame, template: str, length: int = 128) -> DataFrame:
-    """PIP-6: fill the instruction with its input, then the outer template; start token + pieces, padded and masked."""
+def instruction_examples(records: DataFrame, template: str, length: int = 128, mask_prompt: bool = False) -> DataFrame:
+    """PIP-6: fill the instruction with its input, then the outer template; start token + pieces, padded and masked.
+
+    With ``mask_prompt`` the start token and all pieces that end before the output are no labels (Q14); a piece
+    that reaches into the output is one.
+    """
     filled = RC.format_instruction(F.col("instruction"), F.coalesce(F.col("input"), F.lit("")))
-    ctx = RC.fill_template(template, filled, F.col("output"))
-    toks = F.concat(F.array(F.lit(A.START_TOKEN)), T.pieces(ctx))
-    ex = A.pad_and_mask(toks, length)
-    return records.withColumn("context", ctx).withColumn("ex", ex).select("*", "ex.*").drop("ex")
+    rows = records.withColumn("context", RC.fill_template(template, filled, F.col("output")))
+    toks = T.pieces("context")
+    n_prompt = 0
+    if mask_prompt:
+        head = RC.fill_template(template[: template.rindex("{}")], filled)
+        n_prompt = A.tokens_within(toks, F.length(head)) + 1
+    ex = A.pad_and_mask(F.concat(F.array(F.lit(A.START_TOKEN)), toks), length, n_prompt)
+    return rows.withColumn("ex", ex).select("*", "ex.*").drop("ex")

@@ -84,7 +84,7 @@ def posneg_scores(w: DataFrame, qpos: DataFrame, qneg: DataFrame) -> DataFrame:
 
 @dataclass
 class RelevanceModel:
-    """Frozen model tables (SNK-6): dictionary tokens and idf."""
+    """Frozen model tables: dictionary tokens and idf."""
 
     dictionary: DataFrame  # (token)
     idf: DataFrame  # (token, idf)
@@ -145,9 +145,30 @@ def build_model(
     own = bags.select(F.explode("bag.token").alias("token"), F.col("raw").isNull().alias("known")).withColumn("df", F.lit(1))
     raw = bags.where("raw is not null").select(F.explode("raw").alias("token"), F.lit(True).alias("known"), F.lit(0).alias("df"))
     stats = own.unionByName(raw).groupBy("token").agg(F.sum("df").alias("df"), F.max("known").alias("known")).where("known")
-    idf = stats.where("df > 0").select("token", F.log2(F.lit(float(max(n_docs, 1))) / F.col("df")).alias("idf"))
-    idf = cut_lineage(idf.where(F.abs(F.col("idf")) > F.lit(EPS)))
-    return RelevanceModel(stats.select("token"), idf, n_docs), bags
+    return RelevanceModel(stats.select("token"), idf_table(stats, n_docs), n_docs), bags
+
+
+def idf_table(counts: DataFrame, n_docs: int) -> DataFrame:
+    """AGG-3: ``(token, idf)`` of ``(token, df)`` rows; words of no document and of every document have none."""
+    idf = counts.where("df > 0").select("token", F.log2(F.lit(float(max(n_docs, 1))) / F.col("df")).alias("idf"))
+    return cut_lineage(idf.where(F.abs(F.col("idf")) > F.lit(EPS)))
+
+
+def save_model(model: RelevanceModel, bags: DataFrame, path: str) -> None:
+    """SNK-6: write the dictionary and the corpus' bags of words, all that a reload needs."""
+    model.dictionary.write.parquet(f"{path}/vocab")
+    bags.select("doc_id", "bag").write.option("parquet.block.size", BAG_GROUP_BYTES).parquet(f"{path}/bow")
+
+
+def load_model(spark, path: str) -> tuple[RelevanceModel, DataFrame]:
+    """The model and the bags that ``save_model`` wrote: idf is worked out anew from the bags' words that the dictionary holds.
+
+    Words are aggregated before they meet the dictionary, so a frequent one is one row there.
+    """
+    vocab, bags = spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/bow")
+    n_docs = bags.count()
+    counts = bags.select(F.explode("bag.token").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    return RelevanceModel(vocab, idf_table(counts.join(vocab, "token", "left_semi"), n_docs), n_docs), bags
 
 
 def corpus_bow(bags: DataFrame) -> DataFrame:

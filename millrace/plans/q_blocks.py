@@ -184,3 +184,25 @@ def pip_instruct_examples(spark, sf):
     ex = B.instruction_examples(recs, INSTRUCT_TEMPLATE, 128)
     ex = ex.select("input", *_padded_cols(F.struct("input_ids", "attention_mask", "labels")))
     return ex.withColumn("split", label(F.col("input")))
+
+
+def _masked_sql() -> str:
+    head = _context_sql("instruction", "input", "''").rsplit(" || coalesce(", 1)[0]
+    t = "list_slice(list_concat(['<s>'], p), 1, 128)"
+    ends = "list_transform(range(1, len(p) + 1), lambda i: length(array_to_string(list_slice(p, 1, i), '')))"
+    return f"""WITH recs AS (SELECT {S.lit(DEFINE_INSTRUCTION)} AS instruction, term AS input, expansion AS output FROM ({_last_wins_sql()})),
+ctx AS (SELECT input, {_context_sql('instruction', 'input', 'output')} AS context, length({head}) AS n_head FROM recs),
+tok AS (SELECT *, {S.pieces('context')} AS p FROM ctx),
+cut AS (SELECT input, {t} AS t, 1 + len(list_filter({ends}, lambda e: e <= n_head)) AS k FROM tok)
+SELECT input, CAST(least(k, len(t)) AS INTEGER) AS n_prompt,
+       array_to_string(list_resize(list_concat(list_transform(list_slice(t, 1, k), lambda x: '-100'), list_slice(t, k + 1, 128)), 128, '-100'), chr(1)) AS labels
+FROM cut"""
+
+
+@query("pip_instruct_masked", _masked_sql())
+def pip_instruct_masked(spark, sf):
+    """PIP-6 with ``mask_prompt``: only the answer's tokens are labels."""
+    recs = REC.pair_records(answers(spark, sf), DEFINE_INSTRUCTION).select(*REC.RECORD_COLS)
+    ex = B.instruction_examples(recs, INSTRUCT_TEMPLATE, 128, mask_prompt=True)
+    n_prompt = F.size(F.filter("labels", lambda x: x == A.IGNORE_LABEL)) - F.size(F.filter("attention_mask", lambda m: m == 0))
+    return ex.select("input", n_prompt.alias("n_prompt"), F.array_join("labels", SEP).alias("labels"))

@@ -25,12 +25,10 @@ def str_stem(spark, sf):
 
 
 def frozen_model(spark, sf):
-    """SNK-6: build the model tables on the documents, write them as parquet, read them back."""
-    p = QR._parts(spark, sf)
+    """SNK-6: build the model on the documents, save its dictionary and bags, load it again; the idf table of the loaded model."""
     path = scratch_path(spark, "model")
-    p["model"].idf.write.parquet(f"{path}/idf")
-    p["model"].dictionary.write.parquet(f"{path}/vocab")
-    return spark.read.parquet(f"{path}/idf")
+    REL.save_model(*QR.corpus_model(spark, sf), path)
+    return REL.load_model(spark, path)[0].idf
 
 
 def page_scores(spark, sf, idf):

@@ -77,11 +77,20 @@ def _filtered(spark, sf_dir, metrics=None):
 
 # ---- parts of the relevance filter ------------------------------------------
 
+def _documents(spark, sf):
+    return documents_as_rows(table(spark, sf, "documents")).withColumn("num_tokens", T.token_count("content"))
+
+
+def corpus_model(spark, sf):
+    """Model and bags of the token-filtered documents."""
+    kept = _documents(spark, sf).where(F.col("num_tokens") > P.MIN_TOKENS)
+    return REL.build_model(kept, "doc_id", "content", P.COMPOSITE_TERMS, keep=["source"])
+
+
 def _parts(spark, sf):
     """Intermediate tables of PIP-1 (token-filtered documents, model, weights, query vectors)."""
-    docs = documents_as_rows(table(spark, sf, "documents")).withColumn("num_tokens", T.token_count("content"))
-    kept = docs.where(F.col("num_tokens") > P.MIN_TOKENS)
-    model, bags = REL.build_model(kept, "doc_id", "content", P.COMPOSITE_TERMS, keep=["source"])
+    docs = _documents(spark, sf)
+    model, bags = corpus_model(spark, sf)
     bow = REL.corpus_bow(bags)
     w = REL.weights(bow, model.idf)
     qp = REL.query_vector(spark, P.POS_QUERY, model.idf, name="qp")

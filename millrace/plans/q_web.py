@@ -289,6 +289,16 @@ def fil_link_pattern(spark, sf):
     return resolved(spark, sf).select("page_id", "pos", "link").where(F.col("link").rlike(LINK_PATTERN))
 
 
+# Fixed value: links one segment below this page are kept.
+SEGMENT_PREFIX = "https://docs.example.com/"
+
+
+@query("fil_link_segment", f"SELECT page_id, pos, link FROM {RESOLVED_SQL} WHERE regexp_matches(link, '^https://docs\\.example\\.com/[^/]+$')")
+def fil_link_segment(spark, sf):
+    """FIL-11, anchored: links of exactly one segment below a page."""
+    return resolved(spark, sf).select("page_id", "pos", "link").where(U.one_segment_below("link", SEGMENT_PREFIX))
+
+
 @query(
     "fil_link_kind",
     f"SELECT page_id, pos, link, CASE WHEN regexp_matches(link, '\\.(pdf|docx)$') THEN 'file' ELSE 'page' END AS kind FROM {RESOLVED_SQL}",

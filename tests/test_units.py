@@ -684,3 +684,64 @@ def test_pack_directory(spark, tmp_path):
     index = PK.pack_directory(spark, str(tmp_path), scratch_path(spark, "packed-dir"), "*.txt")
     got = {r.name.rsplit("/", 1)[1]: bytes(r.content) for r in PK.read_packed(index).collect()}
     assert got == {f"{i}.txt": f"file {i}\n".encode() for i in range(20)}
+
+
+def test_one_segment_below(spark):
+    urls = ["https://a.org/x", "https://a.org/", "https://a.org/x/", "https://a.org/x/y", "https://b.org/x", "see https://a.org/x", None]
+    df = spark.createDataFrame([(u,) for u in urls], "v string")
+    got = [r[0] for r in df.select(U.one_segment_below("v", "https://a.org/")).collect()]
+    assert got == [True, False, False, False, False, False, False]
+
+
+def test_saved_model_is_loaded_whole(spark):
+    from millrace.operators import relevance as REL
+    from millrace.session import scratch_path
+
+    docs = spark.createDataFrame([(1, "alpha beta\ngamma"), (2, "alpha beta"), (3, "beta delta delta"), (4, "")], "doc_id long, content string")
+    model, bags = REL.build_model(docs)
+    path = scratch_path(spark, "model-test")
+    REL.save_model(model, bags, path)
+    again, loaded = REL.load_model(spark, path)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(again.idf) == rows(model.idf) and again.n_docs == model.n_docs == 4
+    assert rows(again.dictionary) == rows(model.dictionary)
+    assert rows(REL.corpus_bow(loaded)) == rows(REL.corpus_bow(bags))
+    # a word that the saved dictionary no longer holds is unknown to the loaded model
+    fewer = scratch_path(spark, "model-test")
+    REL.save_model(REL.RelevanceModel(model.dictionary.where("token <> 'delta'"), model.idf, 4), bags, fewer)
+    assert "delta" in dict(rows(model.idf)) and "delta" not in dict(rows(REL.load_model(spark, fewer)[0].idf))
+
+
+def test_prompt_mask(spark):
+    recs = spark.createDataFrame([("say", "x y", "the answer"), ("say", "long " * 30, "cut"), ("say", None, None)], "instruction string, input string, output string")
+    rows = B.instruction_examples(recs, "Do {}\nAnswer: {} end", 16, mask_prompt=True).collect()
+    labels = [x for x in rows[0]["labels"] if x != A.IGNORE_LABEL]
+    assert "".join(labels) == " the answer end" and rows[0]["input_ids"][0] == A.START_TOKEN
+    assert set(rows[1]["labels"]) == {A.IGNORE_LABEL} and len(rows[1]["labels"]) == 16
+    plain = B.instruction_examples(recs, "Do {}\nAnswer: {} end", 16).collect()
+    assert [r["input_ids"] for r in plain] == [r["input_ids"] for r in rows]
+    assert [x for x in plain[0]["labels"] if x != A.IGNORE_LABEL][0] == A.START_TOKEN
+
+
+def test_distinct_rows(spark, monkeypatch):
+    from millrace.operators import assembly as AS
+
+    rows = [("a", None, 1.0), ("a", "", 1.0), ("a", None, 1.0), (None, "a", 0.0), (None, "a", -0.0), ("1:a", "b", None)] + [("hot", "x" * 500, 2.0)] * 200
+    df = spark.createDataFrame(rows, "u string, v string, w double").repartition(5)
+    want = sorted(map(str, df.dropDuplicates().collect()))
+    assert sorted(map(str, AS.distinct_rows(df).collect())) == want and len(want) == 5
+    assert AS.distinct_rows(df.limit(0)).count() == 0
+    monkeypatch.setattr(AS, "bounded_broadcast", lambda _: None)
+    assert sorted(map(str, AS.distinct_rows(df).collect())) == want
+
+
+def test_assembly_takes_answers(spark):
+    from millrace.operators import assembly as AS
+
+    results = spark.createDataFrame([("u", "s", "raw", "t", 3, "clean", 0.5), ("v", "s", "raw", "t", 3, "", 0.5), ("w", None, "raw", "t", 3, "clean", 0.5)],
+                                    "url string, source string, content string, task string, total_tokens long, generated_text string, costs double")
+    raw = spark.createDataFrame([("p", "s", "one two"), ("p", "s", "one two"), ("q", None, "x")], "url string, source string, content string").withColumn("task", F.lit("clash"))
+    got = lambda **k: sorted((r.url, r.content, r.task, r.generated_text) for r in AS.assemble([AS.Part(results, True, True), AS.Part(raw)], **k).collect())
+    assert got() == [("p", "one two", "", ""), ("q", "x", "", ""), ("u", "clean", "t", ""), ("v", "raw", "t", "")]
+    assert got(cleaned=False)[2] == ("u", "raw", "t", "clean")
+    assert got(max_tokens=1, target_tokens=1)[0][1] == "one"
