@@ -159,6 +159,28 @@ def test_topk_edges(spark):
     assert topk.search(rows.limit(0), rows).count() == topk.search(rows, rows.limit(0)).count() == 0
 
 
+def test_topk_over_cells_equals_sorting(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(topk, "SAMPLE", 60)
+    rng = np.random.default_rng(5)
+    far = rng.integers(-300, 300, (6, 4))
+    x = np.r_[far[rng.integers(0, 6, 500)] + rng.integers(-9, 9, (500, 4)), np.repeat(far[:1], 300, 0)]
+    data = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000 + i, [i, 2 * i]) for i in range(25)] + [(7, x[7].tolist())] * 40
+    rows = spark.createDataFrame(data, "vec_id long, vector array<long>").withColumn("cell", F.lit("own")).withColumn("floor", F.lit("own"))
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.search(rows.where("vec_id % 20 = 0"), rows, k=20, block=100, group=10).collect())
+    want, plain = [], dict(data)
+    for q in (i for i in plain if i % 20 == 0):
+        near = sorted((-int(np.dot(plain[q], v)), i) for i, v in plain.items() if i != q and len(v) == len(plain[q]))[:20]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(near)]
+    assert got == sorted(want)
+    sample = topk._sample(rows.select("vec_id", "vector"), 865)
+    some = topk._dealt(rows.select("vec_id", "vector").where("vec_id % 20 = 0").distinct(), sample, 4, 20)
+    every = topk._dealt(rows.select("vec_id", "vector").distinct(), sample, 9)
+    pairs = topk.cell_pairs(some, every, sample, 100, 10)
+    assert 0 < len(pairs) < some.select("cell").distinct().count() * every.select("cell").distinct().count()
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_return_every_row(spark, name):
     df = queries.QUERIES[name](spark, SF)

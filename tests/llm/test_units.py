@@ -133,10 +133,36 @@ def test_block_topk_equals_sorting():
         ok = ids != own
         best = sorted(zip(-s[i][ok], ids[ok], strict=True))[:20]
         assert sorted(zip(-score[at == i], found[at == i], strict=True)) == best
+    # floors that the true scores reach leave nothing out; half of the pairs or more are never multiplied where vectors cluster
+    kth = np.array([np.sort(s[i][ids != own])[-20] for i, own in enumerate(ids[q])], float)
+    assert sorted(zip(*map(list, topk.block_topk(c[q], ids[q], c, ids, 20, kth)))) == sorted(zip(*map(list, (at, found, score))))
+    far = rng.integers(-1000, 1000, (8, 8))
+    x = far[rng.integers(0, 8, 4000)] + rng.integers(-9, 9, (4000, 8))
+    counts = {}
+    topk.block_topk(x[:200], np.arange(200), x, np.arange(4000), 20, counts=counts)
+    assert counts["all"] == 800_000 and counts["done"] < 400_000
     big = np.array([[1 << 30, 1 << 30]])
     assert topk._products(big, big)[0, 0] == 1 << 61
 
 
+def test_cover_tree_keeps_its_invariants():
+    rng = np.random.default_rng(3)
+    x = np.r_[rng.integers(-50, 50, (700, 5)), np.zeros((200, 5), int)]
+    t = topk.CoverTree(x, leaf=8)
+    assert sorted(t.order) == list(range(900)) and len(t.radii) > 50
+    for node, children in enumerate(t.children):
+        lo, hi = t.span[node]
+        assert topk._distances(x[t.order[lo:hi]], t.centres[node]).max() <= t.radii[node]
+        if not children:
+            assert hi - lo <= 8 or t.radii[node] == 0
+            continue
+        assert (t.centres[children[0]] == t.centres[node]).all() and len(children) <= topk.FANOUT
+        assert [t.span[children[0]][0], t.span[children[-1]][1]] == [lo, hi]
+        for i, child in enumerate(children):
+            assert t.radii[child] <= t.cover[node]
+            assert all(topk._distances(t.centres[child], t.centres[o]) >= t.cover[node] for o in children[:i])
+
+
 @pytest.mark.parametrize("url", [None, "http://a/b%0A", "x\r\ny: z", ""])
 def test_warc_record_round_trip(url):
     import hashlib
