@@ -4,15 +4,13 @@ Rows and queries are dealt to cells of space, those nearest to the same sampled
 over the sample is a floor of its k-th score; a cell of queries meets a cell of rows only where the best inner
 product that both radii allow reaches the lowest floor of its queries, so that other rows are not sent to it. Cells
 larger than a block are split by a hash. Within a pair the vectors of each side become a cover tree, a node of which
-holds a centre and the radius that covers all below it. Both trees are walked together, the most promising pairs
-first, and a pair of nodes is dropped when the best inner product that its radii allow lies below every k-th score
-that its queries hold so far. Each block's best k of a query then meet in one merge.
+holds a centre and the radius that covers all below it. Both trees are walked together, and a pair of nodes is dropped
+when the best inner product that its radii allow lies below every k-th score that its queries hold so far. Each block's best k of a query then meet in one merge.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +23,9 @@ from millrace.session import cut_lineage
 #: Vectors of a block and queries of a group, about.
 BLOCK, GROUP = 8192, 1024
 #: Points of a leaf of the rows' tree and of the queries' tree; children of a node.
-LEAF, QUERY_LEAF, FANOUT = 64, 16, 16
+LEAF, QUERY_LEAF, FANOUT = 64, 32, 16
+#: Rows that a query leaf multiplies at once, about.
+TOGETHER = 1024
 #: Rows of the sample that gives cells and floors, its bytes, and cells a side.
 SAMPLE, SAMPLE_BYTES, CELLS = 2048, 16 << 20, 1024
 #: Sums of products up to this are exact in double precision.
@@ -116,48 +116,71 @@ def block_topk(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarra
                counts: dict[str, int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query position, id, score) of the best ``k`` of ``c`` for each query, ties to the smaller id, without
     candidates of the query's own id. Ids may repeat. Scores below a query's ``floor`` may be left out.
-    ``counts`` is told the products of all pairs and those that were worked out."""
+    ``counts`` is told the products of all pairs and those that were worked out.
+
+    Each query node takes along the row nodes that its bound leaves over, opened down to its own radius; its children
+    narrow these further. A query leaf multiplies the leaves left over together, the most promising first, and
+    stops where the rest lies below its k-th scores.
+    """
     if not len(q) or not len(c):
         return np.empty(0, int), np.empty(0, np.int64), np.empty(0, np.int64)
     qt, ct = CoverTree(q, QUERY_LEAF), CoverTree(c)
+    inner = np.array([bool(ch) for ch in ct.children])
+    size = np.array([hi - lo for lo, hi in ct.span])
     low = np.iinfo(np.int64).min
     best = np.full((len(q), k), low)  # scores; low: none yet
     best_ids = np.full((len(q), k), np.iinfo(np.int64).max)
     floor = np.full(len(q), -np.inf) if floor is None else floor
     worst = floor.copy()  # each query's k-th score, or a floor of it
     done = 0
-    heap: list[tuple[float, int, int]] = []
-
-    def offer(a: int, nodes: list[int]) -> None:
-        lo, hi = qt.span[a]
-        least = worst[qt.order[lo:hi]].min()
-        for m, b in zip(most(qt.centres[a], qt.radii[a], ct.centres[nodes], ct.radii[nodes]).tolist(), nodes, strict=True):
-            if m >= least:  # an equal score may still win by its id
-                heappush(heap, (-m, a, b))
-
-    offer(0, [0])
-    while heap:
-        m, a, b = heappop(heap)
-        rows = qt.order[slice(*qt.span[a])]
-        if -m < worst[rows].min():
+
+    def narrowed(a: int, nodes: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+        """Row nodes that may hold a result for query node ``a``, with their bounds; inner ones above ``radius`` opened."""
+        least = worst[qt.order[slice(*qt.span[a])]].min()
+        kept, bounds = [], []
+        while len(nodes):
+            top = most(qt.centres[a], qt.radii[a], ct.centres[nodes], ct.radii[nodes])
+            ok = top >= least  # an equal score may still win by its id
+            nodes, top = nodes[ok], top[ok]
+            wide = inner[nodes] & (ct.radii[nodes] >= radius)
+            kept.append(nodes[~wide])
+            bounds.append(top[~wide])
+            nodes = np.array([x for b in nodes[wide] for x in ct.children[b]], int)
+        return np.concatenate(kept or [nodes]), np.concatenate(bounds or [np.empty(0)])
+
+    def take(rows: np.ndarray, cols: np.ndarray) -> None:
+        score = _products(q[rows], c[cols])
+        hit = (score >= worst[rows][:, None]) & (c_ids[cols][None, :] != q_ids[rows][:, None])  # an equal score may win by its id
+        for i in np.flatnonzero(hit.any(1)):
+            row, new = rows[i], np.flatnonzero(hit[i])
+            if len(new) > 4 * k:  # ties of the last one stay
+                least = np.partition(score[i, new], -k)[-k]
+                new = new[score[i, new] >= least]
+            scores, ids = np.r_[best[row], score[i, new]], np.r_[best_ids[row], c_ids[cols[new]]]
+            order = np.lexsort((ids, -np.maximum(scores, low + 1)))[:k]
+            best[row], best_ids[row] = scores[order], ids[order]
+            if best[row, -1] > low:
+                worst[row] = max(floor[row], float(best[row, -1]))
+
+    todo = [(0, np.zeros(1, int))]
+    while todo:
+        a, nodes = todo.pop()
+        if qt.children[a]:
+            nodes, _ = narrowed(a, nodes, qt.radii[a])
+            todo += [(child, nodes) for child in qt.children[a] if len(nodes)]
             continue
-        if not qt.children[a] and not ct.children[b]:
-            cols = ct.order[slice(*ct.span[b])]
+        nodes, top = narrowed(a, nodes, 0.0)
+        order = np.argsort(-top, kind="stable")
+        nodes, top = nodes[order], top[order]
+        rows = qt.order[slice(*qt.span[a])]
+        step = np.cumsum(size[nodes]) // TOGETHER
+        for n in np.unique(step):
+            some = nodes[(step == n) & (top >= worst[rows].min())]
+            if not len(some):
+                break
+            cols = np.concatenate([ct.order[slice(*ct.span[b])] for b in some])
             done += len(rows) * len(cols)
-            score, ids = _products(q[rows], c[cols]), np.broadcast_to(c_ids[cols], (len(rows), len(cols)))
-            score = np.where(ids == q_ids[rows][:, None], low, score)
-            better = ((score >= worst[rows][:, None]) & (score > low)).any(1)  # an equal score may win by its id
-            rows, score, ids = rows[better], score[better], ids[better]
-            score, ids = np.concatenate([best[rows], score], 1), np.concatenate([best_ids[rows], ids], 1)
-            order = np.lexsort((ids, -np.maximum(score, low + 1)), axis=1)[:, :k]
-            best[rows], best_ids[rows] = np.take_along_axis(score, order, 1), np.take_along_axis(ids, order, 1)
-            last = best[rows, -1]
-            worst[rows] = np.maximum(floor[rows], np.where(last == low, -np.inf, last))
-        elif ct.children[b] and (not qt.children[a] or ct.radii[b] >= qt.radii[a]):
-            offer(a, ct.children[b])
-        else:
-            for child in qt.children[a]:
-                offer(child, [b])
+            take(rows, cols)
     if counts is not None:
         counts["all"] = counts.get("all", 0) + len(q) * len(c)
         counts["done"] = counts.get("done", 0) + done
