@@ -25,17 +25,31 @@ SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 STARTS = (4, 5, 6)
 #: Features kept for the regression.
 KEPT = 2000
-#: Group terms that are swapped for each other (lower case).
-IDENTITY_TERMS = (
-    "women men girls boys gay gays lesbian lesbians bisexual transgender trans straight queer "
-    "muslim muslims jewish jews christian christians catholic protestant hindu buddhist atheist "
-    "black white asian african american european mexican latino arab chinese indian "
-    "immigrant immigrants refugee refugees migrant migrants foreigner foreigners "
-    "disabled blind deaf elderly old young "
-    "frauen männer muslime juden christen ausländer flüchtlinge "
-    "femmes hommes musulmans juifs chrétiens immigrés réfugiés "
-    "mujeres hombres musulmanes judíos cristianos inmigrantes refugiados"
+# Names of groups, lower case. Those of the first list also have a regular English plural.
+GROUP_NOUNS = (
+    "girl boy gay lesbian homosexual bisexual muslim jew christian catholic protestant hindu buddhist sikh atheist "
+    "african american european asian mexican latino latina arab indian pakistani turk pole russian gypsy "
+    "immigrant refugee migrant foreigner"
 ).split()
+GROUP_WORDS = (
+    "woman women man men trans transgender straight queer jewish islamic black white brown chinese japanese polish turkish roma "
+    "disabled blind deaf autistic elderly old young "
+    "frau frauen mann männer muslim muslime muslimin muslima jude juden jüdin jüdisch christ christen ausländer ausländerin "
+    "flüchtling flüchtlinge türke türken schwarze schwule lesben behinderte "
+    "femme femmes homme hommes musulman musulmans musulmane musulmanes juif juifs juive juives chrétien chrétiens immigré immigrés réfugié réfugiés arabe arabes noir noirs "
+    "mujer mujeres hombre hombres musulmán musulmanes judío judíos judía judías cristiano cristianos inmigrante inmigrantes refugiado refugiados gitano gitanos negro negros"
+).split()
+
+
+def plural(noun: str) -> str:
+    """The regular English plural."""
+    if noun[-1] == "y" and noun[-2] not in "aeou":
+        return noun[:-1] + "ies"
+    return noun + ("es" if noun.endswith(("s", "x", "ch", "sh")) else "s")
+
+
+#: Group terms that are swapped for each other.
+IDENTITY_TERMS = tuple(dict.fromkeys([w for n in GROUP_NOUNS for w in (n, plural(n))] + GROUP_WORDS))
 
 
 def _hash(s: str) -> int:
@@ -148,7 +162,7 @@ def fit_model(rows: list[np.ndarray], twins: list[np.ndarray | None], toxic: np.
     return Model(dict(zip(feats.tolist(), w.tolist(), strict=True)), float(bias))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "text", label: str = "toxic", bound: int = 4_000, terms: list[str] = tuple(IDENTITY_TERMS), pairing: float = 1.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "text", label: str = "toxic", bound: int = 4_000, terms: list[str] = IDENTITY_TERMS, pairing: float = 1.0) -> Model:
     """Fit on a bounded sample of the labelled rows where ``learn`` holds: about ``bound`` toxic and about
     ``bound`` other texts, drawn by a hash of the id, so reruns agree.
 

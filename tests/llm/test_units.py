@@ -175,3 +175,29 @@ def test_warc_record_round_trip(url):
     assert (got["page_id"], got["payload_bytes"], got["refers_to"], got["payload"]) == (None, len(payload), 9, None)
     with pytest.raises(ValueError):
         warc.parse(warc.record(5, url, payload, "00" * 20, None, False))
+
+
+def test_group_terms_have_their_forms():
+    terms = toxicity.IDENTITY_TERMS
+    assert len(set(terms)) == len(terms) and all(t == t.lower() for t in terms)
+    assert {"jew", "jews", "muslima", "gypsies", "gays", "roma", "indians", "homosexual", "women"} <= set(terms)
+
+
+def test_neutral_mentions_are_no_false_positives():
+    """Toxic texts name one group far more often; neutral mentions of it in other texts must not pay for that."""
+    pack = lambda t: np.array(sorted({f for w in toxicity._words(t) for f in toxicity.word_features(w)}), np.uint32)
+    rng = np.random.default_rng(1)
+    plain = "house river table garden music paper window winter bread mountain letter market".split()
+    some = lambda n: " ".join(rng.choice(plain, n))
+    texts = [f"{some(4)} gypsies {'awful' if rng.random() < 0.6 else some(1)} {some(3)}" for _ in range(150)] + [f"{some(8)}" for _ in range(150)]
+    toxic = np.array([1.0] * 150 + [0.0] * 150)
+    twins = [toxicity.swapped(t, list(toxicity.IDENTITY_TERMS), len(t)) for t in texts]
+    assert sum(t is not None for t in twins) == 150
+    neutral = [f"{some(4)} gypsies {some(4)}" for _ in range(100)]
+    wrong = []
+    for weight in (0.0, 20.0):
+        m = toxicity.fit_model([pack(t) for t in texts], [None if t is None else pack(t) for t in twins], toxic, weight)
+        wrong.append(sum(s >= 0.5 for s in m.scores(neutral)))
+        assert sum(s >= 0.5 for s in m.scores([t for t in texts if "awful" in t])) >= 60
+    print("neutral mentions called toxic without and with pairing:", wrong)
+    assert wrong[0] >= 90 and wrong[1] <= wrong[0] / 2
