@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
@@ -70,9 +71,17 @@ def per_text(df: DataFrame, text: str, schema: str, fn: Callable[[list], dict[st
 
 @cache
 def letters() -> str:
-    """A pattern of runs of letters: what Python's word characters hold beyond them (digits, other numbers, underscore) is left out."""
-    numbers = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) in ("Nl", "No")]
-    return "[^\\W\\d_" + "".join(numbers) + "]+"
+    """A pattern of runs of letters: what Python's word characters hold beyond them (digits, other numbers, underscore) is left out.
+
+    The letters below U+10000 are one table lookup a character; those above are looked for only where such a character stands.
+    """
+    word = re.compile(r"[^\W\d_]")
+    held = [c for c in range(0x110000) if word.match(chr(c)) and unicodedata.category(chr(c)) not in ("Nl", "No")]
+    starts = [c for c, last in zip(held, [-2, *held], strict=False) if c != last + 1 or c == 0x10000]
+    ends = [c for c, after in zip(held, [*held[1:], -2], strict=True) if c != after - 1 or c == 0xFFFF]
+    spans = [(a, f"{chr(a)}-{chr(b)}") for a, b in zip(starts, ends, strict=True)]
+    low, high = ("".join(s for a, s in spans if (a >= 0x10000) == above) for above in (False, True))
+    return f"(?:[{low}]+|(?=[\U00010000-\U0010FFFF])[{high}]+)+"
 
 
 def plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
