@@ -745,3 +745,64 @@ def test_assembly_takes_answers(spark):
     assert got() == [("p", "one two", "", ""), ("q", "x", "", ""), ("u", "clean", "t", ""), ("v", "raw", "t", "")]
     assert got(cleaned=False)[2] == ("u", "raw", "t", "clean")
     assert got(max_tokens=1, target_tokens=1)[0][1] == "one"
+
+
+def test_stems_keep_rows_of_repeated_and_null_ids(spark, monkeypatch):
+    from millrace.operators import joins as J
+    from millrace.operators import stemming as ST
+
+    rows = [(1, "The running laws, laws"), (2, None), (3, "of the"), (4, "cats the dogs"), (4, "flying high"), (None, "ponies"), (None, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(1, "run laws, law"), (2, ""), (3, ""), (4, "cat fly high dog"), (None, "poni"), (None, ""), (None, "")]
+    got = lambda: sorted(((r.doc_id, r.stemmed) for r in ST.stem_text(df, "doc_id", "text").collect()), key=str)
+    assert got() == sorted(want, key=str)
+    once = df.where("doc_id < 4")
+    plan = ST.stem_text(once, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # no row of words is shuffled
+
+
+def test_layered_join_has_every_row(spark):
+    from millrace.operators import joins as J
+
+    big = spark.createDataFrame([(i, w) for i in range(64) for w in ("hot", f"w{i % 8}", f"rare{i}", "unknown")], "id long, token string")
+    small = spark.createDataFrame([("hot", 6.0)] + [(f"w{i}", 3.0) for i in range(8)] + [(f"rare{i}", 0.0) for i in range(64)], "token string, often double")
+    rows = lambda df: sorted(map(str, df.select("id", "token").collect()))
+    want = rows(big.where("token <> 'unknown'"))
+    for limit in (0, 60, 600, 1 << 20):  # nothing, one word, nine words, all of them broadcast
+        for how in ("inner", "left_semi"):
+            assert rows(J.layered_join(big, small, "token", F.col("often"), how, limit)) == want
+
+
+def test_bags_are_those_of_the_columns(spark):
+    from millrace.operators import relevance as REL
+
+    texts = ["The law\nof the land, LAW of the\x1cNight", "of the\nof the", "", None, "ΟΔΟΣ Straße_2 İx ½ áb", "x " * 50]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, content string")
+    terms = ["of the", "the land"]
+    merged = T.join_lines(T.close_composite_terms(F.coalesce("content", F.lit("")), terms))
+    want = {r.doc_id: (sorted(r.m), set(r.w)) for r in df.select("doc_id", T.kept_words(merged).alias("m"), T.kept_words(F.coalesce("content", F.lit(""))).alias("w")).collect()}
+    for r in REL.document_bags(df, composite_terms=terms).collect():
+        words, raw = want[r.doc_id]
+        assert sorted(b.token for b in r.bag for _ in range(b.tf)) == words
+        assert set(r.added) == raw - set(words) and set(r.glued) == set(words) - raw
+
+
+def test_token_counts_without_arrays(spark):
+    texts = ["", " ", "a", " a", "a ", "a b\n", " ", "a  ", "x " * 100, "x " * 100 + "y", "x " * 99 + "y"]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    for r in df.select("t", T.token_count("t").alias("n"), F.regexp_count("t", F.lit(T.PIECE_PATTERN)).alias("w"),
+                       T.more_tokens_than("t", 100).alias("a"), T.more_tokens_than("t", 0).alias("b")).collect():
+        assert r.n == r.w and (r.t is None or (r.a, r.b) == (r.w > 100, r.w > 0))
+
+
+def test_commits_side_by_side(spark, tmp_path):
+    import pytest
+
+    log, run, asked, flag = _job(spark, tmp_path, stop="text 10")
+    with pytest.raises(Exception):
+        run(at_once=3)
+    assert log.results().count() < 20
+    flag.unlink()
+    run(at_once=3)
+    assert sorted(r.generated_text for r in log.results().collect()) == [f"ok text {i:02}" for i in range(20)]
+    assert log.manifest().count() == 5 and run(at_once=3) == []
