@@ -1,8 +1,8 @@
 """Prompt jobs over tables (UDF-2, AGG-10, WIN-2, JON-2).
 
 The model client is injected: a picklable factory is called once per
-partition inside ``mapInPandas`` (Arrow batches), so connections are made on
-executors, never on the driver.  A call that fails does not fail the task: the
+partition inside ``mapInArrow`` (Arrow batches, answered in slices of bounded
+bytes), so connections are made on executors, never on the driver.  A call that fails does not fail the task: the
 row gets ``''``, zero tokens and the error (soft failure), while Spark still
 retries tasks lost with an executor.  Resume is an anti-join against results
 already written, so a rerun adds no rows; ``batches`` commits them.
@@ -13,12 +13,13 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.functions.text import fill_placeholder
+from millrace.operators.bags import slices
 
 # Unit prices per token (input, output).
 PRICE_IN = 0.15e-6
@@ -76,22 +77,23 @@ def run_prompts(df: DataFrame, template: str | Column, task: str | Column, clien
     kinds = [f for f in prompts.schema.fields if f.name != "_prompt"]
     out_schema = StructType(kinds + StructType.fromDDL("generated_text string, prompt_tokens long, completion_tokens long, error string").fields)
 
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = client_factory()
-        for b in batches:
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        target, client = to_arrow_schema(out_schema), client_factory()
+        # only prompts and answers of a slice become Python objects; the other columns go through as they are
+        for b in slices(batches, ["_prompt"]):
             answers = []
-            for p in b["_prompt"]:
+            for p in b.column("_prompt").to_pylist():
                 try:
                     answers.append((*client.complete(p, system_prompt), None))
                 except Exception as e:  # whatever a client raises: the row says so, the job goes on
                     answers.append(("", 0, 0, f"{type(e).__name__}: {e}"))
-            res = b.drop(columns="_prompt")
-            for name, values in zip(("generated_text", "prompt_tokens", "completion_tokens", "error"), zip(*answers), strict=True) if answers else ():
-                res[name] = list(values)
-            if answers:
-                yield res
+            cols = [b.column(f.name).cast(target.field(f.name).type) for f in kinds]
+            cols += [pa.array(v, f.type) for v, f in zip(zip(*answers, strict=True), list(target)[len(kinds):], strict=True)]
+            yield pa.RecordBatch.from_arrays(cols, schema=target)
 
-    return with_costs(prompts.mapInPandas(call, out_schema), key_cols)
+    return with_costs(prompts.mapInArrow(call, out_schema), key_cols)
 
 
 def with_costs(called: DataFrame, key_cols: tuple[str, ...] = ("url", "source", "content")) -> DataFrame:
