@@ -9,7 +9,9 @@ failed have an ``error`` and are asked again on demand.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,12 +73,15 @@ class CommitLog:
         system_prompt: str | None = None,
         retry_failed: bool = False,
         head: int | None = None,
+        at_once: int = 1,
     ) -> list[int]:
         """Ask for every row of ``rows`` that has no result yet, commit by commit; returns the numbers of the commits made.
 
         Batches of ``batch_size`` rows in ``order`` (unique) are cut over all rows, done or not, so they may be
         short (WIN-2); one commit, one Spark job, takes ``batches_per_commit`` of them. ``head``: only the first
-        rows in ``order`` (SRT-2). An error outside the calls ends the run; what was committed stays.
+        rows in ``order`` (SRT-2). An error outside the calls ends the run; what was committed stays. A commit is a
+        small job that leaves most of a cluster idle: ``at_once`` of them run side by side, and a lost run repeats
+        these at most.
         """
         if head is not None:
             rows = rows.orderBy(*order).limit(head)
@@ -90,10 +95,21 @@ class CommitLog:
         # one row a commit
         waiting = held.groupBy("_commit").agg(F.min("_batch").alias("first"), F.max("_batch").alias("last")).orderBy("_commit").collect()
         number = (self.manifest().agg(F.max("commit")).first()[0] or 0) + 1
-        made = []
-        for w in waiting:
+        commits = list(enumerate(waiting, number))
+
+        def commit(n: int, w) -> None:
             part = held.where(F.col("_commit") == w["_commit"])
-            self._commit(number, PR.run_prompts(part, template, task, client_factory, system_prompt), w["first"], w["last"])
-            made.append(number)
-            number += 1
-        return made
+            self._commit(n, PR.run_prompts(part, template, task, client_factory, system_prompt), w["first"], w["last"])
+
+        if at_once <= 1:
+            for n, w in commits:
+                commit(n, w)
+        else:
+            with ThreadPoolExecutor(at_once) as pool:
+                jobs = [pool.submit(inheritable_thread_target(self.spark)(commit), n, w) for n, w in commits]
+                ended, later = wait(jobs, return_when=FIRST_EXCEPTION)
+                for job in later:  # after an error, what has not begun is left for the next run
+                    job.cancel()
+                for job in ended:
+                    job.result()
+        return [n for n, _ in commits]

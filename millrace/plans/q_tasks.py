@@ -140,6 +140,8 @@ def pip_coherence_clean(spark, sf):
 
 # Fixed values of the registered jobs.
 COMMIT_BATCHES = 20
+# Commits that run side by side.
+COMMITS_AT_ONCE = 8
 QA_HEAD, QA_BATCH = 30, 15
 
 
@@ -161,7 +163,7 @@ def pip_task_job(spark, sf):
     lang = table(spark, sf, "documents").select("doc_id", "lang")
     first = rows.join(lang.where(F.col("lang") == "en"), "doc_id", "left_semi")
     for part in (first, rows):
-        log.run(part, "definitions", EXTRACT_TEMPLATE, PR.EchoFactory("echo"), ["doc_id"], BATCH_SIZE, COMMIT_BATCHES)
+        log.run(part, "definitions", EXTRACT_TEMPLATE, PR.EchoFactory("echo"), ["doc_id"], BATCH_SIZE, COMMIT_BATCHES, at_once=COMMITS_AT_ONCE)
     return log.results().drop("error")
 
 
