@@ -787,6 +787,53 @@ def test_bags_are_those_of_the_columns(spark):
         assert set(r.added) == raw - set(words) and set(r.glued) == set(words) - raw
 
 
+def test_blocks_hold_the_bags_of_the_columns(spark, monkeypatch):
+    import math
+    from collections import Counter
+
+    import pytest
+
+    from millrace.operators import bags as BG
+    from millrace.operators import relevance as REL
+
+    texts = ["The law\nof the land, LAW of the\x1cNight", "of the\nof the", "", None, "ΟΔΟΣ Straße_2 İx ½ áb (law) a-b", "law night " * 50, "the, law", "night\nland"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, "land law"), (None, "night sea")]
+    df = spark.createDataFrame(rows, "doc_id long, content string").coalesce(1)
+    terms = ["of the", "the land"]
+    merged = T.join_lines(T.close_composite_terms(F.coalesce("content", F.lit("")), terms))
+    own = df.select("doc_id", T.kept_words(merged).alias("m"), T.kept_words(F.coalesce("content", F.lit(""))).alias("w")).collect()
+    bags, raw = [(r.doc_id, Counter(r.m)) for r in own], {w for r in own for w in r.w}
+    for limit in (BG.BLOCK_BYTES, 1):  # all texts in one block, one text a block
+        monkeypatch.setattr(BG, "BLOCK_BYTES", limit)
+        model, blocks = REL.build_model(df, composite_terms=terms)
+        assert blocks.count() == (1 if limit > 1 else len(rows))
+        # a word of many texts has one row a block where it is counted
+        hot = blocks.select(F.inline("words")).where("token = 'law' and df > 0").collect()
+        assert sum(r.df for r in hot) == 5 and len(hot) == (1 if limit > 1 else 5)
+        want = sorted(str((i, w, n)) for i, b in bags for w, n in b.items())
+        assert sorted(str(tuple(r)) for r in REL.corpus_bow(blocks).collect()) == want
+        known = sorted(str((i, w, n)) for i, b in bags for w, n in b.items() if w in raw)
+        assert sorted(str(tuple(r)) for r in REL.known_bow(blocks, model.dictionary).collect()) == known != want
+        assert {r.token for r in model.dictionary.collect()} == raw
+        df_of = Counter(w for _, b in bags for w in b if w in raw)
+        idf = {w: math.log2(len(rows) / n) for w, n in df_of.items()}
+        sums = {}
+        for i, b in bags:
+            if known_words := [w for w in b if w in idf]:
+                sums[i] = sums.get(i, 0) + sum((b[w] * idf[w]) ** 2 for w in known_words)
+        for broadcast in (REL.bounded_broadcast, lambda _: None):
+            monkeypatch.setattr(REL, "bounded_broadcast", broadcast)
+            got = {r.doc_id: r.n2 for r in REL.corpus_sums(blocks, model.idf).collect()}
+            assert got == pytest.approx(sums)
+        monkeypatch.undo()
+        query = REL.query_vector(spark, "law law night", model.idf, name="qp")
+        q = {r.token: r.qp for r in query.collect()}
+        dp = {r.doc_id: r.dp for r in REL.corpus_sums(blocks, model.idf, query).collect()}
+        assert dp[6] == pytest.approx(sum(dict(bags)[6][w] * idf[w] * q[w] for w in q)) and set(q) == {"law", "night"}
+    empty, none = REL.build_model(df.where("doc_id < 0"))
+    assert empty.n_docs == REL.corpus_bow(none).count() == REL.corpus_sums(none, empty.idf).count() == 0
+
+
 def test_token_counts_without_arrays(spark):
     texts = ["", " ", "a", " a", "a ", "a b\n", " ", "a  ", "x " * 100, "x " * 100 + "y", "x " * 99 + "y"]
     df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
