@@ -31,7 +31,7 @@ LENGTH, RUN = 48, 12
 LEXICON = 2000
 ORDERS = (1, 2, 3, 4)
 #: Text bytes whose distinct words are scored together.
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Words whose features are held at once.
 PART = 1 << 14
 PRIME = np.uint64(0x9E3779B97F4A7C15)
