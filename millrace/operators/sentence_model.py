@@ -3,19 +3,27 @@
 The statistics are those of Kiss and Strunk (Computational Linguistics 32(4), 2006), as
 aggregates: how surely a word type keeps its period (abbreviations), which types begin
 sentences, and which pairs hold together across a period after a number or an initial.
-Only counts by type are shuffled, after partial aggregation. The splitter meets the model
-with the words that end in a period alone; texts are cut where they lie.
+Texts are cut into words in Arrow tasks, slice by slice, and only a slice's distinct words, and its distinct pairs
+of a word with a mark and the word behind it, are told apart by patterns, counted and met with the model. The splitter
+writes its slices once and sends each the pairs that end a sentence.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
+from millrace.operators import bags as BG
 from millrace.operators.joins import lookup_join
-from millrace.session import cut_lineage
+from millrace.session import cut_lineage, scratch_path
 
 # The published thresholds and the probability of a period after an abbreviation.
 ABBREVIATION_MIN = 0.3
@@ -31,6 +39,8 @@ SENTENCE_END = r"[.!?][" + CLOSERS + r"]*$"
 PERIOD_END = r"\.[" + CLOSERS + r"]*$"
 NUMBER = r"^[+-]?[0-9][0-9.,]*$"
 NUMBER_TYPE = "##"
+# Slices of a row group: a reader holds a whole one.
+SLICE_GROUP_ROWS = 8
 SPACE = " \t\n\x0b\f\r"
 
 
@@ -43,24 +53,81 @@ class SentenceModel:
     pairs: DataFrame
 
 
-def split_words(text: Column) -> Column:
-    """The words of a text, each with the white space behind it; joined they are the text without its leading space."""
-    return F.regexp_extract_all(text, F.lit(WORD), 0)
+@dataclass
+class _Words:
+    """The words of a slice of texts: where they are in its bytes, whose they are, and the pairs that may end a sentence.
+
+    Word ``i`` is ``held[code[i]]``. The words ``at`` have a mark and a word of their text behind them: the ``pair[k]``-th of
+    the distinct pairs (``one``, ``two``), places in ``held``; a pair comes ``n`` times.
+    """
+
+    data: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    owner: np.ndarray
+    held: pa.Array
+    code: np.ndarray
+    at: np.ndarray
+    pair: np.ndarray
+    one: pa.Array
+    two: pa.Array
+    n: np.ndarray
+
+
+def _strings(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> pa.Array:
+    ends = np.r_[0, np.cumsum(size)].astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(ends), pa.py_buffer(data[BG.spans(first, size)]))
+
+
+def split_words(texts: pa.Array, marks: str) -> _Words:
+    """The words of texts, white space around them cut off; ``marks``: a pattern, of which a word of a pair holds a match."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, ends, data = texts.buffers()
+    ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data, ends = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    edge = np.zeros(len(data) + 1, bool)
+    edge[ends] = True
+    blank = np.r_[True, space, True]
+    first = np.flatnonzero(~space & (blank[:-2] | edge[:-1]))
+    last = np.flatnonzero(~space & (blank[2:] | edge[1:])) + 1
+    owner = np.searchsorted(ends[1:], first, "right")
+    words = _strings(data, first, last - first).dictionary_encode()
+    held, code = words.dictionary, words.indices.to_numpy().astype(np.int64)
+    marked = pc.match_substring_regex(held, marks).to_numpy(zero_copy_only=False).astype(bool)
+    at = np.flatnonzero((owner[:-1] == owner[1:]) & marked[code[:-1]])
+    size = max(1, len(held))
+    pairs, pair, n = np.unique(code[at] * size + code[at + 1], return_inverse=True, return_counts=True)
+    one, two = (held.take(pa.array(v)) for v in (pairs // size, pairs % size))
+    return _Words(data, first, last, owner, held, code, at, pair, one, two, n)
 
 
 def _token(word: Column) -> Column:
-    core = F.regexp_replace(F.btrim(word, F.lit(SPACE)), TRIM, "")
-    period = core.endswith(".")
-    base = F.when(period, core.substr(F.lit(1), F.length(core) - 1)).otherwise(core)
-    kind = F.when(base.rlike(NUMBER), F.lit(NUMBER_TYPE)).otherwise(F.lower(base))
-    return F.struct(kind.alias("type"), period.alias("period"))
+    def token(core: Column) -> Column:
+        period = core.endswith(".")
+        base = F.when(period, core.substr(F.lit(1), F.length(core) - 1)).otherwise(core)
+        kind = F.when(base.rlike(NUMBER), F.lit(NUMBER_TYPE)).otherwise(F.lower(base))
+        return F.struct(kind.alias("type"), period.alias("period"))
+
+    # an array of one, so that the word is trimmed once and not at each use
+    return F.transform(F.array(F.regexp_replace(F.btrim(word, F.lit(SPACE)), TRIM, "")), token)[0]
+
+
+def _counts(docs: DataFrame, text_col: str) -> DataFrame:
+    """``(a, b, n)``: how often the words ``a`` come (``b`` null) and, of those with a period, how often before a word ``b``."""
+    out = StructType().add("a", "string").add("b", "string").add("n", "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
 
+        target = to_arrow_schema(out)
+        for batch in BG.slices(batches, [text_col]):
+            w = split_words(batch.column(text_col), "[.]")
+            words = [w.held, pa.nulls(len(w.held)), pa.array(np.bincount(w.code, minlength=len(w.held)))]
+            for cols in (words, [w.one, w.two, pa.array(w.n)]):
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, target, strict=True)], schema=target)
 
-def _tokens(docs: DataFrame, text_col: str) -> DataFrame:
-    """``(type, period, next)``, one row a word; ``next`` is the type of the word behind it, null at the end of a text."""
-    rows = docs.select(F.transform(split_words(F.col(text_col)), _token).alias("toks"))
-    rows = rows.withColumn("next", F.slice(F.col("toks.type"), F.lit(2), F.greatest(F.size("toks"), F.lit(1))))
-    return rows.select(F.inline(F.arrays_zip("toks", "next"))).select("toks.type", "toks.period", "next").where("type <> ''")
+    return docs.select(text_col).mapInArrow(run, out).groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def _x_log(x: Column, y: Column) -> Column:
@@ -90,12 +157,14 @@ def _is_initial(kind: Column) -> Column:
 
 
 def fit(docs: DataFrame, text_col: str = "content") -> SentenceModel:
-    """Count the whole corpus twice: types first, then what stands behind a period once abbreviations are known.
+    """Count the whole corpus once, its distinct words and pairs of words twice: types first, then what stands behind a
+    period once abbreviations are known.
 
     Null and empty texts have no words. A corpus without words gives empty tables.
     """
-    tokens = _tokens(docs, text_col)
-    counts = cut_lineage(tokens.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("period").cast("long")).alias("n_period")))
+    tokens = cut_lineage(_counts(docs, text_col)).withColumn("a", _token(F.col("a")))
+    words = tokens.where("b is null and a.type <> ''").groupBy(F.col("a.type").alias("type"))
+    counts = cut_lineage(words.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("a.period"), F.col("n")).otherwise(0)).alias("n_period")))
     n_all, n_period = counts.agg(F.sum("n"), F.sum("n_period")).first()
     n_all = n_all or 0
     total = F.lit(float(max(n_all, 1)))
@@ -106,8 +175,10 @@ def fit(docs: DataFrame, text_col: str = "content") -> SentenceModel:
     types = types.withColumn("is_abbreviation", known)
 
     # what stands behind a period, counted by pair of types before any join
-    behind = tokens.where("period and next is not null and next <> ''").groupBy("type", "next").agg(F.count(F.lit(1)).alias("n"))
-    behind = cut_lineage(lookup_join(behind, types.select("type", "is_abbreviation", F.col("n").alias("n_type")), ["type"]))
+    behind = tokens.where("b is not null and a.period and a.type <> ''").select("a.type", _token(F.col("b"))["type"].alias("next"), "n")
+    behind = behind.where("next <> ''").groupBy("type", "next").agg(F.sum("n").alias("n"))
+    ahead = types.where("n_period > 0").select("type", "is_abbreviation", F.col("n").alias("n_type"))
+    behind = cut_lineage(lookup_join(behind, ahead, ["type"]))
     breaks = behind.where(~F.col("is_abbreviation") & ~_is_initial(F.col("type")) & ~F.col("type").endswith("."))
     at_break = breaks.groupBy(F.col("next").alias("type")).agg(F.sum("n").alias("n_break"))
     n_breaks = F.lit(float(breaks.agg(F.sum("n")).first()[0] or 1))
@@ -116,7 +187,8 @@ def fit(docs: DataFrame, text_col: str = "content") -> SentenceModel:
     starters = starters.where((F.col("n_break") / n_breaks > F.col("n") / total) & (F.col("llr") >= STARTER_MIN))
 
     held = behind.where(_is_initial(F.col("type")) | (F.col("type") == NUMBER_TYPE))
-    pairs = lookup_join(held, types.select(F.col("type").alias("next"), F.col("n").alias("n_next")), ["next"])
+    # a type stands behind each initial and behind numbers once, so none is hot
+    pairs = held.join(types.select(F.col("type").alias("next"), F.col("n").alias("n_next")), "next")
     pairs = pairs.withColumn("llr", pair_llr(F.col("n_type"), F.col("n_next"), F.col("n"), total))
     pairs = pairs.where((F.col("n") / F.col("n_type") > F.col("n_next") / total) & (F.col("llr") >= COLLOCATION_MIN))
     return SentenceModel(
@@ -126,55 +198,92 @@ def fit(docs: DataFrame, text_col: str = "content") -> SentenceModel:
     )
 
 
-def _held_ends(docs: DataFrame, id_col: str, text_col: str, model: SentenceModel) -> DataFrame:
-    """``(id, held)``: places of words that end in a period without ending a sentence; documents without any are absent."""
-    at = docs.select(F.col(id_col), split_words(F.col(text_col)).alias("w")).select(
-        id_col, F.posexplode(F.arrays_zip(F.col("w").alias("w"), F.slice("w", F.lit(2), F.greatest(F.size("w"), F.lit(1))).alias("b")))
-    )
-    at = at.where(F.btrim(F.col("col.w"), F.lit(SPACE)).rlike(PERIOD_END) & F.col("col.b").isNotNull())
-    behind = F.regexp_replace(F.col("col.b"), TRIM, "")
+def _slices(docs: DataFrame, text_col: str) -> DataFrame:
+    """``(block, docs, pairs)``, one row a slice of texts: its rows, and its distinct pairs of a word with a mark that may end a
+    sentence and the word behind it. ``block`` is one number a row as long as the rows are made once, so write them."""
+    out = StructType().add("block", "long", False).add("docs", ArrayType(docs.schema))
+    out = StructType([*out.fields, *StructType.fromDDL("pairs array<struct<a: string, b: string>>").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        target = to_arrow_schema(out)
+        number = count(TaskContext.get().partitionId() << 33)
+        for batch in BG.slices(batches, [text_col], BG.BLOCK_BYTES):
+            w = split_words(batch.column(text_col), "[.!?]")
+            rows = target.field("docs").type.value_type
+            rows = pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, rows, strict=True)], fields=list(rows))
+            pairs = pa.StructArray.from_arrays([w.one.cast(pa.string()), w.two.cast(pa.string())], ["a", "b"])
+            cols = [pa.array([next(number)], pa.int64()), BG.one(rows), BG.one(pairs)]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, target, strict=True)], schema=target)
+
+    return docs.mapInArrow(run, out)
+
+
+def _ends(slices: DataFrame, model: SentenceModel) -> DataFrame:
+    """``(block, place)``: the pairs of the slices whose first word ends a sentence."""
+    at = slices.select("block", F.posexplode("pairs").alias("place", "p")).where(F.col("p.a").rlike(SENTENCE_END))
+    behind = F.regexp_replace(F.col("p.b"), TRIM, "")
     at = at.select(
-        F.col(id_col), F.col("pos"), _token(F.col("col.w"))["type"].alias("type"), _token(F.col("col.b"))["type"].alias("next"),
+        "block", "place", F.col("p.a").rlike(PERIOD_END).alias("dot"),
+        _token(F.col("p.a"))["type"].alias("type"), _token(F.col("p.b"))["type"].alias("next"),
         behind.rlike(r"^\p{Lu}").alias("upper"), behind.rlike(r"^\p{Ll}").alias("lower"),
     )
+    spread = F.xxhash64("block", "place")
     known = model.types.where("is_abbreviation").select("type", F.lit(True).alias("abbreviation"))
-    at = lookup_join(at, known, ["type"], "left", spread=F.xxhash64(F.col(id_col), F.col("pos")))
-    short = F.col("abbreviation").isNotNull() | _is_initial(F.col("type"))
-    number, dots = F.col("type") == NUMBER_TYPE, F.col("type").endswith(".") | (F.col("type") == "")
-    at = at.withColumn("short", short).where(short | number | dots)
+    at = lookup_join(at, known, ["type"], "left", spread=spread)
     first = model.starters.select(F.col("type").alias("next"), F.lit(True).alias("starter"))
-    at = lookup_join(at, first, ["next"], "left", spread=F.xxhash64(F.col(id_col), F.col("pos")))
+    at = lookup_join(at, first, ["next"], "left", spread=spread)
     bound = model.pairs.select("type", "next", F.lit(True).alias("bound"))
-    at = lookup_join(at, bound, ["type", "next"], "left", spread=F.xxhash64(F.col(id_col), F.col("pos")))
+    at = lookup_join(at, bound, ["type", "next"], "left", spread=spread)
     ends = (
-        F.when(F.col("bound").isNotNull(), False)
-        .when(F.col("short"), F.col("upper") & F.col("starter").isNotNull() & ~_is_initial(F.col("next")))
-        .when(number, ~F.col("lower"))
-        .otherwise(F.col("upper"))
+        F.when(~F.col("dot"), True)
+        .when(F.col("bound").isNotNull(), False)
+        .when(F.col("abbreviation").isNotNull() | _is_initial(F.col("type")), F.col("upper") & F.col("starter").isNotNull() & ~_is_initial(F.col("next")))
+        .when(F.col("type") == NUMBER_TYPE, ~F.col("lower"))
+        .when(F.col("type").endswith(".") | (F.col("type") == ""), F.col("upper"))
+        .otherwise(True)
     )
-    return at.where(~ends).groupBy(id_col).agg(F.collect_list("pos").alias("held"))
+    return at.where(ends).select("block", "place")
 
 
 def split_sentences(docs: DataFrame, model: SentenceModel, id_col: str = "doc_id", text_col: str = "content") -> DataFrame:
-    """``docs`` with ``sentences array<string>``; ``id_col`` is unique and not null.
+    """``docs`` with ``sentences array<string>``, ``id_col`` first.
 
     A word that ends in ``!`` or ``?`` ends a sentence. One that ends in a period does unless it is an abbreviation or an
     initial (then only before an upper-case sentence starter), a number before a lower-case word or bound to the next
     word, or an ellipsis before a word that is not upper-case. Sentences keep their inner white space and lose that around
     them; null and empty texts have none.
     """
-    held = _held_ends(docs, id_col, text_col, model)
-    rows = docs.join(held.withColumnRenamed("held", "_held"), id_col, "left")
-    rows = rows.withColumn("_words", split_words(F.coalesce(F.col(text_col), F.lit(""))))
-    stops = F.transform("_words", lambda w, i: F.when(F.btrim(w, F.lit(SPACE)).rlike(SENTENCE_END), i).otherwise(F.lit(-1)))
-    rows = rows.withColumn("_ends", stops)
-    held_or_none = F.coalesce(F.col("_held"), F.array().cast("array<int>"))
-    rows = rows.withColumn("_ends", F.array_except("_ends", F.concat(held_or_none, F.array(F.lit(-1)))))
-    last = F.when(F.size("_words") > 0, F.array(F.size("_words") - 1)).otherwise(F.array().cast("array<int>"))
-    rows = rows.withColumn("_ends", F.array_union("_ends", last))
-    rows = rows.withColumn("_spans", F.arrays_zip(F.concat(F.array(F.lit(-1)), F.col("_ends")).alias("a"), F.col("_ends").alias("b")))
-    cut = F.transform(
-        F.filter("_spans", lambda s: s["b"].isNotNull()),
-        lambda s: F.btrim(F.array_join(F.slice("_words", s["a"] + 2, s["b"] - s["a"]), ""), F.lit(SPACE)),
-    )
-    return rows.withColumn("sentences", cut).drop("_held", "_words", "_ends", "_spans")
+    spark = docs.sparkSession
+    docs = docs.select(id_col, *[c for c in docs.columns if c != id_col])
+    path = scratch_path(spark, "slices")
+    _slices(docs, text_col).write.option("parquet.block.row.count.limit", SLICE_GROUP_ROWS).parquet(path)
+    slices = spark.read.parquet(path)
+    names = docs.columns
+    out = StructType([*docs.schema.fields, *StructType.fromDDL("sentences array<string>").fields])
+
+    def run(block: pa.Table, ends: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        target = to_arrow_schema(out)
+        if not block.num_rows:
+            return target.empty_table()
+        rows = block.column("docs")[0].values
+        cols = dict(zip(names, rows.flatten(), strict=True))
+        w = split_words(cols[text_col], "[.!?]")
+        ending = np.zeros(len(w.one), bool)
+        ending[ends.column("place").to_numpy()] = True
+        stop = np.zeros(len(w.code), bool)
+        stop[w.at[ending[w.pair]]] = True
+        stop[np.flatnonzero(np.r_[w.owner[1:] != w.owner[:-1], True][: len(w.code)])] = True  # the last word of a text
+        to = np.flatnonzero(stop)
+        start = w.first[np.r_[0, to + 1][: len(to)]]
+        size = np.bincount(w.owner[to], minlength=len(rows))
+        offsets = pa.array(np.r_[0, np.cumsum(size)], pa.int32())
+        sentences = pa.ListArray.from_arrays(offsets, _strings(w.data, start, w.last[to] - start).cast(pa.string()))
+        return pa.Table.from_arrays([c.cast(f.type) for c, f in zip([*cols.values(), sentences], target, strict=True)], schema=target)
+
+    left = slices.select(F.col("block").alias("own"), "docs").groupBy("own")
+    return left.cogroup(_ends(slices, model).groupBy("block")).applyInArrow(run, out)

@@ -612,6 +612,28 @@ def test_trained_sentences_keep_abbreviations_whole(spark):
     assert SM.split_sentences(df, SM.fit(empty)).count() == len(docs)
 
 
+def test_trained_sentences_tell_each_word_of_a_slice_apart_once(spark, monkeypatch):
+    from millrace.operators import bags as BG
+    from millrace.operators import sentence_model as SM
+
+    docs = [(1, "One green. Two red!\u00a0No \n\t Three. "), (1, "Über alles. Mauerwerk. 7. haus"), (2, None), (3, " \t"), (None, "A window.\x0bC?"), (4, "a")]
+    df = spark.createDataFrame(docs * 3 + [(5, "green green. Green. " * 200)], "doc_id long, content string")
+    want = {"One green.", "Two red!\u00a0No \n\t Three.", "Über alles.", "Mauerwerk.", "7. haus", "A window.", "C?", "a", "green green.", "Green."}
+    found = []
+    for limit in (BG.BLOCK_BYTES, 1):  # all texts in few slices, one text a slice
+        monkeypatch.setattr(BG, "BLOCK_BYTES", limit)
+        model = SM.fit(df)
+        rows = SM.split_sentences(df, model).collect()
+        found.append(sorted(str(tuple(r)) for r in rows))
+        assert len(rows) == df.count() and {s for r in rows for s in r.sentences} == want
+        assert all(r.sentences == ["One green.", "Two red!\u00a0No \n\t Three."] for r in rows if r.doc_id == 1 and r.content.startswith("One"))
+    assert found[0] == found[1]
+    counts = {(r.a, r.b): r.n for r in SM._counts(df.coalesce(1), "content").collect()}
+    assert counts["green.", None] == 203 and counts["green.", "Green."] == 200 and counts["Green.", "green"] == 199
+    slices = SM._slices(df.where("doc_id = 5"), "content").collect()
+    assert [len(r.pairs) for r in slices] == [2]  # 399 places, two pairs
+
+
 def test_term_table_equals_a_walk_in_list_order(spark):
     import random
     import re
