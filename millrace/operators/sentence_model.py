@@ -39,6 +39,8 @@ SENTENCE_END = r"[.!?][" + CLOSERS + r"]*$"
 PERIOD_END = r"\.[" + CLOSERS + r"]*$"
 NUMBER = r"^[+-]?[0-9][0-9.,]*$"
 NUMBER_TYPE = "##"
+# Text bytes of a slice that is written.
+TEXT_BYTES = 2 << 20
 # Slices of a row group: a reader holds a whole one.
 SLICE_GROUP_ROWS = 8
 SPACE = " \t\n\x0b\f\r"
@@ -210,7 +212,7 @@ def _slices(docs: DataFrame, text_col: str) -> DataFrame:
 
         target = to_arrow_schema(out)
         number = count(TaskContext.get().partitionId() << 33)
-        for batch in BG.slices(batches, [text_col], BG.BLOCK_BYTES):
+        for batch in BG.slices(batches, [text_col], TEXT_BYTES):
             w = split_words(batch.column(text_col), "[.!?]")
             rows = target.field("docs").type.value_type
             rows = pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, rows, strict=True)], fields=list(rows))

@@ -613,15 +613,14 @@ def test_trained_sentences_keep_abbreviations_whole(spark):
 
 
 def test_trained_sentences_tell_each_word_of_a_slice_apart_once(spark, monkeypatch):
-    from millrace.operators import bags as BG
     from millrace.operators import sentence_model as SM
 
     docs = [(1, "One green. Two red!\u00a0No \n\t Three. "), (1, "Über alles. Mauerwerk. 7. haus"), (2, None), (3, " \t"), (None, "A window.\x0bC?"), (4, "a")]
     df = spark.createDataFrame(docs * 3 + [(5, "green green. Green. " * 200)], "doc_id long, content string")
     want = {"One green.", "Two red!\u00a0No \n\t Three.", "Über alles.", "Mauerwerk.", "7. haus", "A window.", "C?", "a", "green green.", "Green."}
     found = []
-    for limit in (BG.BLOCK_BYTES, 1):  # all texts in few slices, one text a slice
-        monkeypatch.setattr(BG, "BLOCK_BYTES", limit)
+    for limit in (SM.TEXT_BYTES, 1):  # all texts in few slices, one text a slice
+        monkeypatch.setattr(SM, "TEXT_BYTES", limit)
         model = SM.fit(df)
         rows = SM.split_sentences(df, model).collect()
         found.append(sorted(str(tuple(r)) for r in rows))
@@ -634,6 +633,20 @@ def test_trained_sentences_tell_each_word_of_a_slice_apart_once(spark, monkeypat
     assert [len(r.pairs) for r in slices] == [2]  # 399 places, two pairs
 
 
+def test_texts_of_several_megabytes_share_a_block_and_its_words(spark):
+    from millrace.operators import relevance as REL
+
+    own = ["river", "tower", "window", "garden"]
+    docs = spark.range(4, numPartitions=1).selectExpr("id AS doc_id", "concat(repeat('house meadow ', 60000), element_at(array('river', 'tower', 'window', 'garden'), int(id) + 1)) AS content")
+    model, blocks = REL.build_model(docs)
+    words = sorted((r.token, r.df) for r in blocks.selectExpr("inline(words)").collect())
+    assert words == sorted([("house", 4), ("meadow", 4), *((w, 1) for w in own)])  # 3 MB: a row a word
+    query = REL.query_vector(spark, "river house tower", model.idf, name="qp")
+    sums = {r.doc_id: (r.n2, r.dp, r.dn) for r in REL.corpus_sums(blocks, model.idf, query).collect()}
+    assert set(sums) == {0, 1, 2, 3}
+    assert all(abs(a - b) < 1e-9 for i in range(4) for a, b in zip(sums[i], (4.0, 2 ** 0.5 if i < 2 else 0.0, 0.0), strict=True))
+
+
 def test_term_table_equals_a_walk_in_list_order(spark):
     import random
     import re
