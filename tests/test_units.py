@@ -869,6 +869,55 @@ def test_blocks_hold_the_bags_of_the_columns(spark, monkeypatch):
     assert empty.n_docs == REL.corpus_bow(none).count() == REL.corpus_sums(none, empty.idf).count() == 0
 
 
+def test_words_are_counted_once_and_sent_back_to_their_blocks(spark, monkeypatch):
+    import pytest
+
+    from millrace.operators import bags as BG
+    from millrace.operators import relevance as REL
+
+    rows = [(i, f"law night w{i % 5} only{i}\nland") for i in range(40)] + [(3, "night of the land"), (None, "law law"), (50, "")]
+    df = spark.createDataFrame(rows, "doc_id long, content string").coalesce(2)
+    monkeypatch.setattr(BG, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(REL, "PART_WORDS", 7)
+    model, blocks = REL.build_model(df, composite_terms=["of the"])
+    vectors = [REL.query_vector(spark, q, model.idf, name=n) for q, n in (("law night only3", "qp"), ("w1 law absent", "qn"))]
+    rows_of = lambda df: {r.doc_id: (r.n2, r.dp, r.dn) for r in df.collect()}
+    for q in ([], vectors[:1], vectors):
+        got, want = (rows_of(REL.corpus_sums(blocks, m, *q)) for m in (model, model.idf))
+        assert got.keys() == want.keys() and len(got) == 41
+        assert all(got[i] == pytest.approx(want[i]) for i in want)
+    # the words of all blocks are read again for the query vectors only, and none is shuffled
+    plan = REL.corpus_sums(blocks, model)._jdf.queryExecution().optimizedPlan().toString()
+    assert "token" not in plan and "words" in plan
+    # a part holds its words once, however many blocks they are in
+    counts = [r.token for r in model.counts.collect()]
+    assert len(counts) == len(set(counts)) and {r.token: r.df for r in model.counts.collect()}["law"] == 41
+
+
+def test_blocks_cut_texts_once_where_terms_meet():
+    import numpy as np
+    import pyarrow as pa
+    from collections import Counter
+
+    from millrace.operators import bags as BG
+
+    texts = ["x of the th y of\nthe", "of the th", "\x02\x03 a\x02\x03b\nc", "ΟΔΟΣ\nΒ ΟΔΟΣ of theΣ", "a\n\nb", "\n", "", "İx\nİ the\nof"]
+    stop = frozenset(T.STOP_WORDS)
+    cut = lambda t: BG._words(t.lower().split(), stop)
+    for terms in ([], ["of the"], ["of the", "ofthe th"], ["a b", ""], [" of "]):
+        for own in (texts, *[[t] for t in texts], []):
+            merged = own
+            for t in [*terms, "\n"]:
+                merged = [m.replace(t, t.replace(" ", "").replace("\n", "")) for m in merged]
+            words, known, sizes, at, tf = BG._block(pa.array(own, pa.large_string()), stop, terms, True, True)
+            words, ends = words.to_pylist(), np.cumsum(sizes)
+            bags = [{words[w]: n for w, n in zip(at[lo:hi], tf[lo:hi])} for lo, hi in zip(ends - sizes, ends)]
+            assert bags == [Counter(cut(m)) for m in merged]
+            assert {w for w, k in zip(words, known) if k} == {w for t in own for w in cut(t)}
+    for kind, values in (("<i4", [0, -1, 2**31 - 1]), ("<i8", [2**40]), ("<i4", [])):
+        assert BG.unpack(pa.scalar(BG.pack(np.array(values, int), kind)), kind).tolist() == values
+
+
 def test_token_counts_without_arrays(spark):
     texts = ["", " ", "a", " a", "a ", "a b\n", " ", "a  ", "x " * 100, "x " * 100 + "y", "x " * 99 + "y"]
     df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
